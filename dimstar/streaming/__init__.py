@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The reference processes batch tables only (no stream, watermark, event-time
+window or state in any model), so no Structured Streaming job is built.
+"""
