@@ -589,3 +589,12 @@ def dq_parity(spark, sf_dir):
                     money(F.col("publish_acv")).alias("publish_acv_usd"),
                     (F.coalesce(F.col("transform_rows") == F.col("publish_rows"), F.lit(False))
                      & F.coalesce(F.col("transform_acv") == F.col("publish_acv"), F.lit(False))).alias("is_equal"))
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighted pipeline ACV per source system and fiscal quarter of the close date."""
+    src, p = _ctx(spark, sf_dir)
+    m = marts(src, p)
+    return metric_query(m["fct_blended_opportunities"],
+                        ["total_weighted_pipeline_acv_usd", "total_pipeline_acv_usd", "pipeline_confidence_ratio"],
+                        ["source_system", "close_date__fiscal_quarter"], dims=star_dims(m))
