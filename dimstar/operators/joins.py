@@ -2,28 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def one_to_many_left_join(parents: DataFrame, children: DataFrame, parent_key: str,
-                          child_key: str) -> DataFrame:
-    """``parents LEFT JOIN children`` where the child side is the large one.
+def one_to_many_left_join(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str,
+                          then: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``parents LEFT JOIN children ON parent_key = child_key``, child side large.
 
     In an outer join Spark can split a skewed partition only on the
-    preserved side.  Here the large, possibly skewed side is the child side,
-    so the join is written as an inner join (either side splittable by AQE)
-    plus the parents that have no child at all; the latter is an anti join
-    against the children's distinct keys, which collapse map-side.
-    Result rows and multiplicities equal the plain left join.
+    preserved side, and here the large, possibly skewed side is the child.
+    So the join is written as
+
+    * an inner join (AQE may split a hot key on either side), plus
+    * the parents without any child: an anti join against the children's
+      distinct keys, which collapse map-side, so a hot key costs one row.
+
+    ``then`` is applied to each branch before the union: a further join on
+    the same key then reuses the branch's hash partitioning instead of
+    reshuffling the (line-grain) union.  The parent side is read by both
+    branches.  Rows and multiplicities equal the plain left join.
     """
-    shared = (set(parents.columns) & set(children.columns))
+    shared = set(parents.columns) & set(children.columns)
     if shared:
         raise ValueError(f"rename shared columns before joining: {sorted(shared)}")
     matched = parents.join(children, F.col(parent_key) == F.col(child_key), "inner")
     child_keys = children.select(F.col(child_key).alias("__child_key")).where(F.col("__child_key").isNotNull()) \
         .distinct()
     orphans = parents.join(child_keys, F.col(parent_key) == F.col("__child_key"), "left_anti")
-    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in children.schema.fields
-               if f.name not in parents.columns]
-    return matched.unionByName(orphans.select("*", *missing))
+    orphans = orphans.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in children.schema.fields])
+    if then is not None:
+        matched, orphans = then(matched), then(orphans)
+    return matched.unionByName(orphans)

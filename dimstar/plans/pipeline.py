@@ -2,7 +2,8 @@
 
 Join order is chosen for the large line stream: everything keyed by the
 opportunity (account eligibility, latest quote, anti-join) is joined at
-opportunity grain first, and the lines are joined to that once.
+opportunity grain first, and the lines are joined to that once (as an inner
+join plus the opportunities without lines, so a hot opportunity can be split).
 """
 
 from __future__ import annotations
@@ -77,7 +78,6 @@ def edh_opportunity_lines(src: Sources, params: Params) -> DataFrame:
         .select("opportunity_number", "end_customer_account_csn", "sales_partner_account_csn",
                 "sales_rep_number", "projected_close_date", "opportunity_stage")
         .join(acct, F.col("end_customer_account_csn") == F.col("acct_csn"), "inner")
-        .join(quote, F.col("opportunity_number") == F.col("q_opportunity_number"), "left")
     )
     offering = src.edh_offering.select(
         F.col("offering_id").alias("o_offering_id"), "offering_name", "sales_motion_product_category",
@@ -91,7 +91,11 @@ def edh_opportunity_lines(src: Sources, params: Params) -> DataFrame:
         .join(offering, F.col("offering_id") == F.col("o_offering_id"), "left")
         .drop("offering_id", "o_offering_id")
     )
-    rows = one_to_many_left_join(opp_side, lines, "opportunity_number", "line_opportunity_number")
+    # The latest quote is joined inside each branch, on the key the line join
+    # already partitioned by, so the line-grain rows are not shuffled again.
+    rows = one_to_many_left_join(
+        opp_side, lines, "opportunity_number", "line_opportunity_number",
+        then=lambda df: df.join(quote, F.col("opportunity_number") == F.col("q_opportunity_number"), "left"))
     acv = F.col("line_acv").cast(ACV)
     return rows.select(
         F.lit(R.PIPELINE_EDH).alias("source_system"),

@@ -42,8 +42,15 @@ def to_doubles(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
+_SOURCES: dict[tuple[int, str], Sources] = {}
+
+
 def _ctx(spark: SparkSession, sf_dir: str, params: Params = TEST_PARAMS) -> tuple[Sources, Params]:
-    return fixture_sources(spark, sf_dir), params
+    """Sources for ``sf_dir``, built once per session (lazy plans, safe to share)."""
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _SOURCES:
+        _SOURCES[key] = fixture_sources(spark, sf_dir)
+    return _SOURCES[key], params
 
 
 def marts(src: Sources, params: Params) -> dict[str, DataFrame]:
