@@ -19,23 +19,41 @@ from dimstar.functions import rules as R
 from dimstar.params import TEST_PARAMS, Params
 from dimstar.plans import activities as A
 from dimstar.plans import dims as D
-from dimstar.plans import pipeline as P
+from dimstar.plans import opportunity_lines as P
 from dimstar.plans import quality as Q
 from dimstar.plans.metrics import metric_query, money
+from dimstar.plans.publish import write_tables
 from dimstar.plans.star import ACTIVITY_EDGES, PIPELINE_EDGES, star_join
 from dimstar.session import ensure_checkpoint_dir
 from dimstar.sources import Sources
 from dimstar.sources.fixture import fixture_sources
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
+F1, F2 = "fct_blended_opportunities", "fct_blended_opportunity_activities"
 REGISTRY: dict[str, QueryFn] = {}
 
 
+MartFn = Callable[[dict[str, DataFrame]], DataFrame]
+MART_QUERIES: dict[str, MartFn] = {}
+
+
 def query(fn: QueryFn) -> QueryFn:
     REGISTRY[fn.__name__] = fn
     return fn
 
 
+def mart_query(fn: MartFn) -> MartFn:
+    """A query over the published models only: registered as (spark, sf_dir) -> marts -> fn."""
+    MART_QUERIES[fn.__name__] = fn
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(_marts(spark, sf_dir))
+
+    run.__name__ = fn.__name__
+    REGISTRY[fn.__name__] = run
+    return fn
+
+
 def to_doubles(df: DataFrame) -> DataFrame:
     """Decimal columns to double (exact decimals inside, doubles at the edge)."""
     return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType)
@@ -53,6 +71,18 @@ def _ctx(spark: SparkSession, sf_dir: str, params: Params = TEST_PARAMS) -> tupl
     return _SOURCES[key], params
 
 
+_MARTS: dict[tuple[int, str], dict[str, DataFrame]] = {}
+
+
+def _marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The marts for ``sf_dir`` with the test parameters, planned once per session."""
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _MARTS:
+        src, p = _ctx(spark, sf_dir)
+        _MARTS[key] = marts(src, p)
+    return dict(_MARTS[key])
+
+
 def marts(src: Sources, params: Params) -> dict[str, DataFrame]:
     """The seven published models (lazy)."""
     return {
@@ -231,24 +261,24 @@ def fct_blended_opportunity_activities(spark, sf_dir):
     return _f2(spark, sf_dir)
 
 
-@query
-def call_detail(spark, sf_dir):
+@mart_query
+def call_detail(m):
     """R17/R18 on calls."""
-    return _f2(spark, sf_dir).where(F.col("new_activity_type") == "Call").select(
+    return m[F2].where(F.col("new_activity_type") == "Call").select(
         "activity_id", "source_system", "calldisposition", "calldurationinseconds",
         "activity_created_timestamp", "activity_completed_timestamp")
 
 
-@query
-def activity_kpi_flags(spark, sf_dir):
+@mart_query
+def activity_kpi_flags(m):
     """R19-R24 per activity."""
-    return _f2(spark, sf_dir).select("activity_id", "source_system", "new_activity_type", "activity_type",
+    return m[F2].select("activity_id", "source_system", "new_activity_type", "activity_type",
                                      "activity_group", *A.FLAGS)
 
 
-@query
-def activity_group_mix(spark, sf_dir):
-    return metric_query(_f2(spark, sf_dir), ["total_activities"], ["source_system", "activity_group"])
+@mart_query
+def activity_group_mix(m):
+    return metric_query(m[F2], ["total_activities"], ["source_system", "activity_group"])
 
 
 # --------------------------------------------------------------------------- dimensions
@@ -277,39 +307,34 @@ def dim_unified_opportunity(spark, sf_dir):
     return to_doubles(D.dim_unified_opportunity(src, p))
 
 
-@query
-def stage_funnel(spark, sf_dir):
+@mart_query
+def stage_funnel(m):
     """Opportunities per normalised stage, rank and weight."""
-    src, p = _ctx(spark, sf_dir)
-    return D.dim_unified_opportunity(src, p).groupBy(
+    return m["dim_unified_opportunity"].groupBy(
         "source_system", "opportunity_stage", "opportunity_stage_rank",
         F.col("opportunity_stage_weight").cast("double").alias("opportunity_stage_weight"),
     ).agg(F.count(F.lit(1)).alias("n_opportunities"))
 
 
-@query
-def partner_led_share(spark, sf_dir):
+@mart_query
+def partner_led_share(m):
     """Partner-led flag counts and share within each source system."""
-    src, p = _ctx(spark, sf_dir)
-    counts = D.dim_unified_opportunity(src, p).groupBy("source_system", "is_partner_led") \
+    counts = m["dim_unified_opportunity"].groupBy("source_system", "is_partner_led") \
         .agg(F.count(F.lit(1)).alias("n_opportunities"))
     total = F.sum("n_opportunities").over(Window.partitionBy("source_system"))
     return counts.select("*", (F.col("n_opportunities") / total.cast("double")).alias("share"))
 
 
-@query
-def contact_domain_profile(spark, sf_dir):
+@mart_query
+def contact_domain_profile(m):
     """Contacts per mail domain."""
-    src, _ = _ctx(spark, sf_dir)
-    return D.dim_unified_contact(src).groupBy("source_system", "contact_email_domain") \
+    return m["dim_unified_contact"].groupBy("source_system", "contact_email_domain") \
         .agg(F.count(F.lit(1)).alias("n_contacts"))
 
 
-@query
-def conform_union_counts(spark, sf_dir):
+@mart_query
+def conform_union_counts(m):
     """Rows per source system in every conformed output."""
-    src, p = _ctx(spark, sf_dir)
-    m = marts(src, p)
     parts = [m[name].groupBy(F.lit(name).alias("model"), "source_system").agg(F.count(F.lit(1)).alias("n_rows"))
              for name in ("dim_unified_account", "dim_unified_contact", "dim_unified_employee",
                           "dim_unified_opportunity", "fct_blended_opportunities",
@@ -322,10 +347,8 @@ def conform_union_counts(spark, sf_dir):
 
 # --------------------------------------------------------------------------- star and metrics
 
-@query
-def star_opportunities(spark, sf_dir):
-    src, p = _ctx(spark, sf_dir)
-    m = marts(src, p)
+@mart_query
+def star_opportunities(m):
     out = star_join(m["fct_blended_opportunities"], star_dims(m), PIPELINE_EDGES, {
         "opportunity": ["opportunity_stage"], "account": ["account_segment"],
         "opportunity_owner": ["employee_name"], "close_date": ["fiscal_quarter"],
@@ -333,10 +356,8 @@ def star_opportunities(spark, sf_dir):
     return to_doubles(out)
 
 
-@query
-def star_activities(spark, sf_dir):
-    src, p = _ctx(spark, sf_dir)
-    m = marts(src, p)
+@mart_query
+def star_activities(m):
     out = star_join(m["fct_blended_opportunity_activities"], star_dims(m), ACTIVITY_EDGES, {
         "opportunity": ["opportunity_stage"], "account": ["account_segment"], "owner": ["employee_name"],
         "contact": ["contact_email_domain"], "created_date": ["fiscal_quarter_month"],
@@ -346,11 +367,10 @@ def star_activities(spark, sf_dir):
 
 
 def _metric_by_system(name: str, fact: str):
-    def fn(spark, sf_dir):
-        f = _f1(spark, sf_dir) if fact == "p" else _f2(spark, sf_dir)
-        return metric_query(f, [name], ["source_system"])
+    def fn(m):
+        return metric_query(m[F1] if fact == "p" else m[F2], [name], ["source_system"])
     fn.__name__ = f"m_{name}"
-    return query(fn)
+    return mart_query(fn)
 
 
 for _name in ("total_pipeline_acv_usd", "total_weighted_pipeline_acv_usd", "opportunity_count",
@@ -362,52 +382,46 @@ for _name in ("total_activities", "outbound_call_attempts", "outbound_calls_conn
     _metric_by_system(_name, "a")
 
 
-@query
-def pipeline_by_month(spark, sf_dir):
-    return metric_query(_f1(spark, sf_dir),
+@mart_query
+def pipeline_by_month(m):
+    return metric_query(m[F1],
                         ["total_pipeline_acv_usd", "total_weighted_pipeline_acv_usd", "opportunity_count"],
                         ["metric_time__month"])
 
 
-@query
-def activities_by_week(spark, sf_dir):
-    return metric_query(_f2(spark, sf_dir), ["total_activities", "outbound_call_attempts"],
+@mart_query
+def activities_by_week(m):
+    return metric_query(m[F2], ["total_activities", "outbound_call_attempts"],
                         ["metric_time__week", "source_system"])
 
 
-@query
-def pipeline_by_segment(spark, sf_dir):
-    return metric_query(_f1(spark, sf_dir),
+@mart_query
+def pipeline_by_segment(m):
+    return metric_query(m[F1],
                         ["total_pipeline_acv_usd", "line_item_quantity_total", "opportunity_count"],
                         ["focus_segment_group", "license_type"])
 
 
-@query
-def activities_by_type(spark, sf_dir):
-    return metric_query(_f2(spark, sf_dir), ["total_activities", "meetings_completed", "total_call_duration_seconds"],
+@mart_query
+def activities_by_type(m):
+    return metric_query(m[F2], ["total_activities", "meetings_completed", "total_call_duration_seconds"],
                         ["new_activity_type", "activity_type", "activity_group"])
 
 
-@query
-def pipeline_by_account_segment(spark, sf_dir):
-    src, p = _ctx(spark, sf_dir)
-    m = marts(src, p)
+@mart_query
+def pipeline_by_account_segment(m):
     return metric_query(m["fct_blended_opportunities"], ["total_pipeline_acv_usd", "opportunity_count"],
                         ["account__account_segment"], dims=star_dims(m), order_by=["-total_pipeline_acv_usd"])
 
 
-@query
-def pipeline_by_partner_account(spark, sf_dir):
-    src, p = _ctx(spark, sf_dir)
-    m = marts(src, p)
+@mart_query
+def pipeline_by_partner_account(m):
     return metric_query(m["fct_blended_opportunities"], ["total_pipeline_acv_usd", "opportunity_count"],
                         ["partner_account__account_segment", "source_system"], dims=star_dims(m))
 
 
-@query
-def pipeline_by_account_owner(spark, sf_dir):
-    src, p = _ctx(spark, sf_dir)
-    m = marts(src, p)
+@mart_query
+def pipeline_by_account_owner(m):
     return metric_query(m["fct_blended_opportunities"], ["total_weighted_pipeline_acv_usd", "opportunity_count"],
                         ["account_owner__sales_role", "source_system"], dims=star_dims(m))
 
@@ -417,17 +431,16 @@ SCORECARD = ("total_activities", "outbound_call_attempts", "outbound_calls_conne
              "total_call_duration_seconds", "avg_call_duration_seconds")
 
 
-@query
-def activity_scorecard(spark, sf_dir):
+@mart_query
+def activity_scorecard(m):
     """X4 saved query: every activity metric by system and group."""
-    return metric_query(_f2(spark, sf_dir), list(SCORECARD), ["source_system", "activity_group"])
+    return metric_query(m[F2], list(SCORECARD), ["source_system", "activity_group"])
 
 
-@query
-def adhoc_region_month(spark, sf_dir):
+@mart_query
+def adhoc_region_month(m):
     """A9/O1 ad-hoc SQL over the marts registered as views."""
-    src, p = _ctx(spark, sf_dir)
-    m = marts(src, p)
+    spark, p = m[F1].sparkSession, TEST_PARAMS
     suffix = uuid.uuid4().hex[:8]
     fct, acct = f"fct_blended_opportunities_{suffix}", f"dim_unified_account_{suffix}"
     m["fct_blended_opportunities"].createOrReplaceTempView(fct)
@@ -445,10 +458,10 @@ def adhoc_region_month(spark, sf_dir):
     """)
 
 
-@query
-def dq_line_grain(spark, sf_dir):
+@mart_query
+def dq_line_grain(m):
     """The composite line key per system: rows, NULL keys, distinct and repeated keys."""
-    f = _f1(spark, sf_dir)
+    f = m[F1]
     key = F.concat(F.col("source_system"), F.lit("|"), F.col("opportunity_number"), F.lit("|"),
                    F.col("line_item_number"))
     per_key = f.groupBy("source_system", key.alias("k")).agg(F.count(F.lit(1)).alias("n"))
@@ -469,10 +482,10 @@ def activities_daily_gapfilled(spark, sf_dir):
                         ["metric_time__day"], spine=days)
 
 
-@query
-def pipeline_cumulative_by_month(spark, sf_dir):
+@mart_query
+def pipeline_cumulative_by_month(m):
     """Running ACV total by close month within each source system."""
-    f = _f1(spark, sf_dir)
+    f = m[F1]
     monthly = f.groupBy("source_system",
                         F.date_trunc("month", "opportunity_projected_close_date").cast("date").alias("close_month")) \
         .agg(F.sum("line_item_acv_usd").alias("acv"))
@@ -481,20 +494,18 @@ def pipeline_cumulative_by_month(spark, sf_dir):
                           money(F.sum("acv").over(w)).alias("cumulative_acv_usd"))
 
 
-@query
-def acv_per_opportunity(spark, sf_dir):
+@mart_query
+def acv_per_opportunity(m):
     """X3 derived metric."""
-    return metric_query(_f1(spark, sf_dir), ["total_pipeline_acv_usd", "opportunity_count", "acv_per_opportunity"],
+    return metric_query(m[F1], ["total_pipeline_acv_usd", "opportunity_count", "acv_per_opportunity"],
                         ["source_system"])
 
 
-@query
-def pipeline_vs_activity_by_account(spark, sf_dir):
+@mart_query
+def pipeline_vs_activity_by_account(m):
     """Each fact aggregated by account first, then a full outer join on the account."""
-    src, p = _ctx(spark, sf_dir)
-    pipe = metric_query(P.fct_blended_opportunities(src, p), ["total_pipeline_acv_usd", "opportunity_count"],
-                        ["account_csn"])
-    acts = metric_query(A.fct_blended_opportunity_activities(src, p), ["total_activities"], ["account_csn"])
+    pipe = metric_query(m[F1], ["total_pipeline_acv_usd", "opportunity_count"], ["account_csn"])
+    acts = metric_query(m[F2], ["total_activities"], ["account_csn"])
     return pipe.join(acts, pipe.account_csn.eqNullSafe(acts.account_csn), "full").select(
         F.coalesce(pipe.account_csn, acts.account_csn).alias("account_csn"),
         "total_pipeline_acv_usd", "opportunity_count", "total_activities")
@@ -503,9 +514,8 @@ def pipeline_vs_activity_by_account(spark, sf_dir):
 # --------------------------------------------------------------------------- data quality and publishing
 
 def _dq(tests):
-    def fn(spark, sf_dir):
-        src, p = _ctx(spark, sf_dir)
-        return Q.summary(tests, marts(src, p))
+    def fn(m):
+        return Q.summary(tests, m)
     return fn
 
 
@@ -515,7 +525,7 @@ for _qname, _tests in (("dq_unique", Q.UNIQUE_TESTS), ("dq_not_null", Q.NOT_NULL
                        ("dq_relationships_activities", Q.ACTIVITY_REL_TESTS)):
     _fn = _dq(_tests)
     _fn.__name__ = _qname
-    query(_fn)
+    mart_query(_fn)
 
 
 @query
@@ -528,17 +538,7 @@ def dq_failure_log(spark, sf_dir):
 
 def publish(spark: SparkSession, m: dict[str, DataFrame], names=None) -> dict[str, DataFrame]:
     """Write marts as parquet tables under the shared folder; return them read back."""
-    run = os.path.join(_storage_root(spark), "publish", uuid.uuid4().hex)
-    out = {}
-    for name in names or m:
-        path = os.path.join(run, name)
-        df = m[name]
-        writer = df.write.mode("overwrite")
-        if "source_system" in df.columns:
-            writer = writer.partitionBy("source_system")
-        writer.parquet(path)
-        out[name] = spark.read.parquet(path).select(*df.columns)
-    return out
+    return write_tables(spark, m, names)
 
 
 @query
@@ -598,10 +598,12 @@ def dq_parity(spark, sf_dir):
                      & F.coalesce(F.col("transform_acv") == F.col("publish_acv"), F.lit(False))).alias("is_equal"))
 
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flagship_over(m: dict[str, DataFrame]) -> DataFrame:
     """Weighted pipeline ACV per source system and fiscal quarter of the close date."""
-    src, p = _ctx(spark, sf_dir)
-    m = marts(src, p)
     return metric_query(m["fct_blended_opportunities"],
                         ["total_weighted_pipeline_acv_usd", "total_pipeline_acv_usd", "pipeline_confidence_ratio"],
                         ["source_system", "close_date__fiscal_quarter"], dims=star_dims(m))
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flagship_over(_marts(spark, sf_dir))
