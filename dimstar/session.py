@@ -22,6 +22,9 @@ DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
+    # Split a hot key even when the split costs an extra shuffle downstream
+    # (e.g. a later join that reuses the line join's partitioning).
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": "128m",
