@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,9 +40,22 @@ def write_tables(spark: SparkSession, frames: Mapping[str, DataFrame], names: It
     return out
 
 
-def stage_sources(spark: SparkSession, src: Sources, folder: str | None = None) -> Sources:
-    """Land the sources as tables (one folder each) and return them read back."""
+def stage_sources(spark: SparkSession, src: Sources, folder: str | None = None, parallel: int = 8,
+                  row_group_bytes: int = 4 * 1024 * 1024) -> Sources:
+    """Land the sources as tables (one folder each) and return them read back.
+
+    The writes are independent jobs; they are submitted together so the
+    scheduler can run them side by side on free executor slots.  Row groups
+    are kept small so even a small landed table is read by several scan
+    tasks (a reader splits a file only at row-group boundaries).
+    """
     folder = folder or run_folder(spark, "sources")
-    for name, df in src.items():
-        df.write.mode("overwrite").parquet(os.path.join(folder, name))
+
+    def write(item):
+        name, df = item
+        df.write.mode("overwrite").option("parquet.block.size", row_group_bytes) \
+            .parquet(os.path.join(folder, name))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        list(pool.map(write, src.items()))
     return load_sources(spark, folder)
