@@ -1,8 +1,9 @@
 """DuckDB CTEs for the conformed dimensions and the two facts.
 
-Plain SQL in the shape of the rules: LEFT JOIN + IS NULL for "not in the
-authoritative system", CASE chains for the taxonomies, ROW_NUMBER for the
-latest quote/rate.  Parameters are the test parameters.
+Written on its own terms, not mirroring the Spark plans: NOT EXISTS for "not
+in the authoritative system", lookups pre-joined in subqueries, nested CASE
+expressions for the taxonomies, QUALIFY ROW_NUMBER for the latest quote and
+rate, a boolean CTE for the KPI flags.  Parameters are the test parameters.
 """
 
 from __future__ import annotations
@@ -49,50 +50,59 @@ TARGETED = ("CASE upper(trim(CAST(is_targeted_account AS VARCHAR))) "
             "WHEN '0' THEN false WHEN 'N' THEN false WHEN 'NO' THEN false WHEN 'FALSE' THEN false END")
 
 
+def _not_in(table: str, col: str, outer: str) -> str:
+    return f"NOT EXISTS (SELECT 1 FROM {table} z WHERE z.{col} = {outer})"
+
+
 def model_ctes() -> list[tuple[str, str]]:
     c = []
     c.append(("m_dim_date", """
         SELECT date_key AS date_day, fiscal_year_name, fiscal_year_quarter_name, month_number_in_fiscal_quarter,
-               fiscal_year_name || '-' || fiscal_year_quarter_name AS fiscal_quarter,
-               fiscal_year_name || '-' || fiscal_year_quarter_name || '-M'
-                   || CAST(CAST(month_number_in_fiscal_quarter AS INTEGER) AS VARCHAR) AS fiscal_quarter_month
+               concat_ws('-', fiscal_year_name, fiscal_year_quarter_name) AS fiscal_quarter,
+               concat_ws('-', fiscal_year_name, fiscal_year_quarter_name,
+                         'M' || CAST(CAST(month_number_in_fiscal_quarter AS INTEGER) AS VARCHAR)) AS fiscal_quarter_month
         FROM s_edh_finance_calendar"""))
     c.append(("m_dim_unified_account", f"""
         SELECT account_csn, account_name, sales_geo AS account_geo, country_name AS account_country,
                sales_region_name AS account_region, named_account_group,
-               CASE WHEN named_account_group IN ('Territory', 'Individual', 'Unknown') THEN 'Territory'
-                    ELSE named_account_group END AS account_segment,
+               IF(named_account_group IN ('Territory', 'Individual', 'Unknown'), 'Territory', named_account_group)
+                   AS account_segment,
                account_type, corporate_account_name AS parent_account_name,
                TRY_CAST(account_hierarchy_depth AS DECIMAL(18,0)) AS account_hierarchy_depth,
                CAST(account_hierarchy_level AS VARCHAR) AS account_hierarchy_level,
                account_category, industry_segment, {TARGETED} AS is_targeted_account,
                CAST(sales_rep_number AS VARCHAR) AS account_sales_rep_number, 'EDH' AS source_system
         FROM s_edh_account WHERE account_csn IS NOT NULL
-        UNION ALL
-        SELECT ca.own_csn, ca.account_name, ca.geo_c, ca.account_country_c, NULL, NULL, NULL, ca.account_type,
-               NULL, CAST(NULL AS DECIMAL(18,0)), NULL, NULL, NULL, CAST(NULL AS BOOLEAN), NULL, 'ACS'
-        FROM s_acs_account ca LEFT JOIN s_edh_account e ON ca.own_csn = e.account_csn
-        WHERE ca.own_csn IS NOT NULL AND e.account_csn IS NULL"""))
+        UNION ALL BY NAME
+        SELECT own_csn AS account_csn, account_name, geo_c AS account_geo, account_country_c AS account_country,
+               NULL AS account_region, NULL AS named_account_group, NULL AS account_segment, account_type,
+               NULL AS parent_account_name, CAST(NULL AS DECIMAL(18,0)) AS account_hierarchy_depth,
+               NULL AS account_hierarchy_level, NULL AS account_category, NULL AS industry_segment,
+               CAST(NULL AS BOOLEAN) AS is_targeted_account, NULL AS account_sales_rep_number, 'ACS' AS source_system
+        FROM s_acs_account ca
+        WHERE own_csn IS NOT NULL AND {_not_in('s_edh_account', 'account_csn', 'ca.own_csn')}"""))
     c.append(("m_dim_unified_contact", f"""
         SELECT contact_csn, first_name AS contact_first_name, last_name AS contact_last_name,
                email_address AS contact_email, contact_phone_number AS contact_phone,
-               CASE WHEN email_address IS NOT NULL THEN {domain('email_address')} END AS contact_email_domain,
+               IF(email_address IS NULL, NULL, {domain('email_address')}) AS contact_email_domain,
                'EDH' AS source_system
         FROM s_edh_contact WHERE contact_csn IS NOT NULL
-        UNION ALL
-        SELECT cc.contact_csn, cc.first_name, cc.last_name, cc.user_email, cc.phone,
-               CASE WHEN cc.user_email IS NOT NULL THEN {domain('cc.user_email')} END, 'ACS'
-        FROM s_acs_contact cc LEFT JOIN s_edh_contact e ON cc.contact_csn = e.contact_csn
-        WHERE cc.contact_csn IS NOT NULL AND e.contact_csn IS NULL"""))
-    c.append(("m_dim_unified_employee", """
+        UNION ALL BY NAME
+        SELECT contact_csn, first_name AS contact_first_name, last_name AS contact_last_name,
+               user_email AS contact_email, phone AS contact_phone,
+               IF(user_email IS NULL, NULL, {domain('user_email')}) AS contact_email_domain, 'ACS' AS source_system
+        FROM s_acs_contact cc
+        WHERE contact_csn IS NOT NULL AND {_not_in('s_edh_contact', 'contact_csn', 'cc.contact_csn')}"""))
+    c.append(("m_dim_unified_employee", f"""
         SELECT worker_id AS employee_id, preferred_name AS employee_name, sales_role,
                manager_display_name AS manager_name, work_email, 'EDH' AS source_system
         FROM s_edh_employee WHERE is_active = 1 AND worker_id IS NOT NULL
-        UNION ALL
-        SELECT u.user_id, NULL, NULL, u.manager_name, u.user_email, 'ACS'
-        FROM s_acs_user u LEFT JOIN s_edh_employee e ON u.user_id = e.worker_id
-        WHERE u.user_id IS NOT NULL AND e.worker_id IS NULL"""))
-    partner_led = " OR ".join(f"lower(t.opportunity_tags__c) LIKE '%{p}%'" for p in R.PARTNER_LED_PHRASES)
+        UNION ALL BY NAME
+        SELECT user_id AS employee_id, NULL AS employee_name, NULL AS sales_role, manager_name,
+               user_email AS work_email, 'ACS' AS source_system
+        FROM s_acs_user u
+        WHERE user_id IS NOT NULL AND {_not_in('s_edh_employee', 'worker_id', 'u.user_id')}"""))
+    partner_led = " OR ".join(f"contains(lower(t.opportunity_tags__c), '{p}')" for p in R.PARTNER_LED_PHRASES)
     c.append(("m_dim_unified_opportunity", f"""
         SELECT o.opportunity_number, 'EDH_SFDC' AS source_system, o.source_record_id AS opportunity_id,
                o.opportunity_name, o.opportunity_stage AS raw_stage,
@@ -103,127 +113,123 @@ def model_ctes() -> list[tuple[str, str]]:
                o.sales_channel, o.customer_project, o.compelling_event, o.access_to_funds,
                o.formal_decision_process, o.informal_decision_process, o.unique_business_value,
                t.opportunity_tags__c AS opportunity_tags,
-               CASE WHEN {partner_led} THEN 'Yes' ELSE 'No' END AS is_partner_led,
+               IF(COALESCE({partner_led}, false), 'Yes', 'No') AS is_partner_led,
                CAST(o.source_created_ts AS DATE) AS opportunity_created_date,
                CAST(o.projected_close_date AS DATE) AS opportunity_projected_close_date,
                o.sales_rep_number AS opportunity_owner_id
-        FROM s_edh_opportunity o LEFT JOIN s_crm_opportunity_tags t ON o.source_record_id = t.id
+        FROM s_edh_opportunity o LEFT JOIN s_crm_opportunity_tags t ON t.id = o.source_record_id
         WHERE o.opportunity_type = 'UnifiedOpportunity' AND o.opportunity_number IS NOT NULL
-        UNION ALL
-        SELECT a.opportunity_number__c, 'ACS_SFDC', a.id, a.name, a.stage_name,
-               {stage_case('a.stage_name', True, 'label')}, {stage_case('a.stage_name', True, 'rank')},
-               {stage_case('a.stage_name', True, 'weight')}, a.type, {SENT}, {SENT}, a.bmtchannel_c,
-               {SENT}, {SENT}, {SENT}, {SENT}, {SENT}, {SENT}, {SENT}, {SENT},
-               CAST(a.created_date AS DATE), CAST(a.close_date AS DATE), a.owner_id
-        FROM s_acs_opportunity a LEFT JOIN s_edh_opportunity e ON a.opportunity_number__c = e.opportunity_number
-        WHERE a.opportunity_number__c IS NOT NULL AND e.opportunity_number IS NULL"""))
+        UNION ALL BY NAME
+        SELECT a.opportunity_number__c AS opportunity_number, 'ACS_SFDC' AS source_system, a.id AS opportunity_id,
+               a.name AS opportunity_name, a.stage_name AS raw_stage,
+               {stage_case('a.stage_name', True, 'label')} AS opportunity_stage,
+               {stage_case('a.stage_name', True, 'rank')} AS opportunity_stage_rank,
+               {stage_case('a.stage_name', True, 'weight')} AS opportunity_stage_weight,
+               a.type AS opportunity_type, {SENT} AS primary_sales_motion, {SENT} AS forecast_category,
+               a.bmtchannel_c AS sales_channel, {SENT} AS customer_project, {SENT} AS compelling_event,
+               {SENT} AS access_to_funds, {SENT} AS formal_decision_process, {SENT} AS informal_decision_process,
+               {SENT} AS unique_business_value, {SENT} AS opportunity_tags, {SENT} AS is_partner_led,
+               CAST(a.created_date AS DATE) AS opportunity_created_date,
+               CAST(a.close_date AS DATE) AS opportunity_projected_close_date, a.owner_id AS opportunity_owner_id
+        FROM s_acs_opportunity a
+        WHERE a.opportunity_number__c IS NOT NULL
+          AND {_not_in('s_edh_opportunity', 'opportunity_number', 'a.opportunity_number__c')}"""))
     c.append(("m_latest_quote", """
         SELECT opportunity_number, quote_number, sales_partner_account_csn, quote_status, quote_date
-        FROM (SELECT *, row_number() OVER (PARTITION BY opportunity_number
-                                           ORDER BY CASE WHEN quote_date IS NULL THEN 1 ELSE 0 END,
-                                                    quote_date DESC NULLS LAST, quote_number DESC NULLS LAST) AS rn
-              FROM s_edh_quote) WHERE rn = 1"""))
+        FROM s_edh_quote
+        QUALIFY row_number() OVER (PARTITION BY opportunity_number
+                                   ORDER BY quote_date IS NULL, quote_date DESC NULLS LAST,
+                                            quote_number DESC NULLS LAST) = 1"""))
     c.append(("m_latest_fx", """
         SELECT from_currency_code, effective_start_date, exchange_rate
-        FROM (SELECT *, row_number() OVER (PARTITION BY from_currency_code
-                                           ORDER BY effective_start_date DESC NULLS LAST,
-                                                    exchange_rate DESC NULLS LAST) AS rn
-              FROM s_edh_exchange_rate) WHERE rn = 1"""))
+        FROM s_edh_exchange_rate
+        QUALIFY row_number() OVER (PARTITION BY from_currency_code
+                                   ORDER BY effective_start_date DESC NULLS LAST, exchange_rate DESC NULLS LAST) = 1"""))
+    c.append(("m_eligible", f"""
+        SELECT * FROM s_edh_account a WHERE {ELIGIBLE.format(a='a')}"""))
     c.append(("m_edh_lines", f"""
-        SELECT 'EDH_SFDC' AS source_system, o.opportunity_number, l.line_item_number,
+        SELECT 'EDH_SFDC' AS source_system, o.opportunity_number, x.line_item_number,
                o.end_customer_account_csn AS account_csn, o.sales_partner_account_csn AS partner_csn,
                o.sales_partner_account_csn AS opportunity_partner_account_csn,
-               o.sales_rep_number AS opportunity_owner_id, a.sales_rep_number AS account_owner_id,
+               o.sales_rep_number AS opportunity_owner_id, e.sales_rep_number AS account_owner_id,
                CAST(o.projected_close_date AS DATE) AS opportunity_projected_close_date,
-               CAST(l.quantity AS DOUBLE) AS quantity,
-               CAST(l.line_item_acv_usd AS DECIMAL(28,8)) AS line_item_acv_usd,
-               CAST(CAST(l.line_item_acv_usd AS DECIMAL(28,8))
-                    * {stage_case('o.opportunity_stage', False, 'weight')} AS DECIMAL(32,10))
+               CAST(x.quantity AS DOUBLE) AS quantity, x.acv AS line_item_acv_usd,
+               CAST(x.acv * {stage_case('o.opportunity_stage', False, 'weight')} AS DECIMAL(32,10))
                    AS line_item_weighted_acv_usd,
-               l.sales_revenue_group_detail AS offer_type, l.opportunity_line_status, l.sales_motion_category,
-               l.action, l.access_model AS license_type, l.term,
-               f.sales_motion_product_category, f.offering_name, f.solution_division, f.focus_segment_group,
-               f.focus_segment, q.quote_number, q.sales_partner_account_csn AS quote_partner_account_csn,
-               q.quote_status, q.quote_date AS quoted_on_date
+               x.sales_revenue_group_detail AS offer_type, x.opportunity_line_status, x.sales_motion_category,
+               x.action, x.access_model AS license_type, x.term, x.sales_motion_product_category, x.offering_name,
+               x.solution_division, x.focus_segment_group, x.focus_segment, q.quote_number,
+               q.sales_partner_account_csn AS quote_partner_account_csn, q.quote_status, q.quote_date AS quoted_on_date
         FROM s_edh_opportunity o
-        LEFT JOIN s_edh_opportunity_line_item l ON o.opportunity_number = l.opportunity_number
-        LEFT JOIN s_edh_offering f ON l.offering_id = f.offering_id
-        JOIN s_edh_account a ON o.end_customer_account_csn = a.account_csn
+        JOIN m_eligible e ON e.account_csn = o.end_customer_account_csn
+        LEFT JOIN (SELECT l.*, CAST(l.line_item_acv_usd AS DECIMAL(28,8)) AS acv, f.sales_motion_product_category,
+                          f.offering_name, f.solution_division, f.focus_segment_group, f.focus_segment
+                   FROM s_edh_opportunity_line_item l LEFT JOIN s_edh_offering f ON f.offering_id = l.offering_id) x
+               ON x.opportunity_number = o.opportunity_number
         LEFT JOIN m_latest_quote q ON q.opportunity_number = o.opportunity_number
-        WHERE {ELIGIBLE.format(a='a')}
-          AND CAST(o.projected_close_date AS DATE) BETWEEN {CLOSE_FROM} AND {CLOSE_TO}
-          AND o.opportunity_type = 'UnifiedOpportunity'"""))
-    acv = "CAST(l.est_annualized_amount_c * fx.exchange_rate AS DECIMAL(28,8))"
+        WHERE o.opportunity_type = 'UnifiedOpportunity'
+          AND CAST(o.projected_close_date AS DATE) BETWEEN {CLOSE_FROM} AND {CLOSE_TO}"""))
+    c.append(("m_acs_opps_ok", f"""
+        SELECT o.*, aa.child_csn, aa.shipping_country AS account_shipping_country,
+               e.account_csn AS cust_csn, e.sales_rep_number AS cust_rep
+        FROM s_acs_opportunity o
+        JOIN s_acs_account aa ON aa.account_id = o.account_id
+        JOIN m_eligible e ON trim(e.account_csn) = trim(aa.child_csn)
+        WHERE {_not_in('s_edh_opportunity', 'opportunity_number', 'o.opportunity_number__c')}
+          AND COALESCE(o.reason_lost_c, 'n/a') <> 'Migrated to ENT'
+          AND CAST(o.close_date AS DATE) BETWEEN {CLOSE_FROM} AND {CLOSE_TO}"""))
     c.append(("m_acs_lines", f"""
         SELECT 'ACS_SFDC' AS source_system, o.opportunity_number__c AS opportunity_number,
-               l.id AS line_item_number, ca.account_csn AS account_csn, aa.child_csn AS partner_csn,
-               aa.child_csn AS opportunity_partner_account_csn, o.owner_id AS opportunity_owner_id,
-               ca.sales_rep_number AS account_owner_id,
-               CAST(o.close_date AS DATE) AS opportunity_projected_close_date,
-               CAST(l.quantity AS DOUBLE) AS quantity,
-               {acv} AS line_item_acv_usd,
-               CAST({acv} * {stage_case('o.stage_name', True, 'weight')} AS DECIMAL(32,10))
+               x.id AS line_item_number, o.cust_csn AS account_csn, o.child_csn AS partner_csn,
+               o.child_csn AS opportunity_partner_account_csn, o.owner_id AS opportunity_owner_id,
+               o.cust_rep AS account_owner_id, CAST(o.close_date AS DATE) AS opportunity_projected_close_date,
+               CAST(x.quantity AS DOUBLE) AS quantity, x.acv AS line_item_acv_usd,
+               CAST(x.acv * {stage_case('o.stage_name', True, 'weight')} AS DECIMAL(32,10))
                    AS line_item_weighted_acv_usd,
                {SENT} AS offer_type, {SENT} AS opportunity_line_status, {SENT} AS sales_motion_category,
                {SENT} AS action, {SENT} AS license_type, {SENT} AS term,
-               {SENT} AS sales_motion_product_category, l.subscription_name AS offering_name,
+               {SENT} AS sales_motion_product_category, x.subscription_name AS offering_name,
                {SENT} AS solution_division, 'Emerging Tech' AS focus_segment_group,
                'Construction' AS focus_segment, {SENT} AS quote_number, {SENT} AS quote_partner_account_csn,
                {SENT} AS quote_status, CAST(NULL AS DATE) AS quoted_on_date
-        FROM s_acs_opportunity o
-        LEFT JOIN s_acs_opportunity_line_item l ON o.id = l.opportunity_id AND l.is_deleted = 0
-        JOIN s_acs_account aa ON o.account_id = aa.account_id
-        JOIN s_edh_account ca ON trim(aa.child_csn) = trim(ca.account_csn)
-        LEFT JOIN m_latest_fx fx ON l.currency_iso_code = fx.from_currency_code
-        LEFT JOIN s_edh_opportunity e ON o.opportunity_number__c = e.opportunity_number
-        LEFT JOIN s_country_region_map g ON lower(COALESCE(o.shipping_country, aa.shipping_country)) = lower(g.country)
-        WHERE e.opportunity_number IS NULL
-          AND NOT (g.country IS NOT NULL AND o.is_closed = 0)
-          AND COALESCE(o.reason_lost_c, 'n/a') <> 'Migrated to ENT'
-          AND {ELIGIBLE.format(a='ca')}
-          AND CAST(o.close_date AS DATE) BETWEEN {CLOSE_FROM} AND {CLOSE_TO}"""))
+        FROM m_acs_opps_ok o
+        LEFT JOIN s_country_region_map g
+               ON lower(g.country) = lower(COALESCE(o.shipping_country, o.account_shipping_country))
+        LEFT JOIN (SELECT l.*, CAST(l.est_annualized_amount_c * r.exchange_rate AS DECIMAL(28,8)) AS acv
+                   FROM s_acs_opportunity_line_item l
+                   LEFT JOIN m_latest_fx r ON r.from_currency_code = l.currency_iso_code
+                   WHERE l.is_deleted = 0) x ON x.opportunity_id = o.id
+        WHERE g.country IS NULL OR o.is_closed <> 0"""))
     c.append(("m_fct_blended_opportunities", "SELECT * FROM m_edh_lines UNION ALL BY NAME SELECT * FROM m_acs_lines"))
 
     # ---- activities
-    t = "NULLIF(trim(t.sales_activity_type), '')"
-    edh_type = f"""CASE
-            WHEN t.task_subtype = 'Task' AND {t} = 'Call' THEN 'Call'
-            WHEN t.task_subtype = 'Call' AND {t} = 'Meeting' THEN 'Meeting'
-            WHEN t.task_subtype = 'Task' AND {t} = 'Email' THEN 'Email'
-            WHEN t.task_subtype = 'Task' AND {t} IS NULL AND t.sales_activity_subtype = 'Email - Response Received'
-                THEN 'Email'
-            WHEN t.task_subtype = 'Task' AND {t} IS NULL AND lower(t.subject_line) LIKE '%sub-call%' THEN 'Call'
-            WHEN t.task_subtype = 'Task' AND {t} IS NULL AND lower(t.subject_line) LIKE '%inmail%' THEN 'Email'
-            WHEN t.task_subtype = 'Task' AND {t} IS NULL AND lower(t.task_description) LIKE '%external email%'
-                THEN 'Email'
-            WHEN t.task_subtype = 'Task' AND {t} IS NULL
-                 AND lower(t.task_description) LIKE '%email sent successfully%' THEN 'Email'
-            WHEN t.task_subtype = 'Task' AND {t} IN ('Chat', 'Meeting', 'Social', 'Update')
-                THEN trim(t.sales_activity_type)
+    def edh_type(sat, s, sas, subj, descr):
+        t = f"NULLIF(trim({sat}), '')"
+        dflt = f"COALESCE(NULLIF(trim({s}), ''), 'Task')"
+        return f"""CASE
             WHEN {t} IN ('Call', 'Scheduled Call') THEN 'Call'
-            WHEN {t} = 'Email' THEN 'Email'
-            WHEN {t} = 'Meeting' THEN 'Meeting'
-            WHEN {t} IN ('Chat', 'Social', 'Update') THEN trim(t.sales_activity_type)
-            ELSE COALESCE(NULLIF(trim(t.task_subtype), ''), 'Task') END"""
+            WHEN {t} IN ('Email', 'Meeting', 'Chat', 'Social', 'Update') THEN {t}
+            WHEN {t} IS NULL AND {s} = 'Task' THEN CASE
+                WHEN {sas} = 'Email - Response Received' THEN 'Email'
+                WHEN contains(lower({subj}), 'sub-call') THEN 'Call'
+                WHEN contains(lower({subj}), 'inmail') OR contains(lower({descr}), 'external email')
+                     OR contains(lower({descr}), 'email sent successfully') THEN 'Email'
+                ELSE {dflt} END
+            ELSE {dflt} END"""
+    sub = "NULLIF(trim(t.sales_activity_subtype), '')"
+    typ = "NULLIF(trim(t.sales_activity_type), '')"
     edh_dir = f"""CASE
-            WHEN trim(t.sales_activity_subtype) = 'Email - Sent' THEN 'Outbound'
-            WHEN trim(t.sales_activity_subtype) = 'Email - Response Received' THEN 'Inbound'
-            WHEN trim(t.sales_activity_subtype) = 'Email - Engaged with Partner' THEN 'Outbound'
-            WHEN {t} IN ('Call', 'Scheduled Call') OR t.task_subtype = 'Call' THEN 'Outbound'
-            WHEN {t} = 'Email' AND t.task_type = 'Inbound' THEN 'Inbound'
-            WHEN {t} = 'Email' AND NULLIF(trim(t.sales_activity_subtype), '') IS NULL
-                 AND t.task_subtype IN ('Email', 'ListEmail') THEN 'Outbound'
+            WHEN {sub} IN ('Email - Sent', 'Email - Engaged with Partner') THEN 'Outbound'
+            WHEN {sub} = 'Email - Response Received' THEN 'Inbound'
+            WHEN {typ} IN ('Call', 'Scheduled Call') OR t.task_subtype = 'Call' THEN 'Outbound'
+            WHEN {typ} = 'Email' THEN CASE
+                WHEN t.task_type = 'Inbound' THEN 'Inbound'
+                WHEN {sub} IS NULL AND t.task_subtype IN ('Email', 'ListEmail') THEN 'Outbound'
+                ELSE trim(t.sales_activity_subtype) END
             ELSE trim(t.sales_activity_subtype) END"""
-    edh_group = f"""CASE
-            WHEN trim(t.sales_activity_subtype) IN ('Engaged with partner', 'Email - Engaged with Partner')
-                THEN 'Partner Activity'
-            WHEN acc.account_type IN ('Distributor', 'Reseller') THEN 'Partner Activity'
-            WHEN con.email_address IS NOT NULL AND {domain('con.email_address')} LIKE '%{TENANT}%'
-                THEN 'Internal Activity'
-            ELSE 'Customer Activity' END"""
     c.append(("m_edh_activities", f"""
-        SELECT t.task_id AS activity_id, o.end_customer_account_csn AS account_csn,
-               o.opportunity_number, o.source_record_id AS whatid,
+        SELECT t.task_id AS activity_id, oa.end_customer_account_csn AS account_csn,
+               oa.opportunity_number, oa.source_record_id AS whatid,
                t.assigned_to_employee_number AS ownerid, t.end_customer_contact_csn AS account_contact_csn,
                t.subject_line AS activity_subject, t.task_type, t.task_subtype, t.task_status,
                CAST(t.source_created_ts AS DATE) AS activity_created_date,
@@ -234,49 +240,47 @@ def model_ctes() -> list[tuple[str, str]]:
                trim(t.sales_activity_type) AS cadence_activity_type,
                CAST(NULL AS VARCHAR) AS call_outcome, CAST(NULL AS VARCHAR) AS call_type_raw,
                CAST(NULL AS DOUBLE) AS outreach_call_duration_seconds,
-               {edh_type} AS new_activity_type, {edh_dir} AS activity_type, {edh_group} AS activity_group,
+               {edh_type('t.sales_activity_type', 't.task_subtype', 't.sales_activity_subtype',
+                         't.subject_line', 't.task_description')} AS new_activity_type,
+               {edh_dir} AS activity_type,
+               CASE WHEN trim(t.sales_activity_subtype) IN ('Engaged with partner', 'Email - Engaged with Partner')
+                         OR oa.account_type IN ('Distributor', 'Reseller') THEN 'Partner Activity'
+                    WHEN contains({domain('con.email_address')}, '{TENANT}') THEN 'Internal Activity'
+                    ELSE 'Customer Activity' END AS activity_group,
                'EDH' AS source_system
         FROM s_edh_opportunity_task t
-        JOIN s_edh_opportunity o ON t.opportunity_number = o.opportunity_number
-        LEFT JOIN s_edh_account acc ON o.end_customer_account_csn = acc.account_csn
-        LEFT JOIN s_edh_contact con ON t.end_customer_contact_csn = con.contact_csn
+        JOIN (SELECT o.opportunity_number, o.end_customer_account_csn, o.source_record_id, a.account_type
+              FROM s_edh_opportunity o LEFT JOIN s_edh_account a ON a.account_csn = o.end_customer_account_csn) oa
+          ON oa.opportunity_number = t.opportunity_number
+        LEFT JOIN s_edh_contact con ON con.contact_csn = t.end_customer_contact_csn
         WHERE t.task_status = 'Completed' AND t.source_created_ts >= {LOOKBACK}
-          AND COALESCE(t.sales_activity_subtype, 'Blank') != 'Email - Bounced'"""))
+          AND t.sales_activity_subtype IS DISTINCT FROM 'Email - Bounced'"""))
     ct = "NULLIF(trim(ct.task_type), '')"
     s = "ct.task_subtype"
+    rest = f"IF(NULLIF(trim({s}), '') IN ('Chat', 'Social', 'Update', 'ListEmail', 'Cadence'), {s}, " \
+           f"COALESCE(NULLIF(trim({s}), ''), 'Task'))"
     acs_type = f"""CASE
             WHEN {ct} IN ('Call', 'Connected Call') THEN 'Call'
-            WHEN {ct} = 'Email' THEN 'Email'
-            WHEN {ct} = 'Meeting' THEN 'Meeting'
-            WHEN {s} = 'Email' THEN 'Email'
-            WHEN {s} = 'Call' THEN 'Call'
-            WHEN {s} = 'Meeting' THEN 'Meeting'
-            WHEN {s} = 'Task' AND {ct} IN {in_list(R.ACS_EMAIL_LABELS)} THEN 'Email'
-            WHEN {s} = 'Task' AND ({ct} IN {in_list(R.ACS_MEETING_LABELS)} OR lower({ct}) LIKE '%meeting%')
-                THEN 'Meeting'
-            WHEN {s} = 'Task' AND (lower({ct}) LIKE 'linkedin:%' OR {ct} IN {in_list(R.ACS_SOCIAL_LABELS)})
-                THEN 'Social'
-            WHEN {s} = 'Task' AND {ct} IN {in_list(R.ACS_CALL_LABELS)} THEN 'Call'
-            WHEN {s} = 'Task' AND {ct} IN {in_list(R.ACS_TASK_LABELS)} THEN 'Task'
-            WHEN NULLIF(trim({s}), '') IN ('Chat', 'Social', 'Update', 'ListEmail', 'Cadence') THEN {s}
-            ELSE COALESCE(NULLIF(trim({s}), ''), 'Task') END"""
+            WHEN {ct} IN ('Email', 'Meeting') THEN {ct}
+            WHEN {s} IN ('Email', 'Call', 'Meeting') THEN {s}
+            WHEN {s} = 'Task' THEN CASE
+                WHEN {ct} IN {in_list(R.ACS_EMAIL_LABELS)} THEN 'Email'
+                WHEN {ct} IN {in_list(R.ACS_MEETING_LABELS)} OR contains(lower({ct}), 'meeting') THEN 'Meeting'
+                WHEN starts_with(lower({ct}), 'linkedin:') OR {ct} IN {in_list(R.ACS_SOCIAL_LABELS)} THEN 'Social'
+                WHEN {ct} IN {in_list(R.ACS_CALL_LABELS)} THEN 'Call'
+                WHEN {ct} IN {in_list(R.ACS_TASK_LABELS)} THEN 'Task'
+                ELSE {rest} END
+            ELSE {rest} END"""
     acs_dir = f"""CASE
             WHEN {s} = 'Email' OR {ct} IN ('Email - Sent', 'Email - Engaged with Partner') THEN 'Outbound'
             WHEN {ct} = 'Email - Response Received' THEN 'Inbound'
-            WHEN {s} = 'Call' THEN COALESCE(ct.call_type, 'Outbound')
-            WHEN {ct} IN ('Call', 'Connected Call') THEN COALESCE(ct.call_type, 'Outbound')
-            WHEN {s} = 'ListEmail' THEN 'Outbound'
-            ELSE NULL END"""
-    mail = "COALESCE(edh_c.email_address, cc.user_email)"
-    acs_group = f"""CASE
-            WHEN {ct} IN ('Engaged with partner', 'Email - Engaged with Partner')
-              OR COALESCE(acc.account_type, ca.account_type) IN ('Distributor', 'Reseller') THEN 'Partner Activity'
-            WHEN {mail} IS NOT NULL AND {domain(mail)} LIKE '%{TENANT}%' THEN 'Internal Activity'
-            ELSE 'Customer Activity' END"""
+            WHEN {s} = 'Call' OR {ct} IN ('Call', 'Connected Call') THEN COALESCE(ct.call_type, 'Outbound')
+            WHEN {s} = 'ListEmail' THEN 'Outbound' END"""
+    mail = "COALESCE(cs.ec_email, cs.cc_email)"
     c.append(("m_construction_activities", f"""
-        SELECT ct.task_id AS activity_id, ca.own_csn AS account_csn, opp.opportunity_number__c AS opportunity_number,
-               opp.id AS whatid, ct.owner_id AS ownerid,
-               COALESCE(edh_c.contact_csn, cc.contact_csn) AS account_contact_csn,
+        SELECT ct.task_id AS activity_id, os.own_csn AS account_csn, os.opportunity_number__c AS opportunity_number,
+               os.id AS whatid, ct.owner_id AS ownerid,
+               COALESCE(cs.ec_csn, cs.cc_csn) AS account_contact_csn,
                ct.task_subject AS activity_subject, ct.task_type, ct.task_subtype, ct.task_status,
                CAST(ct.date_created AS DATE) AS activity_created_date,
                ct.date_created AS activity_created_timestamp,
@@ -285,58 +289,58 @@ def model_ctes() -> list[tuple[str, str]]:
                ct.call_outcome AS cadence_activity_sub_type, ct.task_type_c AS cadence_activity_type,
                ct.call_outcome, ct.call_type AS call_type_raw,
                ct.outreach_call_duration_c AS outreach_call_duration_seconds,
-               {acs_type} AS new_activity_type, {acs_dir} AS activity_type, {acs_group} AS activity_group,
+               {acs_type} AS new_activity_type, {acs_dir} AS activity_type,
+               CASE WHEN {ct} IN ('Engaged with partner', 'Email - Engaged with Partner')
+                         OR COALESCE(os.edh_type, os.acs_type) IN ('Distributor', 'Reseller') THEN 'Partner Activity'
+                    WHEN contains({domain(mail)}, '{TENANT}') THEN 'Internal Activity'
+                    ELSE 'Customer Activity' END AS activity_group,
                'Construction' AS source_system
         FROM s_acs_task ct
-        JOIN s_acs_opportunity opp ON ct.what_id = opp.id
-        JOIN s_acs_account ca ON opp.account_id = ca.account_id
-        LEFT JOIN s_edh_account acc ON ca.own_csn = acc.account_csn
-        LEFT JOIN s_edh_opportunity edh_opp ON opp.opportunity_number__c = edh_opp.opportunity_number
-        LEFT JOIN s_acs_contact cc ON ct.sfdc_contact_id = cc.contact_id
-        LEFT JOIN s_edh_contact edh_c ON cc.contact_csn = edh_c.contact_csn
+        JOIN (SELECT o.id, o.opportunity_number__c, ca.own_csn, ca.account_type AS acs_type,
+                     a.account_type AS edh_type
+              FROM s_acs_opportunity o
+              JOIN s_acs_account ca ON ca.account_id = o.account_id
+              LEFT JOIN s_edh_account a ON a.account_csn = ca.own_csn
+              WHERE ca.own_csn IS NOT NULL
+                AND {_not_in('s_edh_opportunity', 'opportunity_number', 'o.opportunity_number__c')}) os
+          ON os.id = ct.what_id
+        LEFT JOIN (SELECT cc.contact_id, cc.contact_csn AS cc_csn, cc.user_email AS cc_email,
+                          ec.contact_csn AS ec_csn, ec.email_address AS ec_email
+                   FROM s_acs_contact cc LEFT JOIN s_edh_contact ec ON ec.contact_csn = cc.contact_csn) cs
+          ON cs.contact_id = ct.sfdc_contact_id
         WHERE ct.task_status = 'Completed' AND COALESCE(ct.is_deleted, 0) = 0
-          AND ct.date_created >= {LOOKBACK} AND ct.task_type != 'Email - Bounced'
-          AND ca.own_csn IS NOT NULL AND edh_opp.opportunity_number IS NULL"""))
+          AND ct.date_created >= {LOOKBACK} AND ct.task_type <> 'Email - Bounced'"""))
     edh_conn = in_list(R.EDH_CONNECTED_SUBTYPES)
     acs_conn = in_list(R.ACS_CONNECTED_OUTCOMES)
+    c.append(("m_activity_tests", f"""
+        SELECT *,
+               new_activity_type = 'Call' AS is_call, new_activity_type = 'Email' AS is_email,
+               activity_group = 'Customer Activity' AS is_customer, source_system = 'EDH' AS is_edh
+        FROM (SELECT * FROM m_edh_activities UNION ALL BY NAME SELECT * FROM m_construction_activities)
+        WHERE activity_created_date >= {REPORT_FROM}"""))
+    flag = "CAST(COALESCE({}, false) AS INTEGER)"
     c.append(("m_fct_blended_opportunity_activities", f"""
-        SELECT f.activity_id, f.source_system, f.account_csn, f.ownerid, f.account_contact_csn,
-               f.opportunity_number, f.whatid, f.activity_created_date, f.activity_subject, f.task_type,
-               f.task_subtype, f.task_status, f.activity_created_timestamp, f.activity_date,
-               f.activity_completed_timestamp, f.cadence_activity_type, f.cadence_activity_sub_type,
-               f.new_activity_type, f.activity_type, f.activity_group, f.call_outcome, f.call_type_raw,
-               CASE WHEN f.new_activity_type = 'Call' THEN COALESCE(f.call_outcome, f.cadence_activity_sub_type) END
-                   AS calldisposition,
-               CASE WHEN f.new_activity_type = 'Call' THEN COALESCE(
-                   CAST(trunc(NULLIF(f.outreach_call_duration_seconds, 0)) AS INTEGER),
-                   CASE WHEN f.activity_completed_timestamp IS NOT NULL AND f.activity_created_timestamp IS NOT NULL
-                             AND f.activity_completed_timestamp > f.activity_created_timestamp
-                        THEN CAST(date_diff('second', f.activity_created_timestamp,
-                                            f.activity_completed_timestamp) AS INTEGER) END) END
-                   AS calldurationinseconds,
-               CASE WHEN f.new_activity_type = 'Call' AND f.activity_type = 'Outbound'
-                         AND f.activity_group = 'Customer Activity' THEN 1 ELSE 0 END AS call_attempt_outbound,
-               CASE WHEN f.new_activity_type = 'Call' AND f.activity_type = 'Outbound'
-                         AND f.activity_group = 'Customer Activity'
-                         AND ((f.source_system = 'EDH' AND f.cadence_activity_sub_type IN {edh_conn})
-                              OR (f.source_system = 'Construction' AND f.call_outcome IN {acs_conn}))
-                    THEN 1 ELSE 0 END AS call_connected_outbound,
-               CASE WHEN f.new_activity_type = 'Meeting' AND f.activity_group = 'Customer Activity'
-                         AND ((f.source_system = 'EDH' AND f.activity_type = 'Outbound'
-                               AND f.cadence_activity_sub_type = 'Meeting scheduled')
-                              OR (f.source_system = 'Construction'
-                                  AND f.task_type IN {in_list(R.ACS_MEETING_SCHEDULED_TYPES)}))
-                    THEN 1 ELSE 0 END AS meeting_scheduled,
-               CASE WHEN f.new_activity_type IN ('Meeting', 'Call')
-                         AND ((f.source_system = 'EDH'
-                               AND f.cadence_activity_sub_type IN {in_list(R.EDH_MEETING_COMPLETED_SUBTYPES)})
-                              OR (f.source_system = 'Construction'
-                                  AND f.task_type IN {in_list(R.ACS_MEETING_COMPLETED_TYPES)}))
-                    THEN 1 ELSE 0 END AS meeting_completed,
-               CASE WHEN f.new_activity_type = 'Email' AND f.activity_type = 'Outbound'
-                         AND f.activity_group = 'Customer Activity' THEN 1 ELSE 0 END AS email_attempt_outbound,
-               CASE WHEN f.new_activity_type = 'Email' AND f.activity_type = 'Inbound'
-                         AND f.activity_group = 'Customer Activity' THEN 1 ELSE 0 END AS email_received
-        FROM (SELECT * FROM m_edh_activities UNION ALL BY NAME SELECT * FROM m_construction_activities) f
-        WHERE f.activity_created_date >= {REPORT_FROM}"""))
+        SELECT activity_id, source_system, account_csn, ownerid, account_contact_csn, opportunity_number, whatid,
+               activity_created_date, activity_subject, task_type, task_subtype, task_status,
+               activity_created_timestamp, activity_date, activity_completed_timestamp, cadence_activity_type,
+               cadence_activity_sub_type, new_activity_type, activity_type, activity_group, call_outcome, call_type_raw,
+               IF(is_call, COALESCE(call_outcome, cadence_activity_sub_type), NULL) AS calldisposition,
+               IF(is_call, COALESCE(
+                   CAST(trunc(NULLIF(outreach_call_duration_seconds, 0)) AS INTEGER),
+                   IF(activity_completed_timestamp > activity_created_timestamp,
+                      CAST(date_diff('second', activity_created_timestamp, activity_completed_timestamp) AS INTEGER),
+                      NULL)), NULL) AS calldurationinseconds,
+               {flag.format("is_call AND activity_type = 'Outbound' AND is_customer")} AS call_attempt_outbound,
+               {flag.format(f"is_call AND activity_type = 'Outbound' AND is_customer AND IF(is_edh, "
+                            f"cadence_activity_sub_type IN {edh_conn}, call_outcome IN {acs_conn})")}
+                   AS call_connected_outbound,
+               {flag.format(f"new_activity_type = 'Meeting' AND is_customer AND IF(is_edh, "
+                            f"activity_type = 'Outbound' AND cadence_activity_sub_type = 'Meeting scheduled', "
+                            f"task_type IN {in_list(R.ACS_MEETING_SCHEDULED_TYPES)})")} AS meeting_scheduled,
+               {flag.format(f"new_activity_type IN ('Meeting', 'Call') AND IF(is_edh, "
+                            f"cadence_activity_sub_type IN {in_list(R.EDH_MEETING_COMPLETED_SUBTYPES)}, "
+                            f"task_type IN {in_list(R.ACS_MEETING_COMPLETED_TYPES)})")} AS meeting_completed,
+               {flag.format("is_email AND activity_type = 'Outbound' AND is_customer")} AS email_attempt_outbound,
+               {flag.format("is_email AND activity_type = 'Inbound' AND is_customer")} AS email_received
+        FROM m_activity_tests"""))
     return c
