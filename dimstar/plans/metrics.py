@@ -177,12 +177,12 @@ def metric_query(fact: DataFrame, metrics: Sequence[str], group_by: Sequence[str
         for role, (edge, attrs) in by_edge.items():
             fk_edge = Edge(f"__fk_{role}", edge.dim, edge.key, role, True)
             reduced = join_edge(reduced, dims[edge.dim], fk_edge, attrs)
-        final_keys = [n for n, _ in local] + [f"{r}__{a}" for r, (_, attrs) in by_edge.items() for a in attrs]
+        final_keys = list(group_by)
         aggs = [F.sum(f"__s_{m.name}").alias(m.name) for m in sums]
         aggs += [F.countDistinct(f"__d_{m.name}").alias(m.name) for m in distincts]
         agg = reduced.groupBy(*final_keys).agg(*aggs)
     else:
-        final_keys = [n for n, _ in local]
+        final_keys = list(group_by)
         aggs = [F.sum(m.expr()).alias(m.name) for m in sums]
         aggs += [F.countDistinct(m.expr()).alias(m.name) for m in distincts]
         agg = df.groupBy(*[c.alias(n) for n, c in local]).agg(*aggs)
