@@ -1,7 +1,7 @@
 """Command line: build the marts (like ``dbt build``) and ask metrics (like ``dbt sl query``).
 
     python -m dimstar.cli build --sources ROOT [--fixture] --out FOLDER [--as-of YYYY-MM-DD]
-    python -m dimstar.cli query --marts FOLDER --metrics a,b --group-by x,y [--order-by -a] [--where SQL]
+    python -m dimstar.cli query --marts FOLDER --metrics a,b --group-by x,y [--order-by=-a] [--where SQL]
 
 ``build`` reads the 18 sources (one parquet folder each under ROOT, or the
 test tables with ``--fixture``), writes the seven marts under FOLDER, runs

@@ -19,7 +19,7 @@ def test_build_then_query(spark, capsys):
     result = os.path.join(out, "result")
     assert cli.main(["query", "--master", "local[2]", "--marts", marts, "--metrics",
                      "total_activities,call_connect_rate", "--group-by", "source_system,metric_time__week",
-                     "--order-by", "-total_activities", "--output", result]) == 0
+                     "--order-by=-total_activities", "--output", result]) == 0
     df = spark.read.parquet(result)
     assert df.columns == ["source_system", "metric_time__week", "total_activities", "call_connect_rate"]
     assert df.count() > 0
