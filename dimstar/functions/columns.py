@@ -53,7 +53,7 @@ def pick(key: Column, values: Iterable[object]) -> Column:
     """Deterministic choice ``values[key % n]`` (used by the test fixtures)."""
     vals = list(values)
     arr = F.array(*[F.lit(v).cast("string") if v is None else F.lit(v) for v in vals])
-    return F.element_at(arr, (key % F.lit(len(vals))).cast("int") + F.lit(1))
+    return F.element_at(arr, F.pmod(key, F.lit(len(vals))).cast("int") + F.lit(1))
 
 
 def key_text(prefix: str, *parts: Column, sep: str = "-") -> Column:
