@@ -88,7 +88,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(existing)
         return existing
+    # spark.checkpoint.dir cannot be changed at runtime; the context's folder
+    # is what checkpoint() and checkpoint_dir() use.
     folder = tempfile.mkdtemp(prefix="dimstar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(folder)
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return spark.sparkContext.getCheckpointDir() or folder
