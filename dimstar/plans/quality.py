@@ -128,6 +128,7 @@ def failure_log(spark: SparkSession, tests: Sequence[DataTest], marts: Mapping[s
                 log_root: str, run_id: str | None = None) -> DataFrame:
     """Append this run's failing rows to ``log_root`` (partitioned by run) and read them back."""
     run_id = run_id or uuid.uuid4().hex
-    rows = all_failing_rows(tests, marts).withColumn("run_id", F.lit(run_id))
-    rows.write.mode("append").partitionBy("run_id").parquet(log_root)
+    # Each run writes its own partition folder, so concurrent or retried runs
+    # never share an output directory; readers see runs as a run_id column.
+    all_failing_rows(tests, marts).write.mode("overwrite").parquet(f"{log_root.rstrip('/')}/run_id={run_id}")
     return spark.read.parquet(log_root).where(F.col("run_id") == run_id).drop("run_id")
