@@ -53,13 +53,15 @@ def run_once(spark, sf_dir: str) -> dict[str, float]:
     src = stage_sources(spark, fixture_sources(spark, sf_dir))
     times["stage_sources"] = time.perf_counter() - t0
 
-    built = marts(src, TEST_PARAMS)
     folder = run_folder(spark, "marts")
     published = {}
+    t0 = time.perf_counter()
+    built = marts(src, TEST_PARAMS, materialize=True)  # writes F1's opportunity side once, now
+    setup = time.perf_counter() - t0
     for name in built:
         t0 = time.perf_counter()
         published.update(write_tables(spark, built, [name], folder))
-        times[f"build_{name}"] = time.perf_counter() - t0
+        times[f"build_{name}"] = time.perf_counter() - t0 + (setup if name == "fct_blended_opportunities" else 0.0)
 
     for name in REPORTS:
         fn = flagship_over if name == "flagship" else MART_QUERIES[name]

@@ -56,7 +56,7 @@ def build(args) -> int:
 
     spark = _session(args.master)
     src = fixture_sources(spark, args.sources) if args.fixture else load_sources(spark, args.sources)
-    published = write_tables(spark, marts(src, _params(args)), folder=args.out)
+    published = write_tables(spark, marts(src, _params(args), materialize=True), folder=args.out)
     Q.failure_log(spark, Q.ALL_TESTS, published, os.path.join(args.out, "dq_failure_log"))
     summary = Q.summary(Q.ALL_TESTS, published).orderBy("test_name").collect()
     failed = 0

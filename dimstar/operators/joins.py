@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dimstar.session import shared_folder
+
 
 def one_to_many_left_join(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str,
-                          then: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                          then: Callable[[DataFrame], DataFrame] | None = None,
+                          materialize_parents: bool = False) -> DataFrame:
     """``parents LEFT JOIN children ON parent_key = child_key``, child side large.
 
     In an outer join Spark can split a skewed partition only on the
@@ -22,12 +25,18 @@ def one_to_many_left_join(parents: DataFrame, children: DataFrame, parent_key: s
 
     ``then`` is applied to each branch before the union: a further join on
     the same key then reuses the branch's hash partitioning instead of
-    reshuffling the (line-grain) union.  The parent side is read by both
-    branches.  Rows and multiplicities equal the plain left join.
+    reshuffling the (line-grain) union.  Both branches read the parent side;
+    with ``materialize_parents`` it is written once as a parquet table in a
+    fresh folder under the shared checkpoint folder, and both read that
+    table instead of recomputing it (the write runs when this is called).  Rows and multiplicities equal the plain left join.
     """
     shared = set(parents.columns) & set(children.columns)
     if shared:
         raise ValueError(f"rename shared columns before joining: {sorted(shared)}")
+    if materialize_parents:
+        path = shared_folder(parents.sparkSession, "lineage_cut")
+        parents.write.parquet(path)
+        parents = parents.sparkSession.read.parquet(path).select(*parents.columns)
     matched = parents.join(children, F.col(parent_key) == F.col(child_key), "inner")
     child_keys = children.select(F.col(child_key).alias("__child_key")).where(F.col("__child_key").isNotNull()) \
         .distinct()

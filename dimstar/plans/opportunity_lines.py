@@ -65,7 +65,7 @@ def latest_fx_rate(src: Sources) -> DataFrame:
     )
 
 
-def edh_opportunity_lines(src: Sources, params: Params) -> DataFrame:
+def edh_opportunity_lines(src: Sources, params: Params, materialize: bool = False) -> DataFrame:
     """EDH branch: eligible in-window opportunities, fanned out to their lines."""
     acct = eligible_accounts(src).select(
         F.col("account_csn").alias("acct_csn"), F.col("sales_rep_number").alias("account_owner_id"))
@@ -95,7 +95,8 @@ def edh_opportunity_lines(src: Sources, params: Params) -> DataFrame:
     # already partitioned by, so the line-grain rows are not shuffled again.
     rows = one_to_many_left_join(
         opp_side, lines, "opportunity_number", "line_opportunity_number",
-        then=lambda df: df.join(quote, F.col("opportunity_number") == F.col("q_opportunity_number"), "left"))
+        then=lambda df: df.join(quote, F.col("opportunity_number") == F.col("q_opportunity_number"), "left"),
+        materialize_parents=materialize)
     acv = F.col("line_acv").cast(ACV)
     return rows.select(
         F.lit(R.PIPELINE_EDH).alias("source_system"),
@@ -142,7 +143,7 @@ def acs_opportunities_screened(src: Sources, params: Params) -> DataFrame:
     return screened.where(~(F.col("geo_country").isNotNull() & (F.col("is_closed") == 0)))
 
 
-def acs_opportunity_lines(src: Sources, params: Params) -> DataFrame:
+def acs_opportunity_lines(src: Sources, params: Params, materialize: bool = False) -> DataFrame:
     """ACS branch: screened opportunities with their non-deleted lines in USD."""
     opp_side = acs_opportunities_screened(src, params)
     fx = latest_fx_rate(src).select(F.col("from_currency_code").alias("fx_currency"), "exchange_rate")
@@ -152,7 +153,7 @@ def acs_opportunity_lines(src: Sources, params: Params) -> DataFrame:
                 F.col("quantity"), "est_annualized_amount_c", "currency_iso_code", "subscription_name")
         .join(fx, F.col("currency_iso_code") == F.col("fx_currency"), "left")
     )
-    rows = one_to_many_left_join(opp_side, lines, "id", "line_opportunity_id")
+    rows = one_to_many_left_join(opp_side, lines, "id", "line_opportunity_id", materialize_parents=materialize)
     acv = (F.col("est_annualized_amount_c") * F.col("exchange_rate")).cast(ACV)
     s = F.lit(params.sentinel)
     return rows.select(
@@ -179,6 +180,12 @@ def acs_opportunity_lines(src: Sources, params: Params) -> DataFrame:
     )
 
 
-def fct_blended_opportunities(src: Sources, params: Params) -> DataFrame:
-    """F1 = EDH lines UNION ALL ACS lines (27 columns)."""
-    return edh_opportunity_lines(src, params).unionByName(acs_opportunity_lines(src, params)).select(*COLUMNS)
+def fct_blended_opportunities(src: Sources, params: Params, materialize: bool = False) -> DataFrame:
+    """F1 = EDH lines UNION ALL ACS lines (27 columns).
+
+    ``materialize`` writes the opportunity-grain side of each branch once as
+    a table in the shared folder (a job runs when this is called); use it
+    when the mart is built and written, not for a lazily composed query.
+    """
+    return edh_opportunity_lines(src, params, materialize).unionByName(
+        acs_opportunity_lines(src, params, materialize)).select(*COLUMNS)

@@ -10,18 +10,17 @@ other; marts carrying ``source_system`` are partitioned by it.
 from __future__ import annotations
 
 import os
-import uuid
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimstar.session import ensure_checkpoint_dir
+from dimstar.session import shared_folder
 from dimstar.sources.catalog import Sources, load_sources
 
 
 def run_folder(spark: SparkSession, kind: str) -> str:
-    return os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), kind, uuid.uuid4().hex)
+    return shared_folder(spark, kind)
 
 
 def write_tables(spark: SparkSession, frames: Mapping[str, DataFrame], names: Iterable[str] | None = None,

@@ -83,15 +83,15 @@ def _marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return dict(_MARTS[key])
 
 
-def marts(src: Sources, params: Params) -> dict[str, DataFrame]:
-    """The seven published models (lazy)."""
+def marts(src: Sources, params: Params, materialize: bool = False) -> dict[str, DataFrame]:
+    """The seven published models (lazy, unless ``materialize`` cuts F1's parent side)."""
     return {
         "dim_date": D.dim_date(src),
         "dim_unified_account": D.dim_unified_account(src),
         "dim_unified_contact": D.dim_unified_contact(src),
         "dim_unified_employee": D.dim_unified_employee(src),
         "dim_unified_opportunity": D.dim_unified_opportunity(src, params),
-        "fct_blended_opportunities": P.fct_blended_opportunities(src, params),
+        "fct_blended_opportunities": P.fct_blended_opportunities(src, params, materialize),
         "fct_blended_opportunity_activities": A.fct_blended_opportunity_activities(src, params),
     }
 

@@ -93,3 +93,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="dimstar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir() or folder
+
+
+def shared_folder(spark: SparkSession, kind: str) -> str:
+    """A fresh sub-folder of the shared checkpoint folder (one per run, never reused)."""
+    import uuid
+
+    return os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), kind, uuid.uuid4().hex)

@@ -99,3 +99,16 @@ def test_metric_preaggregation_equals_join_then_aggregate(spark):
         F.countDistinct(F.concat("source_system", F.lit("|"), "opportunity_number")).alias("opportunity_count"))
     cols = ("account__account_segment", "total_pipeline_acv_usd", "opportunity_count")
     assert rows_of(got, *cols) == rows_of(want, *cols)
+
+
+def test_materialized_parents_give_the_same_rows(spark):
+    from conftest import SF_SMALL
+    from dimstar.params import TEST_PARAMS
+    from dimstar.plans import opportunity_lines as OL
+    from dimstar.queries import _ctx
+
+    src, _ = _ctx(spark, SF_SMALL)
+    cols = ("source_system", "opportunity_number", "line_item_number", "line_item_acv_usd", "quote_number")
+    lazy = OL.fct_blended_opportunities(src, TEST_PARAMS)
+    cut = OL.fct_blended_opportunities(src, TEST_PARAMS, materialize=True)
+    assert rows_of(cut, *cols) == rows_of(lazy, *cols)
