@@ -69,12 +69,13 @@ def build(args) -> int:
 
 def query(args) -> int:
     from dimstar.plans.metrics import METRICS, metric_query
+    from dimstar.plans.publish import table_path
     from dimstar.queries import star_dims
 
     spark = _session(args.master)
     names = ("dim_date", "dim_unified_account", "dim_unified_contact", "dim_unified_employee",
              "dim_unified_opportunity", "fct_blended_opportunities", "fct_blended_opportunity_activities")
-    m = {n: spark.read.parquet(os.path.join(args.marts, n)) for n in names}
+    m = {n: spark.read.parquet(table_path(args.marts, n)) for n in names}
     metrics = [x for x in args.metrics.split(",") if x]
     model = {METRICS[x].model for x in metrics}
     fact = m["fct_blended_opportunities"] if model == {"blended_opportunities"} else \

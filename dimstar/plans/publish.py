@@ -23,14 +23,33 @@ def run_folder(spark: SparkSession, kind: str) -> str:
     return shared_folder(spark, kind)
 
 
+# Sensitivity split of the published marts: contact data and the activity
+# fact (which carries contact keys) go to the private area, the rest to shared.
+PUBLISH_AREA = {
+    "dim_date": "shared",
+    "dim_unified_account": "shared",
+    "dim_unified_employee": "shared",
+    "dim_unified_opportunity": "shared",
+    "fct_blended_opportunities": "shared",
+    "dim_unified_contact": "private",
+    "fct_blended_opportunity_activities": "private",
+}
+
+
+def table_path(folder: str, name: str) -> str:
+    """``folder/<area>/<name>`` for a mart, ``folder/<name>`` for anything else."""
+    area = PUBLISH_AREA.get(name)
+    return os.path.join(folder, area, name) if area else os.path.join(folder, name)
+
+
 def write_tables(spark: SparkSession, frames: Mapping[str, DataFrame], names: Iterable[str] | None = None,
                  folder: str | None = None) -> dict[str, DataFrame]:
-    """Write each frame as parquet; return the tables read back (same column order)."""
+    """Write each frame as parquet (marts into their shared/private area); return them read back."""
     folder = folder or run_folder(spark, "publish")
     out = {}
     for name in names or frames:
         df = frames[name]
-        path = os.path.join(folder, name)
+        path = table_path(folder, name)
         writer = df.write.mode("overwrite")
         if "source_system" in df.columns:
             writer = writer.partitionBy("source_system")
