@@ -148,8 +148,8 @@ def metric_query(fact: DataFrame, metrics: Sequence[str], group_by: Sequence[str
     """Evaluate metrics grouped by local columns, time grains and dimension attributes.
 
     ``order_by`` takes metric or key names, ``-name`` for descending.  With
-    ``spine`` (a ``date_day`` column) and a ``metric_time__day`` key, days
-    without data are kept and count-like metrics read 0 there.
+    ``spine`` (a ``date_day`` column) and a ``metric_time__<grain>`` key,
+    periods without data are kept and count-like metrics read 0 there.
     """
     models = {METRICS[m].model for m in metrics}
     if len(models) != 1:
@@ -201,9 +201,16 @@ def metric_query(fact: DataFrame, metrics: Sequence[str], group_by: Sequence[str
             typed.append(c.cast("bigint").alias(s))
     out = agg.select(*final_keys, *typed)
 
-    if spine is not None and "metric_time__day" in group_by:
-        filled = spine.select(F.col("date_day").alias("metric_time__day"))
-        out = filled.join(out, "metric_time__day", "left")
+    time_keys = [g for g in group_by if g.startswith("metric_time__")]
+    if spine is not None and time_keys:
+        # Gap fill: the spine at the query's grain, left-joined on the time key
+        # only; an empty period appears once (other keys NULL) and count-like
+        # metrics read 0 there.
+        tk = time_keys[0]
+        grain = tk.split("__", 1)[1]
+        day = F.col("date_day")
+        periods = spine.select((day if grain == "day" else F.date_trunc(grain, day).cast("date")).alias(tk)).distinct()
+        out = periods.join(out, tk, "left")
         out = out.select(*[F.col(k) for k in final_keys],
                          *[F.coalesce(F.col(s), F.lit(0).cast(out.schema[s].dataType)).alias(s) for s in simple])
 

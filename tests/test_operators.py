@@ -112,3 +112,16 @@ def test_materialized_parents_give_the_same_rows(spark):
     lazy = OL.fct_blended_opportunities(src, TEST_PARAMS)
     cut = OL.fct_blended_opportunities(src, TEST_PARAMS, materialize=True)
     assert rows_of(cut, *cols) == rows_of(lazy, *cols)
+
+
+def test_gap_fill_at_month_grain(spark):
+    from dimstar.params import TEST_PARAMS
+    from dimstar.plans.dims import time_spine
+
+    f2 = spark.createDataFrame([("a1", "EDH", dt.date(2024, 1, 20), 1), ("a2", "EDH", dt.date(2024, 3, 2), 0)],
+                               "activity_id string, source_system string, activity_created_date date, "
+                               "call_attempt_outbound int")
+    spine = time_spine(spark, TEST_PARAMS).where("date_day BETWEEN DATE'2024-01-01' AND DATE'2024-04-30'")
+    got = metric_query(f2, ["total_activities", "outbound_call_attempts"], ["metric_time__month"], spine=spine)
+    assert rows_of(got, "metric_time__month", "total_activities", "outbound_call_attempts") == [
+        (dt.date(2024, 1, 1), 1, 1), (dt.date(2024, 2, 1), 0, 0), (dt.date(2024, 3, 1), 1, 0), (dt.date(2024, 4, 1), 0, 0)]
