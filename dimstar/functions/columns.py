@@ -33,9 +33,19 @@ def mail_domain(email: Column) -> Column:
     return F.when(email.isNotNull(), low.substr(F.locate("@", low) + 1, F.length(low)))
 
 
+def _wall_seconds(ts: Column) -> Column:
+    """Seconds since 1970-01-01 00:00 of a wall-clock timestamp, fraction dropped (no time zone)."""
+    return (F.unix_date(ts.cast("date")).cast("long") * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60
+            + F.second(ts))
+
+
 def seconds_between(start: Column, end: Column) -> Column:
-    """Whole-second boundaries crossed from ``start`` to ``end`` (T-SQL DATEDIFF(second))."""
-    return F.unix_seconds(end.cast("timestamp")) - F.unix_seconds(start.cast("timestamp"))
+    """Whole-second boundaries crossed from ``start`` to ``end`` (T-SQL DATEDIFF(second)).
+
+    Computed on the wall-clock fields, so the session time zone (and its
+    daylight-saving jumps) cannot change the answer.
+    """
+    return _wall_seconds(end) - _wall_seconds(start)
 
 
 # Fixed values that must equal the reference's: accepted spellings of a flag.
