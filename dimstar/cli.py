@@ -56,7 +56,7 @@ def build(args) -> int:
 
     spark = _session(args.master)
     src = fixture_sources(spark, args.sources) if args.fixture else load_sources(spark, args.sources)
-    published = write_tables(spark, marts(src, _params(args), materialize=True), folder=args.out)
+    published = write_tables(spark, marts(src, _params(args), materialize=args.materialize), folder=args.out)
     Q.failure_log(spark, Q.ALL_TESTS, published, os.path.join(args.out, "dq_failure_log"))
     summary = Q.summary(Q.ALL_TESTS, published).orderBy("test_name").collect()
     failed = 0
@@ -99,6 +99,8 @@ def main(argv=None) -> int:
     b.add_argument("--out", required=True)
     b.add_argument("--as-of")
     b.add_argument("--tenant")
+    b.add_argument("--materialize", action="store_true",
+                   help="write F1's opportunity side once as a table instead of reading it in both join branches")
     q = sub.add_parser("query")
     q.add_argument("--marts", required=True)
     q.add_argument("--metrics", required=True)
