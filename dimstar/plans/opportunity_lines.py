@@ -1,9 +1,10 @@
 """blended opportunity line items (EDH authoritative, ACS secondary).
 
-Join order is chosen for the large line stream: everything keyed by the
-opportunity (account eligibility, latest quote, anti-join) is joined at
-opportunity grain first, and the lines are joined to that once (as an inner
-join plus the opportunities without lines, so a hot opportunity can be split).
+Join order is chosen for the large line stream: the opportunity-grain rules
+(window, account eligibility, anti join to EDH, country rule) run before the
+fan-out, the lines are joined once (an inner join plus the opportunities
+without lines, so a hot opportunity can be split), and the latest quote is
+joined inside each branch on the key the line join already partitioned by.
 """
 
 from __future__ import annotations
