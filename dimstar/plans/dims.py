@@ -13,10 +13,9 @@ from dimstar.sources import Sources
 
 
 def time_spine(spark: SparkSession, params: Params) -> DataFrame:
-    """One row per day, ``spine_from`` .. ``spine_to`` inclusive (generated, no join)."""
-    return spark.range(1).select(
-        F.explode(F.sequence(F.lit(params.spine_from), F.lit(params.spine_to))).alias("date_day")
-    )
+    """One row per day, ``spine_from`` .. ``spine_to`` inclusive: a distributed range of day offsets."""
+    days = (params.spine_to - params.spine_from).days + 1
+    return spark.range(days).select(F.date_add(F.lit(params.spine_from), F.col("id").cast("int")).alias("date_day"))
 
 
 def dim_date(src: Sources) -> DataFrame:

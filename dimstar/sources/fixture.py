@@ -318,9 +318,10 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
         .unionByName(events.select(F.col("ts").cast("date").alias("d")))
         .agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
     )
-    days = bounds.select(F.explode(F.sequence(
-        F.make_date(F.year("lo") - 1, F.lit(1), F.lit(1)),
-        F.make_date(F.year("hi"), F.lit(12), F.lit(31)),
+    # Years first, spread over tasks, then the days of each year.
+    years = bounds.select(F.explode(F.sequence(F.year("lo") - 1, F.year("hi"))).alias("y")).repartition("y")
+    days = years.select(F.explode(F.sequence(
+        F.make_date(F.col("y"), F.lit(1), F.lit(1)), F.make_date(F.col("y"), F.lit(12), F.lit(31)),
     )).alias("date_key"))
     fm = (F.month("date_key") + 10) % 12
     edh_finance_calendar = days.select(
