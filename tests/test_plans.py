@@ -34,3 +34,18 @@ def test_filters_and_columns_reach_the_scan(spark):
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [" in p and "GreaterThanOrEqual(o_orderdate,1997-02-01T00:00)" in p
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in p
+
+
+def test_metric_reduces_fact_before_dimension_join(spark):
+    from dimstar.plans.metrics import metric_query
+    from dimstar.queries import _marts, star_dims
+
+    m = _marts(spark, SF_SMALL)
+    q = metric_query(m["fct_blended_opportunities"], ["total_pipeline_acv_usd"], ["account__account_segment"],
+                     dims=star_dims(m))
+    plan = q._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    join_at = next(i for i, line in enumerate(lines) if "Join LeftOuter" in line and "__account__key" in line)
+    below = "\n".join(lines[join_at:])
+    # The fact side of the dimension join is already an aggregate on the foreign key.
+    assert "Aggregate [account_csn" in below
