@@ -58,3 +58,30 @@ def test_hot_key_top1_limits_before_shuffle(spark):
         assert top.where(F.col("ck") == "HOT").first()["cv"] == max(
             r for r in range(120_000) if r % 3 == 0)
         assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_activity_fact_with_a_hot_opportunity(spark):
+    from conftest import rows_of
+    from dimstar.params import TEST_PARAMS
+    from dimstar.plans import activities as A
+    from dimstar.queries import _ctx
+
+    src, _ = _ctx(spark, "/root/testdata/sf0.01")
+    tasks = src.edh_opportunity_task
+    # AQE splits a hot reduce partition at map-output boundaries, so the task
+    # table must come from several map tasks, as a multi-file table does (the
+    # test files are a single row group each).
+    hot = tasks.withColumn(
+        "opportunity_number",
+        F.when(F.substring("task_id", -1, 1).isin("1", "4", "7"), F.lit("A-1")).otherwise(F.col("opportunity_number"))
+    ).repartition(8)
+    skewed = src.replace(edh_opportunity_task=hot)
+    cols = ("activity_id", "opportunity_number", "new_activity_type", "call_attempt_outbound")
+    want = rows_of(A.fct_blended_opportunity_activities(skewed, TEST_PARAMS), *cols)
+    with conf(spark, **SMALL_SKEW):
+        df = A.fct_blended_opportunity_activities(skewed, TEST_PARAMS)
+        got = rows_of(df, *cols)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin(skew=true)" in plan
+    assert got == want
+    assert sum(1 for r in got if r[1] == "A-1") > len(got) // 4
