@@ -102,13 +102,11 @@ def star_dims(m: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def _f1(spark, sf_dir):
-    src, p = _ctx(spark, sf_dir)
-    return P.fct_blended_opportunities(src, p)
+    return _marts(spark, sf_dir)[F1]
 
 
 def _f2(spark, sf_dir):
-    src, p = _ctx(spark, sf_dir)
-    return A.fct_blended_opportunity_activities(src, p)
+    return _marts(spark, sf_dir)[F2]
 
 
 def _storage_root(spark: SparkSession) -> str:
@@ -531,9 +529,8 @@ for _qname, _tests in (("dq_unique", Q.UNIQUE_TESTS), ("dq_not_null", Q.NOT_NULL
 @query
 def dq_failure_log(spark, sf_dir):
     """This run's failing rows of every test, appended to the log table and read back."""
-    src, p = _ctx(spark, sf_dir)
     root = os.path.join(_storage_root(spark), "dq_failure_log")
-    return Q.failure_log(spark, Q.ALL_TESTS, marts(src, p), root)
+    return Q.failure_log(spark, Q.ALL_TESTS, _marts(spark, sf_dir), root)
 
 
 def publish(spark: SparkSession, m: dict[str, DataFrame], names=None) -> dict[str, DataFrame]:
@@ -543,16 +540,14 @@ def publish(spark: SparkSession, m: dict[str, DataFrame], names=None) -> dict[st
 
 @query
 def publish_roundtrip(spark, sf_dir):
-    src, p = _ctx(spark, sf_dir)
-    m = marts(src, p)
+    m = _marts(spark, sf_dir)
     return to_doubles(publish(spark, m, ["fct_blended_opportunities"])["fct_blended_opportunities"])
 
 
 @query
 def dq_coverage(spark, sf_dir):
     """Rows per model in the transform and in its published table."""
-    src, p = _ctx(spark, sf_dir)
-    m = marts(src, p)
+    m = _marts(spark, sf_dir)
     pub = publish(spark, m)
     parts = [m[n].agg(F.count(F.lit(1)).alias("transform_rows")).select(F.lit(n).alias("model"), "transform_rows")
              .join(pub[n].agg(F.count(F.lit(1)).alias("publish_rows")).select(F.lit(n).alias("model"), "publish_rows"),
@@ -581,8 +576,7 @@ def dq_freshness(spark, sf_dir):
 @query
 def dq_parity(spark, sf_dir):
     """Per-system totals of the transform against the published table."""
-    src, p = _ctx(spark, sf_dir)
-    m = marts(src, p)
+    m = _marts(spark, sf_dir)
     f = m["fct_blended_opportunities"]
     pub = publish(spark, m, ["fct_blended_opportunities"])["fct_blended_opportunities"]
 
