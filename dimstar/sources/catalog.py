@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Columns per source (lower-case names of the CRM extracts).
 SOURCE_COLUMNS: dict[str, tuple[str, ...]] = {
@@ -73,6 +74,40 @@ SOURCE_COLUMNS: dict[str, tuple[str, ...]] = {
 }
 
 
+# Declared types of the non-text columns; every other column is text.
+SOURCE_TYPES: dict[str, dict[str, str]] = {
+    "edh_opportunity": {"projected_close_date": "timestamp_ntz", "source_created_ts": "timestamp_ntz"},
+    "edh_opportunity_line_item": {"quantity": "double", "line_item_acv_usd": "decimal(18,2)"},
+    "edh_account": {"is_visible": "int"},
+    "edh_quote": {"quote_date": "date"},
+    "edh_exchange_rate": {"effective_start_date": "date", "exchange_rate": "decimal(18,6)"},
+    "edh_opportunity_task": {"source_created_ts": "timestamp_ntz", "task_activity_date": "timestamp_ntz",
+                             "task_completed_ts": "timestamp_ntz"},
+    "edh_employee": {"is_active": "int"},
+    "edh_finance_calendar": {"date_key": "date", "month_number_in_fiscal_quarter": "double"},
+    "acs_opportunity": {"created_date": "timestamp_ntz", "close_date": "timestamp_ntz", "is_closed": "int"},
+    "acs_opportunity_line_item": {"quantity": "double", "est_annualized_amount_c": "decimal(18,2)",
+                                  "is_deleted": "int"},
+    "acs_task": {"outreach_call_duration_c": "double", "date_created": "timestamp_ntz",
+                 "date_activity": "timestamp_ntz", "completed_date_time": "timestamp_ntz", "is_deleted": "int"},
+}
+# Columns kept in their extract type (free-form values the rules only pass through or parse themselves).
+LOOSE_COLUMNS = {("edh_account", "account_hierarchy_depth"), ("edh_account", "account_hierarchy_level"),
+                 ("edh_account", "is_targeted_account"), ("edh_account", "sales_rep_number")}
+
+
+def typed(name: str, df: DataFrame) -> DataFrame:
+    """Project a raw extract onto the declared columns and types (bad values become NULL)."""
+    types = SOURCE_TYPES.get(name, {})
+    cols = []
+    for c in SOURCE_COLUMNS[name]:
+        if (name, c) in LOOSE_COLUMNS:
+            cols.append(F.col(c))
+        else:
+            cols.append(F.col(c).try_cast(types.get(c, "string")).alias(c))
+    return df.select(*cols)
+
+
 class Sources(Mapping[str, DataFrame]):
     """Read-only mapping of source name to DataFrame, also usable as attributes."""
 
@@ -104,5 +139,5 @@ class Sources(Mapping[str, DataFrame]):
 
 
 def load_sources(spark: SparkSession, root: str, fmt: str = "parquet") -> Sources:
-    """Read each source from ``{root}/{name}`` (one folder per source)."""
-    return Sources({name: spark.read.format(fmt).load(f"{root}/{name}") for name in SOURCE_COLUMNS})
+    """Read each source from ``{root}/{name}`` (one folder per source), typed as declared."""
+    return Sources({name: typed(name, spark.read.format(fmt).load(f"{root}/{name}")) for name in SOURCE_COLUMNS})

@@ -125,3 +125,19 @@ def test_gap_fill_at_month_grain(spark):
     got = metric_query(f2, ["total_activities", "outbound_call_attempts"], ["metric_time__month"], spine=spine)
     assert rows_of(got, "metric_time__month", "total_activities", "outbound_call_attempts") == [
         (dt.date(2024, 1, 1), 1, 1), (dt.date(2024, 2, 1), 0, 0), (dt.date(2024, 3, 1), 1, 0), (dt.date(2024, 4, 1), 0, 0)]
+
+
+def test_staged_sources_give_the_same_marts(spark):
+    from conftest import SF_SMALL
+    from dimstar.params import TEST_PARAMS
+    from dimstar.plans.publish import stage_sources
+    from dimstar.queries import _ctx, marts
+
+    src, _ = _ctx(spark, SF_SMALL)
+    staged = stage_sources(spark, src)
+    for name, f in staged.items():
+        assert [(x.name, x.dataType) for x in f.schema] == [(x.name, x.dataType) for x in src[name].schema], name
+    a, b = marts(src, TEST_PARAMS), marts(staged, TEST_PARAMS)
+    for name in ("fct_blended_opportunities", "fct_blended_opportunity_activities", "dim_unified_account"):
+        cols = sorted(a[name].columns)
+        assert rows_of(a[name], *cols) == rows_of(b[name], *cols), name
