@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dimstar.functions.columns import blank_to_null, first_match, mail_domain
+from dimstar.functions.columns import blank_to_null, first_match, mail_domain, seconds_between
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's.
@@ -296,8 +296,6 @@ def call_disposition(new_type: Column, call_outcome: Column, cadence_sub: Column
 def call_duration(new_type: Column, source_seconds: Column, created: Column,
                   completed: Column) -> Column:
     """Non-zero source duration (truncated), else positive completed - created."""
-    from dimstar.functions.columns import seconds_between
-
     measured = F.when(
         completed.isNotNull() & created.isNotNull() & (completed > created),
         seconds_between(created, completed).cast("int"),
