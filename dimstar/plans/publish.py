@@ -77,3 +77,13 @@ def stage_sources(spark: SparkSession, src: Sources, folder: str | None = None,
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         list(pool.map(write, src.items()))
     return load_sources(spark, folder)
+
+
+def register_views(frames: Mapping[str, DataFrame], suffix: str = "") -> dict[str, str]:
+    """Register each frame as a temporary view ``<name><suffix>`` for ad-hoc ``spark.sql``; return the names."""
+    names = {}
+    for name, df in frames.items():
+        view = f"{name}{suffix}"
+        df.createOrReplaceTempView(view)
+        names[name] = view
+    return names

@@ -22,7 +22,7 @@ from dimstar.plans import dims as D
 from dimstar.plans import opportunity_lines as P
 from dimstar.plans import quality as Q
 from dimstar.plans.metrics import metric_query, money
-from dimstar.plans.publish import write_tables
+from dimstar.plans.publish import register_views, write_tables
 from dimstar.plans.star import ACTIVITY_EDGES, PIPELINE_EDGES, star_join
 from dimstar.session import ensure_checkpoint_dir
 from dimstar.sources import Sources
@@ -439,10 +439,8 @@ def activity_scorecard(m):
 def adhoc_region_month(m):
     """A9/O1 ad-hoc SQL over the marts registered as views."""
     spark, p = m[F1].sparkSession, TEST_PARAMS
-    suffix = uuid.uuid4().hex[:8]
-    fct, acct = f"fct_blended_opportunities_{suffix}", f"dim_unified_account_{suffix}"
-    m["fct_blended_opportunities"].createOrReplaceTempView(fct)
-    m["dim_unified_account"].createOrReplaceTempView(acct)
+    views = register_views({k: m[k] for k in (F1, "dim_unified_account")}, suffix=f"_{uuid.uuid4().hex[:8]}")
+    fct, acct = views[F1], views["dim_unified_account"]
     return spark.sql(f"""
         SELECT a.account_region,
                CAST(date_trunc('month', f.opportunity_projected_close_date) AS DATE) AS close_month,
