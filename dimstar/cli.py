@@ -2,13 +2,15 @@
 
     python -m dimstar.cli build --sources ROOT [--fixture] --out FOLDER [--as-of YYYY-MM-DD]
     python -m dimstar.cli query --marts FOLDER --metrics a,b --group-by x,y [--order-by=-a] [--where SQL]
+    python -m dimstar.cli sql --marts FOLDER "SELECT ... FROM fct_blended_opportunities ..."
 
 ``build`` reads the 18 sources (one parquet folder each under ROOT, or the
 test tables with ``--fixture``), writes the seven marts under FOLDER, runs
 every data test, appends the failing rows to ``FOLDER/dq_failure_log`` and
 exits with status 1 when a test of severity ``error`` fails (``warn`` tests
-only report).  ``query`` evaluates metrics over published marts and prints
-the result (or writes it with ``--output``).
+only report).  ``query`` evaluates metrics over published marts and ``sql``
+runs an ad-hoc statement over them (marts as views under their own names);
+both print the result or write it with ``--output``.
 """
 
 from __future__ import annotations
@@ -90,6 +92,20 @@ def query(args) -> int:
     return 0
 
 
+def sql(args) -> int:
+    """Ad-hoc SQL over the published marts, registered as views under their own names."""
+    from dimstar.plans.publish import PUBLISH_AREA, register_views, table_path
+
+    spark = _session(args.master)
+    register_views({n: spark.read.parquet(table_path(args.marts, n)) for n in PUBLISH_AREA})
+    out = spark.sql(args.query)
+    if args.output:
+        out.write.mode("overwrite").parquet(args.output)
+    else:
+        out.show(args.show, truncate=False)
+    return 0
+
+
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="dimstar")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -109,10 +125,15 @@ def main(argv=None) -> int:
     q.add_argument("--where")
     q.add_argument("--output")
     q.add_argument("--show", type=int, default=50)
-    for sp in (b, q):
+    a = sub.add_parser("sql")
+    a.add_argument("--marts", required=True)
+    a.add_argument("query")
+    a.add_argument("--output")
+    a.add_argument("--show", type=int, default=50)
+    for sp in (b, q, a):
         sp.add_argument("--master", help="e.g. local[8]; default: the cluster's")
     args = p.parse_args(argv)
-    return build(args) if args.cmd == "build" else query(args)
+    return {"build": build, "query": query, "sql": sql}[args.cmd](args)
 
 
 if __name__ == "__main__":

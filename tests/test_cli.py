@@ -23,3 +23,9 @@ def test_build_then_query(spark, capsys):
     df = spark.read.parquet(result)
     assert df.columns == ["source_system", "metric_time__week", "total_activities", "call_connect_rate"]
     assert df.count() > 0
+
+    adhoc = os.path.join(out, "adhoc")
+    assert cli.main(["sql", "--master", "local[2]", "--marts", marts, "--output", adhoc,
+                     "SELECT source_system, count(*) AS n FROM fct_blended_opportunity_activities GROUP BY 1"]) == 0
+    got = {r["source_system"]: r["n"] for r in spark.read.parquet(adhoc).collect()}
+    assert set(got) == {"EDH", "Construction"} and all(v > 0 for v in got.values())
