@@ -74,7 +74,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     from dimstar.session import local_session
 
-    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2)
+    spark = local_session(cores=cpus, shuffle_partitions=int(cpus))
     run_once(spark, sf_dir)
     times = run_once(spark, sf_dir)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
