@@ -141,3 +141,19 @@ def test_staged_sources_give_the_same_marts(spark):
     for name in ("fct_blended_opportunities", "fct_blended_opportunity_activities", "dim_unified_account"):
         cols = sorted(a[name].columns)
         assert rows_of(a[name], *cols) == rows_of(b[name], *cols), name
+
+
+def test_publish_layout_and_views(spark):
+    import os
+
+    from dimstar.plans.publish import register_views, run_folder, table_path, write_tables
+
+    folder = run_folder(spark, "test_publish")
+    contacts = spark.createDataFrame([("K-1", "EDH")], "contact_csn string, source_system string")
+    other = spark.createDataFrame([(1,)], "x int")
+    out = write_tables(spark, {"dim_unified_contact": contacts, "scratch": other}, folder=folder)
+    assert table_path(folder, "dim_unified_contact") == os.path.join(folder, "private", "dim_unified_contact")
+    assert table_path(folder, "scratch") == os.path.join(folder, "scratch")
+    assert out["dim_unified_contact"].columns == ["contact_csn", "source_system"]
+    names = register_views(out, suffix="_t")
+    assert spark.sql(f"SELECT count(*) FROM {names['dim_unified_contact']}").first()[0] == 1
