@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimstar.plans.star import ACTIVITY_EDGES, PIPELINE_EDGES, Edge, edge_by_role, join_edge
@@ -105,6 +105,9 @@ METRICS: dict[str, Metric] = {m.name: m for m in (
     # Derived metric: an expression over other metrics (documented metric type).
     Metric("acv_per_opportunity", _P, "derived", inputs=("total_pipeline_acv_usd", "opportunity_count"),
            formula=lambda acv, n: F.try_divide(acv, n.cast("double"))),
+    # Cumulative metrics: running totals of an additive metric over the query's time key.
+    Metric("cumulative_pipeline_acv_usd", _P, "cumulative", inputs=("total_pipeline_acv_usd",)),
+    Metric("cumulative_outbound_call_attempts", _A, "cumulative", inputs=("outbound_call_attempts",)),
 )}
 
 GRAINS = ("day", "week", "month", "quarter", "year")
@@ -116,7 +119,8 @@ def _simple_closure(names: Sequence[str]) -> list[str]:
 
     def visit(n: str) -> None:
         m = METRICS[n]
-        deps = {"simple": (), "ratio": (m.numerator, m.denominator), "derived": m.inputs}[m.kind]
+        deps = {"simple": (), "ratio": (m.numerator, m.denominator), "derived": m.inputs,
+                "cumulative": m.inputs}[m.kind]
         for d in deps:
             visit(d)
         if m.kind == "simple" and n not in out:
@@ -187,7 +191,27 @@ def metric_query(fact: DataFrame, metrics: Sequence[str], group_by: Sequence[str
         aggs += [F.countDistinct(m.expr()).alias(m.name) for m in distincts]
         agg = df.groupBy(*[c.alias(n) for n, c in local]).agg(*aggs)
 
+    cumulative = [METRICS[n] for n in metrics if METRICS[n].kind == "cumulative"]
+    if cumulative:
+        time_key = next((g for g in group_by if g.startswith("metric_time__")), None)
+        if time_key is None:
+            raise ValueError("a cumulative metric needs a metric_time__<grain> key")
+        # Running sum over the aggregated periods (one row per key and period), on
+        # the exact sums; partitioned by the other keys.
+        w = Window.partitionBy(*[k for k in final_keys if k != time_key]).orderBy(time_key) \
+            .rowsBetween(Window.unboundedPreceding, 0)
+        for c in cumulative:
+            base = model.measures[METRICS[c.inputs[0]].measure]
+            if base.agg != "sum":
+                raise ValueError(f"{c.name}: cumulative totals need an additive (sum) measure")
+            agg = agg.withColumn(f"__cum_{c.name}", F.sum(base.name).over(w))
+
     typed = []
+    for c in cumulative:
+        base = model.measures[METRICS[c.inputs[0]].measure]
+        col = F.col(f"__cum_{c.name}")
+        typed.append((money(col) if base.kind == "money" else
+                      col.cast("double") if base.kind == "double" else col.cast("bigint")).alias(c.name))
     for s in simple:
         m = model.measures[METRICS[s].measure]
         c = F.col(m.name)
@@ -212,12 +236,13 @@ def metric_query(fact: DataFrame, metrics: Sequence[str], group_by: Sequence[str
         periods = spine.select((day if grain == "day" else F.date_trunc(grain, day).cast("date")).alias(tk)).distinct()
         out = periods.join(out, tk, "left")
         out = out.select(*[F.col(k) for k in final_keys],
-                         *[F.coalesce(F.col(s), F.lit(0).cast(out.schema[s].dataType)).alias(s) for s in simple])
+                         *[F.coalesce(F.col(s), F.lit(0).cast(out.schema[s].dataType)).alias(s) for s in simple],
+                         *[F.col(c.name) for c in cumulative])
 
     cols = [F.col(k) for k in final_keys]
     for name in metrics:
         m = METRICS[name]
-        if m.kind == "simple":
+        if m.kind in ("simple", "cumulative"):
             cols.append(F.col(name))
         elif m.kind == "ratio":
             cols.append(F.try_divide(F.col(m.numerator).cast("double"), F.col(m.denominator).cast("double"))

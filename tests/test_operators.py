@@ -157,3 +157,20 @@ def test_publish_layout_and_views(spark):
     assert out["dim_unified_contact"].columns == ["contact_csn", "source_system"]
     names = register_views(out, suffix="_t")
     assert spark.sql(f"SELECT count(*) FROM {names['dim_unified_contact']}").first()[0] == 1
+
+
+def test_cumulative_metric_matches_running_total_query(spark):
+    import pytest
+
+    from conftest import SF_SMALL
+    from dimstar.queries import REGISTRY, _marts
+
+    m = _marts(spark, SF_SMALL)
+    got = metric_query(m["fct_blended_opportunities"], ["total_pipeline_acv_usd", "cumulative_pipeline_acv_usd"],
+                       ["source_system", "metric_time__month"])
+    want = REGISTRY["pipeline_cumulative_by_month"](spark, SF_SMALL)
+    a = rows_of(got, "source_system", "metric_time__month", "total_pipeline_acv_usd", "cumulative_pipeline_acv_usd")
+    b = rows_of(want, "source_system", "close_month", "monthly_acv_usd", "cumulative_acv_usd")
+    assert a == b
+    with pytest.raises(ValueError):
+        metric_query(m["fct_blended_opportunities"], ["cumulative_pipeline_acv_usd"], ["source_system"])
