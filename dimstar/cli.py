@@ -3,6 +3,7 @@
     python -m dimstar.cli build --sources ROOT [--fixture] --out FOLDER [--as-of YYYY-MM-DD]
     python -m dimstar.cli query --marts FOLDER --metrics a,b --group-by x,y [--order-by=-a] [--where SQL]
     python -m dimstar.cli sql --marts FOLDER "SELECT ... FROM fct_blended_opportunities ..."
+    python -m dimstar.cli list
 
 ``build`` reads the 18 sources (one parquet folder each under ROOT, or the
 test tables with ``--fixture``), writes the seven marts under FOLDER, runs
@@ -106,6 +107,19 @@ def sql(args) -> int:
     return 0
 
 
+def list_metrics(args) -> int:
+    """Metrics with their model, kind and definition; the group-by roles of each model."""
+    from dimstar.plans.metrics import METRICS, MODELS
+
+    for m in METRICS.values():
+        what = m.measure or (f"{m.numerator} / {m.denominator}" if m.kind == "ratio" else ", ".join(m.inputs))
+        print(f"{m.name:36s} {m.model:32s} {m.kind:10s} {what}")
+    for model in MODELS.values():
+        roles = ", ".join(f"{e.role}{'' if e.active else ' (inactive)'}" for e in model.edges)
+        print(f"{model.name}: metric_time__<day|week|month|quarter|year> over {model.time_dimension}; roles: {roles}")
+    return 0
+
+
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="dimstar")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -125,6 +139,7 @@ def main(argv=None) -> int:
     q.add_argument("--where")
     q.add_argument("--output")
     q.add_argument("--show", type=int, default=50)
+    sub.add_parser("list")
     a = sub.add_parser("sql")
     a.add_argument("--marts", required=True)
     a.add_argument("query")
@@ -133,7 +148,7 @@ def main(argv=None) -> int:
     for sp in (b, q, a):
         sp.add_argument("--master", help="e.g. local[8]; default: the cluster's")
     args = p.parse_args(argv)
-    return {"build": build, "query": query, "sql": sql}[args.cmd](args)
+    return {"build": build, "query": query, "sql": sql, "list": list_metrics}[args.cmd](args)
 
 
 if __name__ == "__main__":

@@ -29,3 +29,10 @@ def test_build_then_query(spark, capsys):
                      "SELECT source_system, count(*) AS n FROM fct_blended_opportunity_activities GROUP BY 1"]) == 0
     got = {r["source_system"]: r["n"] for r in spark.read.parquet(adhoc).collect()}
     assert set(got) == {"EDH", "Construction"} and all(v > 0 for v in got.values())
+
+
+def test_list_metrics(capsys):
+    assert cli.main(["list"]) == 0
+    printed = capsys.readouterr().out
+    assert "pipeline_confidence_ratio" in printed and "ratio" in printed
+    assert "partner_account (inactive)" in printed
