@@ -8,7 +8,7 @@ for "today" and must be passed explicitly wherever a result is compared.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 
 @dataclass(frozen=True)
@@ -23,7 +23,7 @@ class Params:
     spine_to: dt.date = dt.date(2040, 1, 1)
     # Not taken from the reference: "today" and the tenant's own mail domain
     # word that marks internal activities.
-    as_of: dt.date = dt.date.today()
+    as_of: dt.date = field(default_factory=dt.date.today)
     tenant_pattern: str = "acme"
 
     @property
