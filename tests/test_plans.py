@@ -49,3 +49,20 @@ def test_metric_reduces_fact_before_dimension_join(spark):
     below = "\n".join(lines[join_at:])
     # The fact side of the dimension join is already an aggregate on the foreign key.
     assert "Aggregate [account_csn" in below
+
+
+def test_tasks_shuffled_once_per_key(spark):
+    from dimstar.params import TEST_PARAMS
+    from dimstar.plans import activities as A
+    from dimstar.queries import _ctx
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        src, _ = _ctx(spark, SF_SMALL)
+        p = plan_of(A.edh_activities(src, TEST_PARAMS))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # The task stream: one exchange by opportunity, one by contact; lookups are joined at their own grain.
+    assert p.count("Exchange hashpartitioning(opportunity_number#") == 1
+    assert p.count("Exchange hashpartitioning(end_customer_contact_csn#") == 1
