@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -14,6 +15,21 @@ from dimstar.session import ensure_checkpoint_dir, shared_folder
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def reachable(spark: SparkSession) -> None:
+    """Let the Python workers import this package from where the driver has it.
+
+    Of use where they see the same path (local runs, an installation on all
+    machines); elsewhere the package is shipped with --py-files.
+    """
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
@@ -54,6 +70,7 @@ def map_texts(
     the ``keep`` columns.  Spark streams Arrow batches, so a task holds one
     batch at a time.
     """
+    reachable(df.sparkSession)
     fields = [df.schema[c] for c in keep]
     names = [f"k{i}" for i in range(len(keep))]
     kept = df.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)), F.col(f"`{text}`").alias("t"))
@@ -73,3 +90,17 @@ def map_texts(
 
     out = kept.mapInArrow(run, schema)
     return out.withColumnsRenamed(dict(zip(names, keep)))
+
+
+def keep_rows(df: DataFrame, text: str, make: Callable[[], Callable[[pa.Array], pa.Array]]) -> DataFrame:
+    """The rows of ``df`` whose text a per-batch function accepts; all columns as they are."""
+    reachable(df.sparkSession)
+    at = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(work(batch.column(at)))
+
+    return df.mapInArrow(run, df.schema)
