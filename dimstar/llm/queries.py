@@ -6,18 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimstar.llm import urlfilter
+from dimstar.llm import bpe, repetition, urlfilter
 from dimstar.llm.common import read
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(read(spark, sf_dir, "pages"))
 
 
+def op8_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.judge(read(spark, sf_dir, "documents")).drop("longest_repeat")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_bpe_round_trip": op3_bpe_round_trip,
     "op6_url_rules": op6_url_rules,
+    "op8_repetition_rules": op8_repetition_rules,
 }
 
 ORACLE: dict[str, str] = {
     "op6_url_rules": urlfilter.oracle_sql(),
+    "op8_repetition_rules": repetition.oracle_sql(),
 }

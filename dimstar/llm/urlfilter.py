@@ -123,7 +123,8 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", rules=HOST_R
     # The counts of the rules' own tokens: as many rows as rules have tokens.
     literal = sorted({t for r in everything for t in r.tokens})
     mine = spark.createDataFrame([(t,) for t in literal], "token string")
-    counts = {r["token"]: r["n"] for r in tokens.join(mine, "token").groupBy("token").agg(F.count("*").alias("n")).collect()}
+    seen = tokens.groupBy("token").agg(F.count("*").alias("n")).join(mine, "token")
+    counts = {r["token"]: r["n"] for r in seen.collect()}
     index = spark.createDataFrame(
         [
             (min(r.tokens, key=lambda t: (counts.get(t, 0), t)), r.name, r.regex, r.verdict, isinstance(r, HostRule))
