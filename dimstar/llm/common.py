@@ -104,3 +104,46 @@ def keep_rows(df: DataFrame, text: str, make: Callable[[], Callable[[pa.Array],
                 yield batch.filter(work(batch.column(at)))
 
     return df.mapInArrow(run, df.schema)
+
+
+def hash_share(key: Column) -> Column:
+    """A number in [0, 1) that a key always gets, for samples that any run repeats."""
+    return F.pmod(F.xxhash64(key.cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+
+def sample_per_class(rows: DataFrame, key: str, label: str, per_class: int) -> DataFrame:
+    """About ``per_class`` rows of each label, picked by the hash of their key; never over twice as many in all.
+
+    Labels are classes: their number is small and their counts come to the driver.
+    """
+    counts = {r[0]: r[1] for r in rows.where(F.col(label).isNotNull()).groupBy(label).count().collect()}
+    share = F.lit(0.0)
+    for value, n in sorted(counts.items()):
+        share = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, per_class / n))).otherwise(share)
+    return rows.where(hash_share(F.col(key)) < share).limit(2 * per_class * max(1, len(counts)))
+
+
+def word_blocks(column: pa.Array, most: int = 200_000) -> Iterator[tuple[int, list[list[bytes]]]]:
+    """Lower-cased words of consecutive texts: (first row, word lists), ``most`` words or one text at a time."""
+    first, block, size = 0, [], 0
+    for i, t in enumerate(column.to_pylist()):
+        words = t.lower().encode().split() if t else []
+        if block and size + len(words) > most:
+            yield first, block
+            first, block, size = i, [], 0
+        block.append(words)
+        size += len(words)
+    if block:
+        yield first, block
+
+
+def segment_sums(values, sizes):
+    """Sums of consecutive segments of ``values`` (along axis 0); empty segments: 0."""
+    import numpy as np
+
+    out = np.zeros((len(sizes), *values.shape[1:]), np.float64)
+    full = np.flatnonzero(sizes)
+    if len(full):
+        starts = (np.cumsum(sizes) - sizes)[full]
+        out[full] = np.add.reduceat(values, starts, axis=0)
+    return out
