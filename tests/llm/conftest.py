@@ -1,0 +1,28 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+for p in (ROOT, os.path.join(ROOT, "tools")):
+    if p not in sys.path:
+        sys.path.insert(0, p)
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from dimstar.session import local_session
+
+    yield local_session("*", 8)
+
+
+@pytest.fixture(scope="session")
+def small():
+    return "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def tokenizer_file():
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
