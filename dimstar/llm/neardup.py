@@ -13,7 +13,9 @@ only pairs which are linked already:
 1. in every bucket, each node is compared with the bucket's centre, the node
    that the most and largest buckets hold; confirmed links make components;
 2. pairs of a bucket whose nodes are still in different components are
-   compared, whatever their number.
+   compared, whatever their number.  A row of one-bit minhashes of either
+   node comes first: pairs that differ in many more bits than a link would
+   (``slack`` standard deviations) are no link and are not compared further.
 
 Whoever shares a bucket ends up in one component, or has been compared.
 """
@@ -41,6 +43,8 @@ class Params:
     percent: int = 75  # least similarity of a link
     sketches: int = 14  # in either collection
     width: int = 2  # minhashes of a sketch
+    bits: int = 2048  # one-bit minhashes of a node with open pairs
+    slack: float = 4.5
     seed: int = 3
 
 
@@ -154,6 +158,24 @@ def _sets(docs: DataFrame, ids: DataFrame, key: str, text: str, params: Params)
     return map_texts(chosen, ["node"], "text", "grams binary", make).dropDuplicates(["node"])
 
 
+def _bits(sets: DataFrame, ids: DataFrame, params: Params) -> tuple[DataFrame, list[str]]:
+    """node and columns of 64 one-bit minhashes each, for the nodes in ``ids``; the columns' names."""
+    factors = np.random.default_rng(params.seed + 1).integers(0, 1 << 63, params.bits, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def make():
+        def signature(grams: bytes) -> np.ndarray:
+            value, low = np.frombuffer(grams, np.uint64), np.full(len(factors), np.iinfo(np.uint64).max)
+            for i in range(0, len(value), 64):
+                np.minimum(low, (value[i : i + 64, None] * factors).min(axis=0), out=low)
+            return np.packbits((_mix(low) & np.uint64(1)).astype(np.uint8)).view(np.int64)
+
+        return lambda column: {"bits": pa.array([signature(g) for g in column.to_pylist()], pa.list_(pa.int64()))}
+
+    names = [f"b{i}" for i in range(params.bits // 64)]
+    made = map_texts(sets.join(ids, "node", "left_semi"), ["node"], "grams", "bits array<long>", make)
+    return made.select("node", *(F.col("bits")[i].alias(n) for i, n in enumerate(names))), names
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
     reachable(pairs.sparkSession)
@@ -184,19 +206,24 @@ def components(links: DataFrame) -> DataFrame:
     Alternates two steps until nothing changes: every larger neighbour of a
     node is hooked to the node's smallest neighbour, then every smaller one.
     """
+
+    def digest(edges: DataFrame) -> tuple:
+        return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+
     edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges")
+    seen = digest(edges)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         large = materialize(large, "edges")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.greatest("v", "m").alias("x"), F.col("m").alias("y"), "u")
-        small = small.select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("y").alias("v")), F.struct(F.col("x").alias("u"), F.col("y").alias("v")))).alias("e"))
-        small = materialize(small.select("e.u", "e.v").where("u != v").distinct(), "edges")
-        if edges.exceptAll(small).isEmpty() and small.exceptAll(edges).isEmpty():
+        ends = large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+        edges = materialize(ends.where("u != v").distinct(), "edges")
+        now = digest(edges)
+        if now == seen:
             break
-        edges = small
+        seen = now
     roots = edges.select(F.col("v").alias("node")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots.select("node", F.col("node").alias("root")))
 
@@ -249,12 +276,18 @@ def nodes_and_roots(docs: DataFrame, key: str, text: str, params: Params) -> tup
     spread = member.select("*", F.explode("left").alias("value"))
     open_ = spread.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("value")
     spread = materialize(spread.join(open_, "value", "left_semi"), "open")
+    bits, names = _bits(sets, spread.select("node").distinct(), params)
+    spread = spread.join(materialize(bits, "bits"), "node")
     x, y = spread.alias("x"), spread.alias("y")
+    differ = (1 - params.percent / 100) / 2  # the chance that a bit differs, at the threshold
+    most = int(params.bits * differ + params.slack * (params.bits * differ * (1 - differ)) ** 0.5)
+    apart = sum((F.bit_count(F.col(f"x.{n}").bitwiseXOR(F.col(f"y.{n}"))) for n in names), F.lit(0))
     first = F.array_min(F.array_intersect("x.left", "y.left")) == F.col("x.value")  # each pair in one bucket only
     meet = x.join(
         y,
         (F.col("x.value") == F.col("y.value")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
-        & _similar_size(F.col("x.n_shingles"), F.col("y.n_shingles"), params.percent) & F.arrays_overlap("x.right", "y.right") & first,
+        & _similar_size(F.col("x.n_shingles"), F.col("y.n_shingles"), params.percent) & (apart <= most)
+        & F.arrays_overlap("x.right", "y.right") & first,
     )
     rest = meet.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
