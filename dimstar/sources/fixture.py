@@ -272,11 +272,13 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     )
 
     i = F.col("event_id")
+    # Tasks refer to orders over their whole range of keys.
+    order_keys = orders.agg(F.max("o_orderkey") + 1).scalar()
     status = F.when(F.col("event_type") == "error", F.lit("Open")).otherwise(F.lit("Completed"))
     finished = _plus_seconds(F.col("ts"), F.floor("value"))
     edh_opportunity_task = events.filter(i % 3 != 0).select(
         key_text("T-", i).alias("task_id"),
-        key_text("A-", i * 7 % 1500).alias("opportunity_number"),
+        key_text("A-", i * 7 % order_keys).alias("opportunity_number"),
         key_text("W-", F.col("user_id") % 10).alias("assigned_to_employee_number"),
         key_text("K-", F.col("user_id")).alias("end_customer_contact_csn"),
         pick(i, EDH_SUBJECT_PICKS).alias("subject_line"),
@@ -294,7 +296,7 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     j = _div(i, 3)
     acs_task = events.filter(i % 3 == 0).select(
         key_text("ST-", i).alias("task_id"),
-        key_text("S-", i * 7 % 1500).alias("what_id"),
+        key_text("S-", i * 7 % order_keys).alias("what_id"),
         key_text("U-", F.col("user_id") % 10).alias("owner_id"),
         key_text("SC-", F.col("user_id")).alias("sfdc_contact_id"),
         pick(j, ("Intro", "Follow up", None)).alias("task_subject"),

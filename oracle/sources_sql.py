@@ -172,7 +172,7 @@ def source_ctes() -> list[tuple[str, str]]:
     status = "CASE WHEN event_type = 'error' THEN 'Open' ELSE 'Completed' END"
     ctes.append(("s_edh_opportunity_task", f"""
         SELECT 'T-' || {ev} AS task_id,
-               'A-' || ({ev} * 7 % 1500) AS opportunity_number,
+               'A-' || ({ev} * 7 % (SELECT max(o_orderkey) + 1 FROM orders)) AS opportunity_number,
                'W-' || (user_id % 10) AS assigned_to_employee_number,
                'K-' || user_id AS end_customer_contact_csn,
                {pick(ev, FX.EDH_SUBJECT_PICKS)} AS subject_line,
@@ -188,7 +188,7 @@ def source_ctes() -> list[tuple[str, str]]:
     j = f"({ev} // 3)"
     ctes.append(("s_acs_task", f"""
         SELECT 'ST-' || {ev} AS task_id,
-               'S-' || ({ev} * 7 % 1500) AS what_id,
+               'S-' || ({ev} * 7 % (SELECT max(o_orderkey) + 1 FROM orders)) AS what_id,
                'U-' || (user_id % 10) AS owner_id,
                'SC-' || user_id AS sfdc_contact_id,
                {pick(j, ['Intro', 'Follow up', None])} AS task_subject,
