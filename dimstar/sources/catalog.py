@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 # Columns per source (lower-case names of the CRM extracts).
 SOURCE_COLUMNS: dict[str, tuple[str, ...]] = {
@@ -74,38 +75,66 @@ SOURCE_COLUMNS: dict[str, tuple[str, ...]] = {
 }
 
 
-# Declared types of the non-text columns; every other column is text.
+# Declared types of the non-text columns; every other column is text.  A
+# "number" keeps the extract's own numeric type, or takes the decimal given
+# for extracts in text form (wide enough that a product of two stays exact);
+# a "flag" is 1 or 0.
+AMOUNT, RATE = "number decimal(20,6)", "number decimal(17,12)"
 SOURCE_TYPES: dict[str, dict[str, str]] = {
     "edh_opportunity": {"projected_close_date": "timestamp_ntz", "source_created_ts": "timestamp_ntz"},
-    "edh_opportunity_line_item": {"quantity": "double", "line_item_acv_usd": "decimal(18,2)"},
-    "edh_account": {"is_visible": "int"},
+    "edh_opportunity_line_item": {"quantity": "double", "line_item_acv_usd": AMOUNT},
+    "edh_account": {"is_visible": "flag"},
     "edh_quote": {"quote_date": "date"},
-    "edh_exchange_rate": {"effective_start_date": "date", "exchange_rate": "decimal(18,6)"},
+    "edh_exchange_rate": {"effective_start_date": "date", "exchange_rate": RATE},
     "edh_opportunity_task": {"source_created_ts": "timestamp_ntz", "task_activity_date": "timestamp_ntz",
                              "task_completed_ts": "timestamp_ntz"},
-    "edh_employee": {"is_active": "int"},
+    "edh_employee": {"is_active": "flag"},
     "edh_finance_calendar": {"date_key": "date", "month_number_in_fiscal_quarter": "double"},
-    "acs_opportunity": {"created_date": "timestamp_ntz", "close_date": "timestamp_ntz", "is_closed": "int"},
-    "acs_opportunity_line_item": {"quantity": "double", "est_annualized_amount_c": "decimal(18,2)",
-                                  "is_deleted": "int"},
+    "acs_opportunity": {"created_date": "timestamp_ntz", "close_date": "timestamp_ntz", "is_closed": "flag"},
+    "acs_opportunity_line_item": {"quantity": "double", "est_annualized_amount_c": AMOUNT, "is_deleted": "flag"},
     "acs_task": {"outreach_call_duration_c": "double", "date_created": "timestamp_ntz",
-                 "date_activity": "timestamp_ntz", "completed_date_time": "timestamp_ntz", "is_deleted": "int"},
+                 "date_activity": "timestamp_ntz", "completed_date_time": "timestamp_ntz", "is_deleted": "flag"},
 }
+# Usual spellings of flags in extracts.
+TRUE_WORDS, FALSE_WORDS = ("true", "t", "yes", "y", "1", "1.0"), ("false", "f", "no", "n", "0", "0.0")
 # Columns kept in their extract type (free-form values the rules only pass through or parse themselves).
 LOOSE_COLUMNS = {("edh_account", "account_hierarchy_depth"), ("edh_account", "account_hierarchy_level"),
                  ("edh_account", "is_targeted_account"), ("edh_account", "sales_rep_number")}
 
 
+def _typed_column(df: DataFrame, name: str, c: str) -> Column:
+    kind = SOURCE_TYPES.get(name, {}).get(c, "string")
+    if (name, c) in LOOSE_COLUMNS:
+        return F.col(c)
+    if kind == "flag":
+        word = F.lower(F.trim(F.col(c).cast("string")))
+        return F.when(word.isin(*TRUE_WORDS), 1).when(word.isin(*FALSE_WORDS), 0) \
+            .otherwise(F.col(c).cast("string").try_cast("int"))
+    if kind.startswith("number "):
+        if isinstance(df.schema[c].dataType, NumericType):
+            return F.col(c)
+        return F.trim(F.col(c).cast("string")).try_cast(kind.split(" ", 1)[1])
+    return F.col(c).try_cast(kind)
+
+
 def typed(name: str, df: DataFrame) -> DataFrame:
-    """Project a raw extract onto the declared columns and types (bad values become NULL)."""
-    types = SOURCE_TYPES.get(name, {})
-    cols = []
-    for c in SOURCE_COLUMNS[name]:
-        if (name, c) in LOOSE_COLUMNS:
-            cols.append(F.col(c))
-        else:
-            cols.append(F.col(c).try_cast(types.get(c, "string")).alias(c))
-    return df.select(*cols)
+    """Project a raw extract onto the declared columns and types.
+
+    A value that can't be read as its type becomes NULL; ``rejects`` counts
+    such values, and ``build`` prints them.
+    """
+    return df.select(*[_typed_column(df, name, c).alias(c) for c in SOURCE_COLUMNS[name]])
+
+
+def rejects(name: str, df: DataFrame) -> DataFrame:
+    """(source, column, rejected): how many values of each typed column can't be read as its type."""
+    cols = [c for c in SOURCE_COLUMNS[name] if c in SOURCE_TYPES.get(name, {})]
+    counts = df.agg(*[F.count_if(F.col(c).isNotNull() & _typed_column(df, name, c).isNull()).alias(c) for c in cols]) \
+        if cols else None
+    if counts is None:
+        return df.sparkSession.createDataFrame([], "source string, column string, rejected bigint")
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("source"), F.lit(c).alias("column"), F.col(c).alias("rejected")) for c in cols])))
 
 
 class Sources(Mapping[str, DataFrame]):
@@ -141,3 +170,12 @@ class Sources(Mapping[str, DataFrame]):
 def load_sources(spark: SparkSession, root: str, fmt: str = "parquet") -> Sources:
     """Read each source from ``{root}/{name}`` (one folder per source), typed as declared."""
     return Sources({name: typed(name, spark.read.format(fmt).load(f"{root}/{name}")) for name in SOURCE_COLUMNS})
+
+
+def load_rejects(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    """The values that ``load_sources`` can't read as their type, for columns that have any."""
+    out = None
+    for name in SOURCE_TYPES:
+        part = rejects(name, spark.read.format(fmt).load(f"{root}/{name}"))
+        out = part if out is None else out.unionByName(part)
+    return out.where(F.col("rejected") > 0)
