@@ -11,7 +11,7 @@ from dimstar.session import shared_folder
 
 
 def one_to_many_left_join(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str,
-                          then: Callable[[DataFrame], DataFrame] | None = None,
+                          lookup: Callable[[DataFrame], DataFrame] | None = None,
                           materialize_parents: bool = False) -> DataFrame:
     """``parents LEFT JOIN children ON parent_key = child_key``, child side large.
 
@@ -23,12 +23,12 @@ def one_to_many_left_join(parents: DataFrame, children: DataFrame, parent_key: s
     * the parents without any child: an anti join against the children's
       distinct keys, which collapse map-side, so a hot key costs one row.
 
-    ``then`` is applied to each branch before the union: a further join on
-    the same key then reuses the branch's hash partitioning instead of
-    reshuffling the (line-grain) union.  Both branches read the parent side;
-    with ``materialize_parents`` it is written once as a parquet table in a
-    fresh folder under the shared checkpoint folder, and both read that
-    table instead of recomputing it (the write runs when this is called).  Rows and multiplicities equal the plain left join.
+    ``lookup`` adds columns to the matched rows (a join on a child column,
+    say); parents without a child read NULL there.  Both branches read the
+    parent side; with ``materialize_parents`` it is written once as a
+    parquet table in a fresh folder under the shared checkpoint folder, and
+    both read that table instead of recomputing it (the write runs when this
+    is called).  Rows and multiplicities equal the plain left join.
     """
     shared = set(parents.columns) & set(children.columns)
     if shared:
@@ -41,7 +41,8 @@ def one_to_many_left_join(parents: DataFrame, children: DataFrame, parent_key: s
     child_keys = children.select(F.col(child_key).alias("__child_key")).where(F.col("__child_key").isNotNull()) \
         .distinct()
     orphans = parents.join(child_keys, F.col(parent_key) == F.col("__child_key"), "left_anti")
-    orphans = orphans.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in children.schema.fields])
-    if then is not None:
-        matched, orphans = then(matched), then(orphans)
+    if lookup is not None:
+        matched = lookup(matched)
+    added = [f for f in matched.schema.fields if f.name not in parents.columns]
+    orphans = orphans.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
     return matched.unionByName(orphans)

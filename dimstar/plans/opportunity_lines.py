@@ -1,10 +1,10 @@
 """blended opportunity line items (EDH authoritative, ACS secondary).
 
 Join order is chosen for the large line stream: the opportunity-grain rules
-(window, account eligibility, anti join to EDH, country rule) run before the
-fan-out, the lines are joined once (an inner join plus the opportunities
-without lines, so a hot opportunity can be split), and the latest quote is
-joined inside each branch on the key the line join already partitioned by.
+(window, account eligibility, anti join to EDH, country rule) and the latest
+quote come before the fan-out, the lines are joined once (an inner join plus
+the opportunities without lines, so a hot opportunity can be split), and the
+line lookups (offering, FX rate) see only the lines that survived it.
 """
 
 from __future__ import annotations
@@ -79,24 +79,19 @@ def edh_opportunity_lines(src: Sources, params: Params, materialize: bool = Fals
         .select("opportunity_number", "end_customer_account_csn", "sales_partner_account_csn",
                 "sales_rep_number", "projected_close_date", "opportunity_stage")
         .join(acct, F.col("end_customer_account_csn") == F.col("acct_csn"), "inner")
+        .join(quote, F.col("opportunity_number") == F.col("q_opportunity_number"), "left")
     )
     offering = src.edh_offering.select(
         F.col("offering_id").alias("o_offering_id"), "offering_name", "sales_motion_product_category",
         "solution_division", "focus_segment_group", "focus_segment")
-    lines = (
-        src.edh_opportunity_line_item.select(
-            F.col("opportunity_number").alias("line_opportunity_number"), "line_item_number", "offering_id",
-            "quantity", F.col("line_item_acv_usd").alias("line_acv"),
-            F.col("sales_revenue_group_detail").alias("offer_type"), "opportunity_line_status",
-            "sales_motion_category", "action", F.col("access_model").alias("license_type"), "term")
-        .join(offering, F.col("offering_id") == F.col("o_offering_id"), "left")
-        .drop("offering_id", "o_offering_id")
-    )
-    # The latest quote is joined inside each branch, on the key the line join
-    # already partitioned by, so the line-grain rows are not shuffled again.
+    lines = src.edh_opportunity_line_item.select(
+        F.col("opportunity_number").alias("line_opportunity_number"), "line_item_number", "offering_id",
+        "quantity", F.col("line_item_acv_usd").alias("line_acv"),
+        F.col("sales_revenue_group_detail").alias("offer_type"), "opportunity_line_status",
+        "sales_motion_category", "action", F.col("access_model").alias("license_type"), "term")
     rows = one_to_many_left_join(
         opp_side, lines, "opportunity_number", "line_opportunity_number",
-        then=lambda df: df.join(quote, F.col("opportunity_number") == F.col("q_opportunity_number"), "left"),
+        lookup=lambda df: df.join(offering, F.col("offering_id") == F.col("o_offering_id"), "left"),
         materialize_parents=materialize)
     acv = F.col("line_acv").cast(ACV)
     return rows.select(
@@ -152,9 +147,11 @@ def acs_opportunity_lines(src: Sources, params: Params, materialize: bool = Fals
         src.acs_opportunity_line_item.where(F.col("is_deleted") == 0)
         .select(F.col("id").alias("line_id"), F.col("opportunity_id").alias("line_opportunity_id"),
                 F.col("quantity"), "est_annualized_amount_c", "currency_iso_code", "subscription_name")
-        .join(fx, F.col("currency_iso_code") == F.col("fx_currency"), "left")
     )
-    rows = one_to_many_left_join(opp_side, lines, "id", "line_opportunity_id", materialize_parents=materialize)
+    rows = one_to_many_left_join(
+        opp_side, lines, "id", "line_opportunity_id",
+        lookup=lambda df: df.join(fx, F.col("currency_iso_code") == F.col("fx_currency"), "left"),
+        materialize_parents=materialize)
     acv = (F.col("est_annualized_amount_c") * F.col("exchange_rate")).cast(ACV)
     s = F.lit(params.sentinel)
     return rows.select(

@@ -28,13 +28,13 @@ def test_one_to_many_left_join_equals_left_join(spark):
     assert rows_of(got, "pk", "pv", "ck", "cv") == rows_of(want, "pk", "pv", "ck", "cv")
 
 
-def test_one_to_many_left_join_then_hook(spark):
+def test_one_to_many_left_join_lookup(spark):
     parents = spark.createDataFrame([("a", 1), ("b", 2)], "pk string, pv int")
     children = spark.createDataFrame([("a", 10)], "ck string, cv int")
-    extra = spark.createDataFrame([("a", "x"), ("b", "y")], "ek string, ev string")
+    extra = spark.createDataFrame([(10, "x"), (11, "y")], "ek int, ev string")
     got = one_to_many_left_join(parents, children, "pk", "ck",
-                                then=lambda d: d.join(extra, F.col("pk") == F.col("ek"), "left"))
-    assert rows_of(got, "pk", "cv", "ev") == [("a", 10, "x"), ("b", None, "y")]
+                                lookup=lambda d: d.join(extra, F.col("cv") == F.col("ek"), "left"))
+    assert rows_of(got, "pk", "cv", "ev") == [("a", 10, "x"), ("b", None, None)]
 
 
 def test_latest_per_key_quotes(spark):
