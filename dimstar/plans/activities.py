@@ -3,7 +3,8 @@
 Tasks are the large, skew-prone stream (many tasks can hang off one
 opportunity).  Lookups keyed by the opportunity and by the contact are
 joined at their own grain first, so each task is shuffled once per key
-(opportunity, contact) instead of once per lookup table.
+(opportunity, contact) instead of once per lookup table.  Rules on a task's
+own columns run before these joins, so its long texts are never shuffled.
 """
 
 from __future__ import annotations
@@ -41,6 +42,11 @@ def edh_activities(src: Sources, params: Params) -> DataFrame:
         & _recent("source_created_ts", params)
         & (F.coalesce(F.col("sales_activity_subtype"), F.lit("Blank")) != R.BOUNCED)
     )
+    sat, tst, sas = F.col("sales_activity_type"), F.col("task_subtype"), F.col("sales_activity_subtype")
+    tasks = tasks.withColumns({
+        "new_activity_type": R.edh_activity_type(sat, tst, sas, F.col("subject_line"), F.col("task_description")),
+        "activity_type": R.edh_direction(sat, tst, sas, F.col("task_type")),
+    }).drop("task_description")
     opp_side = src.edh_opportunity.select(
         F.col("opportunity_number").alias("o_number"),
         F.col("end_customer_account_csn").alias("o_account_csn"),
@@ -54,7 +60,6 @@ def edh_activities(src: Sources, params: Params) -> DataFrame:
         tasks.join(opp_side, F.col("opportunity_number") == F.col("o_number"), "inner")
         .join(contacts, F.col("end_customer_contact_csn") == F.col("con_csn"), "left")
     )
-    sat, tst, sas = F.col("sales_activity_type"), F.col("task_subtype"), F.col("sales_activity_subtype")
     return rows.select(
         F.col("task_id").alias("activity_id"),
         F.col("o_account_csn").alias("account_csn"),
@@ -73,8 +78,7 @@ def edh_activities(src: Sources, params: Params) -> DataFrame:
         F.lit(None).cast("string").alias("call_outcome"),
         F.lit(None).cast("string").alias("call_type_raw"),
         F.lit(None).cast("double").alias("outreach_call_duration_seconds"),
-        R.edh_activity_type(sat, tst, sas, F.col("subject_line"), F.col("task_description")).alias("new_activity_type"),
-        R.edh_direction(sat, tst, sas, F.col("task_type")).alias("activity_type"),
+        "new_activity_type", "activity_type",
         R.activity_group(F.trim(sas), F.col("acc_type"), F.col("con_email"), params.tenant_pattern)
         .alias("activity_group"),
         F.lit(R.ACTIVITY_EDH).alias("source_system"),
@@ -89,6 +93,11 @@ def construction_activities(src: Sources, params: Params) -> DataFrame:
         & _recent("date_created", params)
         & (F.col("task_type") != R.BOUNCED)
     )
+    tt, ts = F.col("task_type"), F.col("task_subtype")
+    tasks = tasks.withColumns({
+        "new_activity_type": R.construction_activity_type(tt, ts),
+        "activity_type": R.construction_direction(tt, ts, F.col("call_type")),
+    })
     opp_side = (
         src.acs_opportunity.select(
             F.col("id").alias("opp_id"), F.col("opportunity_number__c").alias("opp_number"),
@@ -110,7 +119,6 @@ def construction_activities(src: Sources, params: Params) -> DataFrame:
         tasks.join(opp_side, F.col("what_id") == F.col("opp_id"), "inner")
         .join(contact_side, F.col("sfdc_contact_id") == F.col("cc_id"), "left")
     )
-    tt, ts = F.col("task_type"), F.col("task_subtype")
     return rows.select(
         F.col("task_id").alias("activity_id"),
         F.col("ca_csn").alias("account_csn"),
@@ -129,8 +137,7 @@ def construction_activities(src: Sources, params: Params) -> DataFrame:
         "call_outcome",
         F.col("call_type").alias("call_type_raw"),
         F.col("outreach_call_duration_c").alias("outreach_call_duration_seconds"),
-        R.construction_activity_type(tt, ts).alias("new_activity_type"),
-        R.construction_direction(tt, ts, F.col("call_type")).alias("activity_type"),
+        "new_activity_type", "activity_type",
         R.activity_group(F.nullif(F.trim(tt), F.lit("")), F.coalesce(F.col("acc_type"), F.col("ca_type")),
                          F.coalesce(F.col("ec_email"), F.col("cc_email")), params.tenant_pattern)
         .alias("activity_group"),
