@@ -1,14 +1,15 @@
 """Semantic layer: measures, metrics and ``metric_query``.
 
 Metrics are plain aggregates over a fact.  When a query groups by an
-attribute of a dimension, the fact is first aggregated down to the
-foreign-key grain (partial sums, distinct values kept) and only that
-reduced set is joined to the dimension, so the large fact is never
-shuffled by a dimension key.
+attribute of a dimension, sums are first aggregated down to the
+foreign-key grain and only that reduced set is joined to the dimension.
+A distinct count would keep such an aggregate at the fact's own grain, so
+there the dimension is joined to the fact directly.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -19,8 +20,8 @@ from dimstar.plans.star import ACTIVITY_EDGES, PIPELINE_EDGES, Edge, edge_by_rol
 
 
 def money(c: Column) -> Column:
-    """Money result: exact decimal sum rounded to cents, then double."""
-    return F.round(c, 2).cast("decimal(38,2)").cast("double")
+    """Money for display: the exact decimal sum with six decimals, as a double."""
+    return F.round(c, 6).cast("decimal(38,6)").cast("double")
 
 
 @dataclass(frozen=True)
@@ -49,6 +50,9 @@ class Metric:
     denominator: str | None = None
     inputs: tuple[str, ...] = ()
     formula: Callable[..., Column] | None = None
+    window: int | None = None  # cumulative: periods of the query's grain; None: all before
+    label: str = ""
+    description: str = ""
 
 
 def _m(name, agg, expr, kind="int"):
@@ -84,30 +88,50 @@ MODELS = {m.name: m for m in (PIPELINE_MODEL, ACTIVITY_MODEL)}
 
 _P, _A = PIPELINE_MODEL.name, ACTIVITY_MODEL.name
 METRICS: dict[str, Metric] = {m.name: m for m in (
-    Metric("total_pipeline_acv_usd", _P, "simple", measure="line_item_acv_usd_total"),
-    Metric("total_weighted_pipeline_acv_usd", _P, "simple", measure="line_item_weighted_acv_usd_total"),
-    Metric("opportunity_count", _P, "simple", measure="opportunity_count"),
-    Metric("line_item_quantity_total", _P, "simple", measure="line_item_quantity_total"),
+    Metric("total_pipeline_acv_usd", _P, "simple", measure="line_item_acv_usd_total",
+           label="Pipeline ACV (USD)", description="Sum of line item ACV in USD, open and closed."),
+    Metric("total_weighted_pipeline_acv_usd", _P, "simple", measure="line_item_weighted_acv_usd_total",
+           label="Weighted pipeline ACV (USD)", description="Sum of line item ACV times the weight of its stage."),
+    Metric("opportunity_count", _P, "simple", measure="opportunity_count",
+           label="Opportunities", description="Different opportunities of each source system."),
+    Metric("line_item_quantity_total", _P, "simple", measure="line_item_quantity_total",
+           label="Quantity", description="Sum of line item quantities."),
     Metric("pipeline_confidence_ratio", _P, "ratio",
-           numerator="total_weighted_pipeline_acv_usd", denominator="total_pipeline_acv_usd"),
-    Metric("total_activities", _A, "simple", measure="activity_count"),
-    Metric("outbound_call_attempts", _A, "simple", measure="call_attempt_outbound_count"),
-    Metric("outbound_calls_connected", _A, "simple", measure="call_connected_outbound_count"),
+           numerator="total_weighted_pipeline_acv_usd", denominator="total_pipeline_acv_usd",
+           label="Pipeline confidence", description="Weighted over total pipeline ACV."),
+    Metric("total_activities", _A, "simple", measure="activity_count",
+           label="Activities", description="Different activities."),
+    Metric("outbound_call_attempts", _A, "simple", measure="call_attempt_outbound_count",
+           label="Outbound call attempts", description="Outbound calls to customers, connected or not."),
+    Metric("outbound_calls_connected", _A, "simple", measure="call_connected_outbound_count",
+           label="Outbound calls connected", description="Outbound calls that reached somebody."),
     Metric("call_connect_rate", _A, "ratio", numerator="outbound_calls_connected",
-           denominator="outbound_call_attempts"),
-    Metric("meetings_scheduled", _A, "simple", measure="meeting_scheduled_count"),
-    Metric("meetings_completed", _A, "simple", measure="meeting_completed_count"),
-    Metric("outbound_email_attempts", _A, "simple", measure="email_attempt_outbound_count"),
-    Metric("inbound_emails_received", _A, "simple", measure="email_received_count"),
-    Metric("total_call_duration_seconds", _A, "simple", measure="call_duration_seconds_sum"),
+           denominator="outbound_call_attempts",
+           label="Connect rate", description="Connected outbound calls over attempts."),
+    Metric("meetings_scheduled", _A, "simple", measure="meeting_scheduled_count",
+           label="Meetings scheduled", description="Meetings that were arranged."),
+    Metric("meetings_completed", _A, "simple", measure="meeting_completed_count",
+           label="Meetings completed", description="Meetings that took place."),
+    Metric("outbound_email_attempts", _A, "simple", measure="email_attempt_outbound_count",
+           label="Outbound emails", description="Emails sent to customers."),
+    Metric("inbound_emails_received", _A, "simple", measure="email_received_count",
+           label="Inbound emails", description="Emails received from customers."),
+    Metric("total_call_duration_seconds", _A, "simple", measure="call_duration_seconds_sum",
+           label="Call seconds", description="Sum of call durations in seconds."),
     Metric("avg_call_duration_seconds", _A, "ratio", numerator="total_call_duration_seconds",
-           denominator="outbound_call_attempts"),
+           denominator="outbound_call_attempts",
+           label="Seconds per call", description="Call seconds over outbound call attempts."),
     # Derived metric: an expression over other metrics (documented metric type).
     Metric("acv_per_opportunity", _P, "derived", inputs=("total_pipeline_acv_usd", "opportunity_count"),
-           formula=lambda acv, n: F.try_divide(acv, n.cast("double"))),
-    # Cumulative metrics: running totals of an additive metric over the query's time key.
-    Metric("cumulative_pipeline_acv_usd", _P, "cumulative", inputs=("total_pipeline_acv_usd",)),
-    Metric("cumulative_outbound_call_attempts", _A, "cumulative", inputs=("outbound_call_attempts",)),
+           formula=lambda acv, n: F.try_divide(acv.cast("double"), n.cast("double")),
+           label="ACV per opportunity", description="Pipeline ACV over the number of opportunities."),
+    # Cumulative metrics: totals of an additive metric over the query's time key, running or trailing.
+    Metric("cumulative_pipeline_acv_usd", _P, "cumulative", inputs=("total_pipeline_acv_usd",),
+           label="Running pipeline ACV (USD)", description="Pipeline ACV of all periods up to this one."),
+    Metric("trailing_3_pipeline_acv_usd", _P, "cumulative", inputs=("total_pipeline_acv_usd",), window=3,
+           label="Pipeline ACV of three periods (USD)", description="Pipeline ACV of this period and the two before."),
+    Metric("cumulative_outbound_call_attempts", _A, "cumulative", inputs=("outbound_call_attempts",),
+           label="Running outbound call attempts", description="Outbound call attempts of all periods up to this one."),
 )}
 
 GRAINS = ("day", "week", "month", "quarter", "year")
@@ -146,111 +170,152 @@ def _key_column(model: SemanticModel, name: str) -> tuple[str, Column | None, Ed
     return name, F.col(name), None, None
 
 
-def metric_query(fact: DataFrame, metrics: Sequence[str], group_by: Sequence[str] = (),
+def dimensions_of(metrics: Sequence[str], dims: Mapping[str, DataFrame]) -> list[str]:
+    """The names by which all of the metrics can be grouped: time grains and ``role__attribute``."""
+    names: list[set[str]] = []
+    for model in {METRICS[m].model for m in metrics}:
+        edges = [e for e in MODELS[model].edges if e.dim in dims]
+        names.append({f"metric_time__{g}" for g in GRAINS}
+                     | {f"{e.role}__{a}" for e in edges for a in dims[e.dim].columns if a != e.key})
+    return sorted(set.intersection(*names)) if names else []
+
+
+def _where_roles(where: Column | str | None, model: SemanticModel, fact: DataFrame) -> dict[str, list[str]]:
+    """The dimension attributes (``role__attribute``) that a filter in SQL names."""
+    found: dict[str, list[str]] = {}
+    if isinstance(where, str):
+        outside = re.sub(r"'(?:[^']|'')*'", "''", where)  # without string literals
+        roles = {e.role for e in model.edges}
+        for role, attr in re.findall(r"\b([A-Za-z]\w*?)__(\w+)", outside):
+            if role in roles and f"{role}__{attr}" not in fact.columns and attr not in found.setdefault(role, []):
+                found[role].append(attr)
+    return found
+
+
+def _period(grain: str, c: Column) -> Column:
+    """The number of a period, so that neighbours differ by one."""
+    if grain == "day":
+        return F.unix_date(c)
+    if grain == "week":
+        return F.floor((F.unix_date(c) + 3) / 7)  # weeks begin on Monday
+    return {"month": F.year(c) * 12 + F.month(c), "quarter": F.year(c) * 4 + F.quarter(c), "year": F.year(c)}[grain]
+
+
+def metric_query(fact: DataFrame | Mapping[str, DataFrame], metrics: Sequence[str], group_by: Sequence[str] = (),
                  dims: Mapping[str, DataFrame] | None = None, where: Column | str | None = None,
                  order_by: Sequence[str] = (), spine: DataFrame | None = None) -> DataFrame:
     """Evaluate metrics grouped by local columns, time grains and dimension attributes.
 
-    ``order_by`` takes metric or key names, ``-name`` for descending.  With
-    ``spine`` (a ``date_day`` column) and a ``metric_time__<grain>`` key,
-    periods without data are kept and count-like metrics read 0 there.
+    ``where`` filters the fact's rows; a filter in SQL may also name
+    dimension attributes (``role__attribute``).  ``order_by`` takes metric
+    or key names, ``-name`` for descending.  With ``spine`` (a ``date_day``
+    column) and a ``metric_time__<grain>`` key, periods without data are
+    kept, count-like metrics read 0 there and running totals go on.
+
+    Metrics of several models need ``fact`` as a mapping of model to fact;
+    each model is aggregated by itself and the results meet on the group-by
+    keys, NULL keys included; a metric without rows for a key is NULL.
     """
-    models = {METRICS[m].model for m in metrics}
-    if len(models) != 1:
-        raise ValueError("metrics of one semantic model per query")
-    model = MODELS[models.pop()]
+    models = list(dict.fromkeys(METRICS[m].model for m in metrics))
+    if len(models) == 1:
+        one = fact[models[0]] if isinstance(fact, Mapping) else fact
+        return _order(_one_model(MODELS[models[0]], one, metrics, group_by, dims, where, spine), order_by)
+    if not isinstance(fact, Mapping):
+        raise ValueError("metrics of several semantic models need a mapping of model to fact")
+    parts = [_one_model(MODELS[model], fact[model], [m for m in metrics if METRICS[m].model == model],
+                        group_by, dims, where, spine) for model in models]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    # Each part has one row per key at most.
+    return _order(out.groupBy(*group_by).agg(*[F.max(m).alias(m) for m in metrics]), order_by)
+
+
+def _order(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    if not order_by:
+        return df
+    return df.orderBy(*[F.col(o[1:]).desc_nulls_last() if o.startswith("-") else F.col(o).asc_nulls_first()
+                        for o in order_by])
+
+
+def _one_model(model: SemanticModel, fact: DataFrame, metrics: Sequence[str], group_by: Sequence[str],
+               dims: Mapping[str, DataFrame] | None, where: Column | str | None, spine: DataFrame | None) -> DataFrame:
     simple = _simple_closure(metrics)
-    measures = [model.measures[METRICS[s].measure] for s in simple]
-
-    df = fact if where is None else fact.where(where)
+    measures = {s: model.measures[METRICS[s].measure] for s in simple}
     keys = [_key_column(model, g) for g in group_by]
-    local = [(n, c) for n, c, e, _ in keys if e is None]
+
+    df, joined = fact, _where_roles(where, model, fact)
+    for role, attrs in joined.items():
+        # A filter on a dimension: it is joined once, with what the grouping asks of it as well.
+        edge = edge_by_role(model.edges, role)
+        attrs += [a for _, _, e, a in keys if e is edge and a not in attrs]
+        df = join_edge(df, dims[edge.dim], edge, attrs)
+    if where is not None:
+        df = df.where(where)
+    local = [(n, F.col(n) if e is not None else c) for n, c, e, _ in keys if e is None or e.role in joined]
     by_edge: dict[str, tuple[Edge, list[str]]] = {}
-    for n, _, e, attr in keys:
-        if e is not None:
+    for _, _, e, attr in keys:
+        if e is not None and e.role not in joined:
             by_edge.setdefault(e.role, (e, []))[1].append(attr)
 
-    sums = [m for m in measures if m.agg == "sum"]
-    distincts = [m for m in measures if m.agg == "count_distinct"]
+    sums = {s: m for s, m in measures.items() if m.agg == "sum"}
+    distincts = {s: m for s, m in measures.items() if m.agg == "count_distinct"}
     pre_keys = [c.alias(n) for n, c in local] + [F.col(e.fk).alias(f"__fk_{r}") for r, (e, _) in by_edge.items()]
-    pre_keys += [m.expr().alias(f"__d_{m.name}") for m in distincts]
-
-    if by_edge:
-        # Reduce the fact to (local keys, foreign keys, distinct values) before any dimension join.
-        reduced = df.groupBy(*pre_keys).agg(*[F.sum(m.expr()).alias(f"__s_{m.name}") for m in sums])
-        for role, (edge, attrs) in by_edge.items():
-            fk_edge = Edge(f"__fk_{role}", edge.dim, edge.key, role, True)
-            reduced = join_edge(reduced, dims[edge.dim], fk_edge, attrs)
-        final_keys = list(group_by)
-        aggs = [F.sum(f"__s_{m.name}").alias(m.name) for m in sums]
-        aggs += [F.countDistinct(f"__d_{m.name}").alias(m.name) for m in distincts]
-        agg = reduced.groupBy(*final_keys).agg(*aggs)
+    values = [m.expr().alias(f"__v_{s}") for s, m in measures.items()]
+    if by_edge and not distincts:
+        # Reduce the fact to (local keys, foreign keys) before any dimension join.
+        rows = df.groupBy(*pre_keys).agg(*[F.sum(m.expr()).alias(f"__v_{s}") for s, m in sums.items()])
     else:
-        final_keys = list(group_by)
-        aggs = [F.sum(m.expr()).alias(m.name) for m in sums]
-        aggs += [F.countDistinct(m.expr()).alias(m.name) for m in distincts]
-        agg = df.groupBy(*[c.alias(n) for n, c in local]).agg(*aggs)
-
-    cumulative = [METRICS[n] for n in metrics if METRICS[n].kind == "cumulative"]
-    if cumulative:
-        time_key = next((g for g in group_by if g.startswith("metric_time__")), None)
+        rows = df.select(*pre_keys, *values)
+    for role, (edge, attrs) in by_edge.items():
+        rows = join_edge(rows, dims[edge.dim], Edge(f"__fk_{role}", edge.dim, edge.key, role, True), attrs)
+    out = rows.groupBy(*group_by).agg(
+        *[F.sum(f"__v_{s}").alias(f"__v_{s}") for s in sums],
+        *[F.countDistinct(f"__v_{s}").cast("bigint").alias(f"__v_{s}") for s in distincts])
+
+    time_key = next((g for g in group_by if g.startswith("metric_time__")), None)
+    grain = time_key.split("__", 1)[1] if time_key else None
+    if spine is not None and time_key:
+        # Gap fill: the spine at the query's grain, left-joined on the time key
+        # only; an empty period appears once (other keys NULL).
+        day = F.col("date_day")
+        periods = spine.select((day if grain == "day" else F.date_trunc(grain, day).cast("date")).alias(time_key)) \
+            .distinct()
+        out = periods.join(out, time_key, "left")
+        out = out.select(*group_by, *[F.coalesce(F.col(f"__v_{s}"), F.lit(0).cast(out.schema[f"__v_{s}"].dataType))
+                                      .alias(f"__v_{s}") for s in simple])
+
+    # Totals over the aggregated periods (one row per key and period), on the
+    # exact sums; partitioned by the other keys.
+    for c in (METRICS[n] for n in metrics if METRICS[n].kind == "cumulative"):
         if time_key is None:
             raise ValueError("a cumulative metric needs a metric_time__<grain> key")
-        # Running sum over the aggregated periods (one row per key and period), on
-        # the exact sums; partitioned by the other keys.
-        w = Window.partitionBy(*[k for k in final_keys if k != time_key]).orderBy(time_key) \
-            .rowsBetween(Window.unboundedPreceding, 0)
-        for c in cumulative:
-            base = model.measures[METRICS[c.inputs[0]].measure]
-            if base.agg != "sum":
-                raise ValueError(f"{c.name}: cumulative totals need an additive (sum) measure")
-            agg = agg.withColumn(f"__cum_{c.name}", F.sum(base.name).over(w))
-
-    typed = []
-    for c in cumulative:
-        base = model.measures[METRICS[c.inputs[0]].measure]
-        col = F.col(f"__cum_{c.name}")
-        typed.append((money(col) if base.kind == "money" else
-                      col.cast("double") if base.kind == "double" else col.cast("bigint")).alias(c.name))
-    for s in simple:
-        m = model.measures[METRICS[s].measure]
-        c = F.col(m.name)
-        if m.agg == "count_distinct":
-            typed.append(c.cast("bigint").alias(s))
-        elif m.kind == "money":
-            typed.append(money(c).alias(s))
-        elif m.kind == "double":
-            typed.append(c.cast("double").alias(s))
-        else:
-            typed.append(c.cast("bigint").alias(s))
-    out = agg.select(*final_keys, *typed)
+        if measures[c.inputs[0]].agg != "sum":
+            raise ValueError(f"{c.name}: cumulative totals need an additive (sum) measure")
+        w = Window.partitionBy(*[k for k in group_by if k != time_key]).orderBy(_period(grain, F.col(time_key)))
+        first = Window.unboundedPreceding if c.window is None else -(c.window - 1)
+        out = out.withColumn(f"__v_{c.name}", F.sum(f"__v_{c.inputs[0]}").over(w.rangeBetween(first, 0)))
 
-    time_keys = [g for g in group_by if g.startswith("metric_time__")]
-    if spine is not None and time_keys:
-        # Gap fill: the spine at the query's grain, left-joined on the time key
-        # only; an empty period appears once (other keys NULL) and count-like
-        # metrics read 0 there.
-        tk = time_keys[0]
-        grain = tk.split("__", 1)[1]
-        day = F.col("date_day")
-        periods = spine.select((day if grain == "day" else F.date_trunc(grain, day).cast("date")).alias(tk)).distinct()
-        out = periods.join(out, tk, "left")
-        out = out.select(*[F.col(k) for k in final_keys],
-                         *[F.coalesce(F.col(s), F.lit(0).cast(out.schema[s].dataType)).alias(s) for s in simple],
-                         *[F.col(c.name) for c in cumulative])
+    def exact(name: str) -> Column:
+        return F.col(f"__v_{name}")
+
+    def shown(name: str, measure: Measure) -> Column:
+        c = exact(name)
+        return money(c) if measure.kind == "money" else c.cast("double" if measure.kind == "double" else "bigint")
 
-    cols = [F.col(k) for k in final_keys]
+    cols = []
     for name in metrics:
         m = METRICS[name]
-        if m.kind in ("simple", "cumulative"):
-            cols.append(F.col(name))
-        elif m.kind == "ratio":
-            cols.append(F.try_divide(F.col(m.numerator).cast("double"), F.col(m.denominator).cast("double"))
-                        .alias(name))
+        if m.kind == "simple":
+            c = shown(name, measures[name])
+        elif m.kind == "cumulative":
+            c = shown(name, measures[m.inputs[0]])
         else:
-            cols.append(m.formula(*[F.col(i) for i in m.inputs]).alias(name))
-    result = out.select(*cols)
-    if order_by:
-        result = result.orderBy(*[F.col(o[1:]).desc_nulls_last() if o.startswith("-") else F.col(o).asc_nulls_first()
-                                  for o in order_by])
-    return result
+            # Ratios and formulas are taken of the exact sums; those of money show nine decimals.
+            of = (m.numerator, m.denominator) if m.kind == "ratio" else m.inputs
+            c = F.try_divide(exact(of[0]).cast("double"), exact(of[1]).cast("double")) if m.kind == "ratio" \
+                else m.formula(*[exact(i) for i in of])
+            if any(measures[i].kind == "money" for i in of):
+                c = F.round(c, 9)
+        cols.append(c.alias(name))
+    return out.select(*group_by, *cols)

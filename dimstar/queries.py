@@ -7,6 +7,7 @@ are kept as exact decimals inside the jobs and handed out as doubles.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import uuid
 from collections.abc import Callable
@@ -60,23 +61,32 @@ def to_doubles(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
-_SOURCES: dict[tuple[int, str], Sources] = {}
+def _session_key(spark: SparkSession) -> tuple[str, str]:
+    """A name for the session that no later one gets: the application and a token kept in the session itself."""
+    token = spark.conf.get("spark.dimstar.session.token", None)
+    if token is None:
+        token = uuid.uuid4().hex
+        spark.conf.set("spark.dimstar.session.token", token)
+    return spark.sparkContext.applicationId, token
+
+
+_SOURCES: dict[tuple[tuple[str, str], str], Sources] = {}
 
 
 def _ctx(spark: SparkSession, sf_dir: str, params: Params = TEST_PARAMS) -> tuple[Sources, Params]:
     """Sources for ``sf_dir``, built once per session (lazy plans, safe to share)."""
-    key = (id(spark._jsparkSession), sf_dir)
+    key = (_session_key(spark), sf_dir)
     if key not in _SOURCES:
         _SOURCES[key] = fixture_sources(spark, sf_dir)
     return _SOURCES[key], params
 
 
-_MARTS: dict[tuple[int, str], dict[str, DataFrame]] = {}
+_MARTS: dict[tuple[tuple[str, str], str], dict[str, DataFrame]] = {}
 
 
 def _marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The marts for ``sf_dir`` with the test parameters, planned once per session."""
-    key = (id(spark._jsparkSession), sf_dir)
+    key = (_session_key(spark), sf_dir)
     if key not in _MARTS:
         src, p = _ctx(spark, sf_dir)
         _MARTS[key] = marts(src, p)
@@ -444,7 +454,7 @@ def adhoc_region_month(m):
     return spark.sql(f"""
         SELECT a.account_region,
                CAST(date_trunc('month', f.opportunity_projected_close_date) AS DATE) AS close_month,
-               CAST(CAST(ROUND(SUM(f.line_item_acv_usd), 2) AS DECIMAL(38,2)) AS DOUBLE) AS total_acv_usd,
+               CAST(CAST(ROUND(SUM(f.line_item_acv_usd), 6) AS DECIMAL(38,6)) AS DOUBLE) AS total_acv_usd,
                CAST(SUM(f.quantity) AS DOUBLE) AS total_quantity
         FROM {fct} f
         LEFT JOIN {acct} a ON f.account_csn = a.account_csn
@@ -499,12 +509,34 @@ def acv_per_opportunity(m):
 
 @mart_query
 def pipeline_vs_activity_by_account(m):
-    """Each fact aggregated by account first, then a full outer join on the account."""
-    pipe = metric_query(m[F1], ["total_pipeline_acv_usd", "opportunity_count"], ["account_csn"])
-    acts = metric_query(m[F2], ["total_activities"], ["account_csn"])
-    return pipe.join(acts, pipe.account_csn.eqNullSafe(acts.account_csn), "full").select(
-        F.coalesce(pipe.account_csn, acts.account_csn).alias("account_csn"),
-        "total_pipeline_acv_usd", "opportunity_count", "total_activities")
+    """Metrics of both facts in one request, each aggregated by account first."""
+    return metric_query({"blended_opportunities": m[F1], "blended_opportunity_activities": m[F2]},
+                        ["total_pipeline_acv_usd", "opportunity_count", "total_activities"], ["account_csn"])
+
+
+@mart_query
+def activities_by_account_segment(m):
+    """A distinct count alone, by an attribute of a dimension."""
+    return metric_query(m[F2], ["total_activities"], ["account__account_segment"], dims=star_dims(m))
+
+
+@mart_query
+def open_pipeline_by_account_segment(m):
+    """A filter on an attribute of a dimension."""
+    return metric_query(m[F1], ["total_pipeline_acv_usd", "opportunity_count"],
+                        ["account__account_segment", "opportunity__opportunity_stage"], dims=star_dims(m),
+                        where="opportunity__opportunity_stage NOT IN ('Won', 'Lost')")
+
+
+@query
+def pipeline_running_by_month(spark, sf_dir):
+    """Running and trailing totals over a gap-free series that goes half a year past the window."""
+    src, p = _ctx(spark, sf_dir)
+    half_year_on = p.close_to + dt.timedelta(days=181)
+    days = D.time_spine(spark, p.with_(spine_from=p.close_from.replace(day=1), spine_to=half_year_on))
+    return metric_query(P.fct_blended_opportunities(src, p),
+                        ["total_pipeline_acv_usd", "cumulative_pipeline_acv_usd", "trailing_3_pipeline_acv_usd"],
+                        ["metric_time__month"], spine=days)
 
 
 # --------------------------------------------------------------------------- data quality and publishing
@@ -547,14 +579,13 @@ def dq_coverage(spark, sf_dir):
     """Rows per model in the transform and in its published table."""
     m = _marts(spark, sf_dir)
     pub = publish(spark, m)
-    parts = [m[n].agg(F.count(F.lit(1)).alias("transform_rows")).select(F.lit(n).alias("model"), "transform_rows")
-             .join(pub[n].agg(F.count(F.lit(1)).alias("publish_rows")).select(F.lit(n).alias("model"), "publish_rows"),
-                   "model")
-             for n in m]
+    parts = [side[n].agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("model"), F.lit(tag).alias("side"), "n")
+             for tag, side in (("transform", m), ("publish", pub)) for n in m]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    return out.groupBy("model").agg(*[F.max(F.when(F.col("side") == tag, F.col("n"))).alias(f"{tag}_rows")
+                                      for tag in ("transform", "publish")])
 
 
 @query

@@ -12,7 +12,7 @@ from oracle.sources_sql import in_list, source_ctes
 
 
 def money(x: str) -> str:
-    return f"CAST(CAST(round({x}, 2) AS DECIMAL(38,2)) AS DOUBLE)"
+    return f"CAST(CAST(round({x}, 6) AS DECIMAL(38,6)) AS DOUBLE)"
 
 
 def ratio(n: str, d: str) -> str:
@@ -30,9 +30,9 @@ PIPELINE_METRICS = {
     "opportunity_count": OPP_COUNT,
     "line_item_quantity_total": "CAST(sum(quantity) AS DOUBLE)",
 }
-PIPELINE_METRICS["pipeline_confidence_ratio"] = ratio(PIPELINE_METRICS["total_weighted_pipeline_acv_usd"],
-                                                      PIPELINE_METRICS["total_pipeline_acv_usd"])
-PIPELINE_METRICS["acv_per_opportunity"] = ratio(PIPELINE_METRICS["total_pipeline_acv_usd"], OPP_COUNT)
+PIPELINE_METRICS["pipeline_confidence_ratio"] = \
+    f"round({ratio('sum(line_item_weighted_acv_usd)', 'sum(line_item_acv_usd)')}, 9)"
+PIPELINE_METRICS["acv_per_opportunity"] = f"round({ratio('sum(line_item_acv_usd)', OPP_COUNT)}, 9)"
 
 
 def _isum(c: str) -> str:
@@ -280,6 +280,27 @@ def final_queries() -> dict[str, str]:
         FROM ({agg(F1, ['account_csn'], PIPELINE_METRICS, ['total_pipeline_acv_usd', 'opportunity_count'])}) p
         FULL OUTER JOIN ({agg(F2, ['account_csn'], ACTIVITY_METRICS, ['total_activities'])}) a
           ON p.account_csn IS NOT DISTINCT FROM a.account_csn"""
+    q["activities_by_account_segment"] = f"""
+        SELECT a.account_segment AS account__account_segment, count(DISTINCT f.activity_id) AS total_activities
+        FROM {F2} f LEFT JOIN m_dim_unified_account a ON f.account_csn = a.account_csn
+        GROUP BY 1"""
+    q["open_pipeline_by_account_segment"] = f"""
+        SELECT a.account_segment AS account__account_segment, o.opportunity_stage AS opportunity__opportunity_stage,
+               {money('sum(f.line_item_acv_usd)')} AS total_pipeline_acv_usd,
+               count(DISTINCT f.source_system || '|' || f.opportunity_number) AS opportunity_count
+        FROM {F1} f LEFT JOIN m_dim_unified_account a ON f.account_csn = a.account_csn
+        LEFT JOIN m_dim_unified_opportunity o ON f.opportunity_number = o.opportunity_number
+        WHERE o.opportunity_stage NOT IN ('Won', 'Lost')
+        GROUP BY 1, 2"""
+    q["pipeline_running_by_month"] = f"""
+        SELECT s.d AS metric_time__month, {money('COALESCE(acv, 0)')} AS total_pipeline_acv_usd,
+               {money('sum(COALESCE(acv, 0)) OVER (ORDER BY s.d)')} AS cumulative_pipeline_acv_usd,
+               {money('sum(COALESCE(acv, 0)) OVER (ORDER BY s.d ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)')}
+                 AS trailing_3_pipeline_acv_usd
+        FROM (SELECT CAST(unnest(generate_series(date_trunc('month', {CLOSE_FROM}), {CLOSE_TO} + INTERVAL 6 MONTH,
+                                                 INTERVAL 1 MONTH)) AS DATE) AS d) s
+        LEFT JOIN (SELECT CAST(date_trunc('month', opportunity_projected_close_date) AS DATE) AS d,
+                          sum(line_item_acv_usd) AS acv FROM {F1} GROUP BY 1) x ON x.d = s.d"""
     q["dq_unique"] = summary_sql(Q.UNIQUE_TESTS)
     q["dq_not_null"] = summary_sql(Q.NOT_NULL_TESTS)
     q["dq_accepted_values"] = summary_sql(Q.ACCEPTED_TESTS)
