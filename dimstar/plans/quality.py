@@ -100,21 +100,54 @@ def failing_rows(test: DataTest, marts: Mapping[str, DataFrame]) -> DataFrame:
     raise ValueError(test.kind)
 
 
+def _scan_counts(tests: Sequence[DataTest], df: DataFrame) -> DataFrame:
+    """The summary rows of a mart's not_null and accepted_values tests, from one aggregate over it."""
+    aggs = []
+    for i, t in enumerate(tests):
+        c = F.col(t.column)
+        bad = c.isNull() if t.kind == "not_null" else ~c.isin(*t.values)
+        aggs.append(F.count_if(bad).alias(f"n{i}"))
+        if t.kind == "accepted_values":
+            aggs.append(F.countDistinct(F.when(bad, c)).alias(f"k{i}"))
+    rows = [F.struct(F.lit(t.name).alias("test_name"), F.lit(t.kind).alias("test_kind"),
+                     F.lit(t.severity).alias("severity"),
+                     F.col(f"n{i}" if t.kind == "not_null" else f"k{i}").alias("failures"),
+                     F.col(f"n{i}").alias("failing_records")) for i, t in enumerate(tests)]
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
 def summary(tests: Sequence[DataTest], marts: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per test: (test_name, test_kind, severity, failures, failing_records)."""
-    parts = []
+    """One row per test: (test_name, test_kind, severity, failures, failing_records).
+
+    Tests that look at one row at a time share one scan of their mart.
+    """
+    parts, scanned = [], {}
     for t in tests:
+        if t.kind in ("not_null", "accepted_values"):
+            scanned.setdefault(t.model, []).append(t)
+            continue
         rows = failing_rows(t, marts)
         parts.append(rows.agg(F.count(F.lit(1)).alias("failures"),
                               F.coalesce(F.sum("n_records"), F.lit(0)).cast("bigint").alias("failing_records"))
                      .select(F.lit(t.name).alias("test_name"), F.lit(t.kind).alias("test_kind"),
                              F.lit(t.severity).alias("severity"), "failures", "failing_records"))
+    parts += [_scan_counts(ts, marts[model]) for model, ts in scanned.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def summary_of_log(tests: Sequence[DataTest], log: DataFrame) -> DataFrame:
+    """The same summary from a run's written failing rows; tests without any read 0."""
+    names = log.sparkSession.createDataFrame([(t.name, t.kind, t.severity) for t in tests],
+                                             "test_name string, test_kind string, severity string")
+    found = log.groupBy("test_name").agg(F.count(F.lit(1)).alias("failures"), F.sum("n_records").alias("failing_records"))
+    return names.join(found, "test_name", "left").select(
+        "test_name", "test_kind", "severity", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"),
+        F.coalesce("failing_records", F.lit(0)).cast("bigint").alias("failing_records"))
+
+
 def all_failing_rows(tests: Sequence[DataTest], marts: Mapping[str, DataFrame]) -> DataFrame:
     parts = [failing_rows(t, marts).select(F.lit(t.name).alias("test_name"), F.lit(t.severity).alias("severity"),
                                            "failing_key", "n_records") for t in tests]
@@ -130,5 +163,6 @@ def failure_log(spark: SparkSession, tests: Sequence[DataTest], marts: Mapping[s
     run_id = run_id or uuid.uuid4().hex
     # Each run writes its own partition folder, so concurrent or retried runs
     # never share an output directory; readers see runs as a run_id column.
-    all_failing_rows(tests, marts).write.mode("overwrite").parquet(f"{log_root.rstrip('/')}/run_id={run_id}")
-    return spark.read.parquet(log_root).where(F.col("run_id") == run_id).drop("run_id")
+    rows, folder = all_failing_rows(tests, marts), f"{log_root.rstrip('/')}/run_id={run_id}"
+    rows.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
