@@ -50,7 +50,7 @@ def run_once(spark, sf_dir: str) -> dict[str, float]:
 
     times: dict[str, float] = {}
     t0 = time.perf_counter()
-    src = stage_sources(spark, fixture_sources(spark, sf_dir))
+    src = stage_sources(spark, fixture_sources(spark, sf_dir), row_group_bytes=4 * 1024 * 1024)
     times["stage_sources"] = time.perf_counter() - t0
 
     folder = run_folder(spark, "marts")

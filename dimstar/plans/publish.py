@@ -54,25 +54,28 @@ def write_tables(spark: SparkSession, frames: Mapping[str, DataFrame], names: It
         if "source_system" in df.columns:
             writer = writer.partitionBy("source_system")
         writer.parquet(path)
-        out[name] = spark.read.parquet(path).select(*df.columns)
+        out[name] = spark.read.schema(df.schema).parquet(path).select(*df.columns)
     return out
 
 
 def stage_sources(spark: SparkSession, src: Sources, folder: str | None = None, parallel: int = 8,
-                  row_group_bytes: int = 4 * 1024 * 1024) -> Sources:
+                  row_group_bytes: int | None = None) -> Sources:
     """Land the sources as tables (one folder each) and return them read back.
 
     The writes are independent jobs; they are submitted together so the
-    scheduler can run them side by side on free executor slots.  Row groups
-    are kept small so even a small landed table is read by several scan
-    tasks (a reader splits a file only at row-group boundaries).
+    scheduler can run them side by side on free executor slots.
+    ``row_group_bytes`` asks the writer for row groups of another size (a
+    reader splits a file only at row-group boundaries, so small test tables
+    need small ones to be read by several tasks).
     """
     folder = folder or run_folder(spark, "sources")
 
     def write(item):
         name, df = item
-        df.write.mode("overwrite").option("parquet.block.size", row_group_bytes) \
-            .parquet(os.path.join(folder, name))
+        writer = df.write.mode("overwrite")
+        if row_group_bytes:
+            writer = writer.option("parquet.block.size", row_group_bytes)
+        writer.parquet(os.path.join(folder, name))
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         list(pool.map(write, src.items()))

@@ -8,6 +8,7 @@ broadcast threshold or checkpoint folder is never overridden.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,22 +50,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
-# Spark's untuned shuffle width; on a cluster it is raised so that the largest
-# shuffles (fact streams of tens of TB) get partitions of ~128-256 MB, and AQE
-# coalesces the many small shuffles back down.
-UNTUNED_SHUFFLE_PARTITIONS = "200"
-CLUSTER_SHUFFLE_PARTITIONS = "16384"
+# On a cluster that sets no shuffle width, the largest shuffles (fact streams
+# of tens of TB) get partitions of ~128-256 MB, and AQE coalesces the many
+# small shuffles back down.
+CLUSTER_SHUFFLE_PARTITIONS = 16384
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Prepare a cluster session: settings above where unset, a sized shuffle, a checkpoint folder."""
+def configure(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
+    """Prepare a cluster session: settings above where unset, a sized shuffle, a checkpoint folder.
+
+    ``shuffle_partitions`` sets the shuffle width; without it a width that
+    the cluster or the session has set, 200 included, is left alone.
+    """
     for key, value in DEFAULTS.items():
         if key.startswith("spark.ui."):
             continue  # static; only settable at launch
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
-    if spark.conf.get("spark.sql.shuffle.partitions") == UNTUNED_SHUFFLE_PARTITIONS:
-        spark.conf.set("spark.sql.shuffle.partitions", CLUSTER_SHUFFLE_PARTITIONS)
+    if shuffle_partitions or "spark.sql.shuffle.partitions" not in spark.conf.getAll:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions or CLUSTER_SHUFFLE_PARTITIONS))
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -81,13 +85,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's checkpoint folder; create a scratch one only when unset.
 
     The fallback is for local runs and tests; on a cluster
-    ``spark.checkpoint.dir`` names a shared, fault-tolerant folder.
+    ``spark.checkpoint.dir`` must name a shared, fault-tolerant folder.
     """
     existing = checkpoint_dir(spark)
     if existing:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(existing)
         return existing
+    master = spark.sparkContext.master
+    if not re.match(r"local($|\[)", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines share (master {master})")
     # spark.checkpoint.dir cannot be changed at runtime; the context's folder
     # is what checkpoint() and checkpoint_dir() use.
     folder = tempfile.mkdtemp(prefix="dimstar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
