@@ -22,7 +22,6 @@ import os
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 
 def _session(master: str | None) -> SparkSession:
@@ -55,13 +54,17 @@ def build(args) -> int:
     from dimstar.plans.publish import write_tables
     from dimstar.queries import marts
     from dimstar.sources import load_sources
+    from dimstar.sources.catalog import load_rejects
     from dimstar.sources.fixture import fixture_sources
 
     spark = _session(args.master)
     src = fixture_sources(spark, args.sources) if args.fixture else load_sources(spark, args.sources)
     published = write_tables(spark, marts(src, _params(args), materialize=args.materialize), folder=args.out)
-    Q.failure_log(spark, Q.ALL_TESTS, published, os.path.join(args.out, "dq_failure_log"))
-    summary = Q.summary(Q.ALL_TESTS, published).orderBy("test_name").collect()
+    if not args.fixture:
+        for r in load_rejects(spark, args.sources).collect():
+            print(f"UNREADABLE {r['source']}.{r['column']} values={r['rejected']}")
+    log = Q.failure_log(spark, Q.ALL_TESTS, published, os.path.join(args.out, "dq_failure_log"))
+    summary = Q.summary_of_log(Q.ALL_TESTS, log).orderBy("test_name").collect()
     failed = 0
     for r in summary:
         state = "PASS" if r["failures"] == 0 else ("WARN" if r["severity"] == "warn" else "FAIL")
@@ -71,7 +74,7 @@ def build(args) -> int:
 
 
 def query(args) -> int:
-    from dimstar.plans.metrics import METRICS, metric_query
+    from dimstar.plans.metrics import dimensions_of, metric_query
     from dimstar.plans.publish import table_path
     from dimstar.queries import star_dims
 
@@ -80,11 +83,13 @@ def query(args) -> int:
              "dim_unified_opportunity", "fct_blended_opportunities", "fct_blended_opportunity_activities")
     m = {n: spark.read.parquet(table_path(args.marts, n)) for n in names}
     metrics = [x for x in args.metrics.split(",") if x]
-    model = {METRICS[x].model for x in metrics}
-    fact = m["fct_blended_opportunities"] if model == {"blended_opportunities"} else \
-        m["fct_blended_opportunity_activities"]
-    out = metric_query(fact, metrics, [g for g in (args.group_by or "").split(",") if g], dims=star_dims(m),
-                       where=F.expr(args.where) if args.where else None,
+    facts = {"blended_opportunities": m["fct_blended_opportunities"],
+             "blended_opportunity_activities": m["fct_blended_opportunity_activities"]}
+    if args.list_dimensions:
+        print("\n".join(dimensions_of(metrics, star_dims(m))))
+        return 0
+    out = metric_query(facts, metrics, [g for g in (args.group_by or "").split(",") if g], dims=star_dims(m),
+                       where=args.where or None,
                        order_by=[o for o in (args.order_by or "").split(",") if o])
     if args.output:
         out.write.mode("overwrite").parquet(args.output)
@@ -113,7 +118,7 @@ def list_metrics(args) -> int:
 
     for m in METRICS.values():
         what = m.measure or (f"{m.numerator} / {m.denominator}" if m.kind == "ratio" else ", ".join(m.inputs))
-        print(f"{m.name:36s} {m.model:32s} {m.kind:10s} {what}")
+        print(f"{m.name:36s} {m.model:32s} {m.kind:10s} {what}\n    {m.label}: {m.description}")
     for model in MODELS.values():
         roles = ", ".join(f"{e.role}{'' if e.active else ' (inactive)'}" for e in model.edges)
         print(f"{model.name}: metric_time__<day|week|month|quarter|year> over {model.time_dimension}; roles: {roles}")
@@ -128,7 +133,7 @@ def main(argv=None) -> int:
     b.add_argument("--fixture", action="store_true", help="derive the sources from the test tables")
     b.add_argument("--out", required=True)
     b.add_argument("--as-of")
-    b.add_argument("--tenant")
+    b.add_argument("--tenant", help="word of the tenant's own mail domain; marks internal activities (not with --fixture: required)")
     b.add_argument("--materialize", action="store_true",
                    help="write F1's opportunity side once as a table instead of reading it in both join branches")
     q = sub.add_parser("query")
@@ -137,17 +142,20 @@ def main(argv=None) -> int:
     q.add_argument("--group-by")
     q.add_argument("--order-by")
     q.add_argument("--where")
-    q.add_argument("--output")
-    q.add_argument("--show", type=int, default=50)
+    q.add_argument("--list-dimensions", action="store_true", help="print the names these metrics can be grouped by")
+    q.add_argument("--output", help="write the whole result here as parquet")
+    q.add_argument("--show", type=int, default=50, help="rows to print without --output (default 50)")
     sub.add_parser("list")
     a = sub.add_parser("sql")
     a.add_argument("--marts", required=True)
     a.add_argument("query")
-    a.add_argument("--output")
-    a.add_argument("--show", type=int, default=50)
+    a.add_argument("--output", help="write the whole result here as parquet")
+    a.add_argument("--show", type=int, default=50, help="rows to print without --output (default 50)")
     for sp in (b, q, a):
         sp.add_argument("--master", help="e.g. local[8]; default: the cluster's")
     args = p.parse_args(argv)
+    if args.cmd == "build" and not (args.fixture or args.tenant):
+        p.error("build needs --tenant: without it, internal mail would count as customer activity")
     return {"build": build, "query": query, "sql": sql, "list": list_metrics}[args.cmd](args)
 
 

@@ -36,3 +36,11 @@ def test_list_metrics(capsys):
     printed = capsys.readouterr().out
     assert "pipeline_confidence_ratio" in printed and "ratio" in printed
     assert "partner_account (inactive)" in printed
+
+
+def test_build_needs_a_tenant(capsys):
+    import pytest
+
+    with pytest.raises(SystemExit):
+        cli.main(["build", "--sources", "nowhere", "--out", "nowhere"])
+    assert "--tenant" in capsys.readouterr().err
