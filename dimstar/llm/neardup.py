@@ -141,9 +141,7 @@ def profiles(docs: DataFrame, key: str = "doc_id", text: str = "text", params: P
 
 def _sets(docs: DataFrame, ids: DataFrame, key: str, text: str, params: Params) -> DataFrame:
     """node, grams: the sorted shingle hashes of the documents that stand for ``ids`` (node)."""
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    chosen = docs.select(F.col(f"`{key}`").alias("node"), F.col(f"`{text}`").alias("text")).join(ids, "node", "left_semi")
+    chosen = docs.select(F.col(f"`{key}`").alias("node"), F.col(f"`{text}`").alias("text")).join(_few(ids), "node", "left_semi")
 
     def make():
         def work(column: pa.Array) -> dict:
@@ -318,11 +316,22 @@ def label(docs: DataFrame, key: str = "doc_id", text: str = "text", params: Para
     )
 
 
+def _few(ids: DataFrame) -> DataFrame:
+    """``ids`` with a broadcast hint if they are few (counted), else as they are."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def keep(docs: DataFrame, key: str = "doc_id", text: str = "text", params: Params = Params()) -> DataFrame:
     """One document of each group of near-duplicates, with all its columns; repeated rows of it once."""
-    keyed = docs.where(F.col(f"`{key}`").isNotNull()).dropDuplicates([key])
-    gone = label(docs, key, text, params).where("not kept").select(F.col(key)).distinct()
-    return keyed.join(gone, key, "left_anti").select(docs.columns).unionByName(docs.where(F.col(f"`{key}`").isNull()))
+    rows = materialize(label(docs, key, text, params).select(key, "kept"), "labels")
+    gone = _few(rows.where("not kept").select(key).distinct())
+    left = docs.join(gone, key, "left_anti")
+    repeated = rows.where(F.col("kept") & F.col(f"`{key}`").isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key)
+    if not repeated.isEmpty():
+        repeated = _few(repeated)
+        once = left.join(repeated, key, "left_semi").dropDuplicates([key])
+        left = left.join(repeated, key, "left_anti").select(docs.columns).unionByName(once)
+    return left.select(docs.columns)
 
 
 def oracle_sql(params: Params = Params()) -> str:
