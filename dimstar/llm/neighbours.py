@@ -23,18 +23,19 @@ from pyspark.sql import functions as F
 from dimstar.llm.common import materialize, reachable
 
 EDGE = "u long, v long, s float"
+BROADCAST_BYTES = 32 << 20  # at most so many bytes of query vectors are broadcast
 
 
 @dataclass(frozen=True)
 class Params:
-    neighbours: int = 16  # of a node in the graph; as many reverse ones join in
-    orders: int = 4  # random orders of the start
+    neighbours: int = 20  # of a node in the graph; as many reverse ones join in
+    orders: int = 10  # random orders of the start
     bits: int = 20  # hyperplanes of an order
-    block: int = 256  # vectors compared with one another at the start
+    block: int = 2048  # vectors compared with one another at the start
     rounds: int = 2
-    offers: int = 5  # pairs that a node's join proposes to each of its neighbours
-    beam: int = 40  # candidates that a query keeps
-    steps: int = 5
+    offers: int = 6  # pairs that a node's join proposes to each of its neighbours
+    beam: int = 120  # candidates that a query keeps
+    steps: int = 6
     k: int = 5
     seed: int = 11
 
@@ -60,15 +61,20 @@ def _unit(batch: pa.Array) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _best(ids: np.ndarray, x: np.ndarray, k: int) -> pa.RecordBatch:
-    """Edges from each of some nodes to its ``k`` nearest among them."""
+def _best(ids: np.ndarray, x: np.ndarray, k: int, rows: int = 512) -> pa.RecordBatch:
+    """Edges from each of some nodes to its ``k`` nearest among them; ``rows`` nodes are compared at a time."""
     n = len(ids)
     k = min(k, n - 1)
-    s = x @ x.T
-    np.fill_diagonal(s, -2)
-    at = np.argpartition(-s, k - 1, axis=1)[:, :k] if k < n - 1 else np.argsort(-s, axis=1)[:, :k]
+    ats, values = [], []
+    for i in range(0, n, rows):
+        s = x[i : i + rows] @ x.T
+        own = np.arange(len(s))
+        s[own, own + i] = -2
+        at = np.argpartition(s, n - k, axis=1)[:, n - k :]
+        ats.append(at)
+        values.append(np.take_along_axis(s, at, 1))
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.repeat(ids, k)), pa.array(ids[at].ravel()), pa.array(np.take_along_axis(s, at, 1).astype(np.float32).ravel())],
+        [pa.array(np.repeat(ids, k)), pa.array(ids[np.concatenate(ats)].ravel()), pa.array(np.concatenate(values).astype(np.float32).ravel())],
         ["u", "v", "s"],
     )
 
@@ -76,6 +82,7 @@ def _best(ids: np.ndarray, x: np.ndarray, k: int) -> pa.RecordBatch:
 def _start(nodes: DataFrame, params: Params) -> DataFrame:
     """Edges inside blocks of each random order."""
     seed, block, k = params.seed, params.block, params.neighbours
+    parts = max(1, nodes.count() // (2 * block))
     out = None
     for order in range(params.orders):
 
@@ -88,21 +95,22 @@ def _start(nodes: DataFrame, params: Params) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(code.astype(np.int64))], ["u", "vec", "code"])
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, xs, n = [], [], 0
+            ids, xs = np.zeros(0, np.int64), np.zeros((0, 0), np.float32)
             for batch in batches:
                 for i in range(0, batch.num_rows, block):
                     part = batch.slice(i, block)
-                    ids.append(part.column(0).to_numpy())
-                    xs.append(_unit(part.column(1)))
-                    n += part.num_rows
-                    if n >= 2 * block:
-                        yield _best(np.concatenate(ids), np.concatenate(xs), k)
-                        ids, xs, n = [], [], 0
-            if n > 1:
-                yield _best(np.concatenate(ids), np.concatenate(xs), k)
+                    x = _unit(part.column(1)).astype(np.float32)
+                    ids, xs = np.concatenate([ids, part.column(0).to_numpy()]), np.concatenate([xs, x]) if len(xs) else x
+                    if len(ids) >= 2 * block:
+                        yield _best(ids[:block], xs[:block], k)
+                        ids, xs = ids[block:], xs[block:]
+            # The rest, less than two blocks, in equal parts.
+            for own in np.array_split(np.arange(len(ids)), max(1, -(-len(ids) // block))):
+                if len(own) > 1:
+                    yield _best(ids[own], xs[own], k)
 
         coded = nodes.mapInArrow(sides, "u long, vec array<double>, code long")
-        ordered = coded.repartitionByRange("code", "u").sortWithinPartitions("code", "u").select("u", "vec")
+        ordered = coded.repartitionByRange(parts, "code", "u").sortWithinPartitions("code", "u").select("u", "vec")
         found = ordered.mapInArrow(compare, EDGE)
         out = found if out is None else out.unionByName(found)
     return out
@@ -184,9 +192,12 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, params: Param
         _both_ways(edges, params.neighbours).groupBy("node").agg(F.collect_list("other").alias("others")), "adjacent"
     )
 
+    size = queries.agg(F.count("*") * F.coalesce(F.max(F.size("qvec")), F.lit(0)) * 8).first()[0]
+    asked = F.broadcast(queries) if size <= BROADCAST_BYTES else queries
+
     def score(pairs: DataFrame) -> DataFrame:
         """(q, node) with the cosine, by numpy over Arrow batches."""
-        rows = pairs.join(nodes.withColumnRenamed("u", "node"), "node").join(queries, "q").select("q", "node", "vec", "qvec")
+        rows = pairs.join(nodes.withColumnRenamed("u", "node"), "node").join(asked, "q").select("q", "node", "vec", "qvec")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
