@@ -1,18 +1,26 @@
 """Queries of the llm subpackage that SQL can express, against DuckDB."""
 
+import os
+import sys
+
 import duckdb
 import pytest
-from compare import TABLES, digest
 
-from dimstar.llm.queries import ORACLE, REGISTRY
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "..", "..", "tools"))
+
+from compare import TABLES, digest  # noqa: E402
+
+from dimstar.llm.queries import ORACLE, REGISTRY  # noqa: E402
+
+SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
-def test_query_matches_sql(spark, small, name):
+def test_query_matches_sql(spark, name):
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{small}/{t}.parquet')")
-    df, rel = REGISTRY[name](spark, small), con.sql(ORACLE[name])
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
+    df, rel = REGISTRY[name](spark, SMALL), con.sql(ORACLE[name])
     assert sorted(df.columns) == sorted(rel.columns)
     assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == digest(rel.columns, rel.fetchall())[0]
 
