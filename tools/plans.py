@@ -16,8 +16,8 @@ KEEP = re.compile(r"(Exchange|Join|Aggregate|WindowGroupLimit|Window |Union|Scan
                   r"CartesianProduct|NestedLoop|EvalPython|TakeOrdered)")
 
 JOBS = {
-    "F1 EDH lines (opportunity side, line fan-out, per-branch quote)": ("opportunity_lines", "edh_opportunity_lines"),
-    "F1 ACS lines (screening, anti join to EDH, FX, line fan-out)": ("opportunity_lines", "acs_opportunity_lines"),
+    "F1 EDH lines (opportunity side with the quote, line fan-out, offering)": ("opportunity_lines", "edh_opportunity_lines"),
+    "F1 ACS lines (screening, anti join to EDH, line fan-out, FX)": ("opportunity_lines", "acs_opportunity_lines"),
     "F2 activities (two task shuffles per branch)": ("activities", "fct_blended_opportunity_activities"),
     "D2 accounts (conform-union)": ("dims", "dim_unified_account"),
     "W1 latest quote (top-1 before and after the shuffle)": ("opportunity_lines", "latest_quote"),
