@@ -64,7 +64,7 @@ def main() -> None:
         df = f(src) if fn in ("latest_quote", "dim_unified_account") else f(src, p)
         parts.append(f"## {title}\n\n```\n{condensed(df._jdf.queryExecution().executedPlan().toString())}\n```\n")
     m = marts(src, TEST_PARAMS)
-    q = metric_query(m["fct_blended_opportunities"], ["total_pipeline_acv_usd", "opportunity_count"],
+    q = metric_query(m["fct_blended_opportunities"], ["total_pipeline_acv_usd"],
                      ["account__account_segment"], dims=star_dims(m))
     plan = condensed(q._jdf.queryExecution().executedPlan().toString())
     parts.append("## Metric by a dimension attribute (fact reduced to FK grain before the join)\n\n"
