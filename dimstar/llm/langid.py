@@ -5,8 +5,8 @@ its lower-cased words, hashed into a fixed number of buckets.  Embeddings
 and softmax are trained by stochastic gradient descent in numpy, on a
 bounded sample of labelled documents whose subword counts Spark makes.  A
 temperature fitted on sample documents that took no part in the training
-calibrates the probabilities; documents below the rejection threshold,
-itself a quantile of the calibrated scores, are rejected.
+calibrates the probabilities; documents whose best score is near chance and
+below a low quantile of the calibrated scores are rejected.
 
 The softmax of an average is linear in the subwords, so a word has a fixed
 vector of logits: scoring looks words up in a memo of bounded size.
@@ -39,7 +39,8 @@ class Params:
     batch: int = 32
     pieces: int = 4  # short passages of each training document that train too
     piece_words: int = 8
-    reject: float = 0.0005  # share of calibration documents that would be rejected
+    reject: float = 0.0005  # share of calibration documents that may be rejected,
+    margin: float = 1.2  # but only where the best score is within this factor of chance
     seed: int = 7
 
 
@@ -198,7 +199,8 @@ def _calibrate(model: LanguageModel, held: list[tuple[np.ndarray, np.ndarray, in
     grid = np.geomspace(0.25, 20, 40)
     loss = [-np.log(np.maximum(_softmax(z / t)[np.arange(len(y)), y], 1e-12)).mean() for t in grid]
     model.temperature = float(grid[int(np.argmin(loss))])
-    model.threshold = float(min(0.5, np.quantile(_softmax(z / model.temperature).max(axis=1), params.reject)))
+    scores = _softmax(z / model.temperature).max(axis=1)
+    model.threshold = float(min(params.margin / len(model.languages), np.quantile(scores, params.reject)))
     return model
 
 
