@@ -4,15 +4,16 @@ Equal vectors are one node of the graph.  The graph starts from exact
 neighbours inside blocks of vectors that lie on the same sides of random
 hyperplanes.  Each round of NN-descent then joins every node's neighbours
 and reverse neighbours with one another (neighbours of neighbours are
-likely neighbours) and keeps each node's nearest.  A query walks the graph:
-its best candidates are expanded by their neighbours, scored, and the best
-kept, until nothing new turns up.  Rounds and steps are Spark joins whose
+likely neighbours) and keeps each node's nearest, until a round changes
+hardly an edge.  A query walks the graph: its best candidates are expanded
+by their neighbours, scored, and the best kept, until nothing new turns up.  Rounds and steps are Spark joins whose
 results are written to the shared folder; numpy scores inside tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,10 +33,10 @@ class Params:
     orders: int = 10  # random orders of the start
     bits: int = 20  # hyperplanes of an order
     block: int = 2048  # vectors compared with one another at the start
-    rounds: int = 2
+    changed: float = 0.001  # rounds go on until a smaller share of the edges is new
+    rounds: int | None = None  # None: as many as that takes
     offers: int = 6  # pairs that a node's join proposes to each of its neighbours
     beam: int = 120  # candidates that a query keeps
-    steps: int = 6
     k: int = 5
     seed: int = 11
 
@@ -172,8 +173,18 @@ def build(nodes: DataFrame, params: Params = Params()) -> DataFrame:
     """The neighbour graph of ``nodes`` (u, vec): edges u, v, s."""
     reachable(nodes.sparkSession)
     edges = materialize(_nearest(_start(nodes, params), params.neighbours), "graph")
-    for _ in range(params.rounds):
-        edges = materialize(_nearest(edges.unionByName(_join_round(edges, nodes, params)), params.neighbours), "graph")
+    for done in count():
+        if done == params.rounds:
+            break
+        made = _join_round(edges, nodes, params).withColumn("fresh", F.lit(True))
+        both = edges.withColumn("fresh", F.lit(False)).unionByName(made)
+        # An edge that was there is not fresh, even where the join proposes it again.
+        once = both.groupBy("u", "v").agg(F.max("s").alias("s"), F.min("fresh").alias("fresh"))
+        grown = materialize(_top(once, "u", params.neighbours), "graph")
+        edges = grown.drop("fresh")
+        fresh, total = grown.agg(F.count_if("fresh"), F.count("*")).first()
+        if fresh <= params.changed * total:
+            break
     return edges
 
 
@@ -209,7 +220,8 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, params: Param
 
     # seen: the step in which a candidate was found; those of the last step are expanded next.
     pool = queries.select("q", F.col("q").alias("node"), F.lit(1.0).alias("s"), F.lit(0).alias("step"))
-    for step in range(1, params.steps + 1):
+    # The beam only gets better, so the walk ends.
+    for step in count(1):
         found = (
             pool.where(F.col("step") == step - 1)
             .join(adjacent, "node")

@@ -47,6 +47,14 @@ def test_recall_against_brute_force(spark):
     assert recall(rows, nearest(frame(spark, rows), EVERY).collect()) >= 0.9
 
 
+def test_recall_where_the_start_knows_little(spark):
+    """Small start blocks: the graph must come from the rounds, the answers from the walk."""
+    rng = np.random.default_rng(5)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(6000, 10)))]
+    params = Params(neighbours=8, orders=3, block=32, bits=4, offers=3, beam=24)
+    assert recall(rows, nearest(frame(spark, rows), EVERY, params=params).collect()) >= 0.8
+
+
 def test_small_sets_are_exact_with_ties_and_copies(spark):
     rows = [(i, [1, 2, 3]) for i in range(0, 120)] + [(200, [3, 2, 1]), (250, [-1, 0, 0]), (251, [1, 1, 1]), (252, [2, 2, 2])]
     odd = [(300, None), (350, [0, 0, 0]), (400, [1, None, 1]), (450, [float("nan"), 1, 1]), (500, [float("inf"), 1, 1]), (550, []), (600, [1, 2])]
