@@ -8,6 +8,11 @@ temperature fitted on sample documents that took no part in the training
 calibrates the probabilities; documents whose best score is near chance and
 below a low quantile of the calibrated scores are rejected.
 
+A softmax knows only its own languages, so foreign text is told by another
+mark: the share of a text's subwords that no training document has.  Its
+limit lies between the shares of held documents of the known languages and
+those that each language has against the other languages alone.
+
 The softmax of an average is linear in the subwords, so a word has a fixed
 vector of logits: scoring looks words up in a memo of bounded size.
 """
@@ -44,10 +49,17 @@ class Params:
     seed: int = 7
 
 
-def subwords(word: bytes, buckets: int) -> list[int]:
-    """Buckets of the 2- to 4-byte n-grams of a word between its edges."""
+def subwords(word: bytes) -> list[int]:
+    """Hashes of the 2- to 4-byte n-grams of a word between its edges."""
     w = b"<" + word + b">"
-    return [crc32(w[i : i + n]) % buckets for n in (2, 3, 4) for i in range(len(w) - n + 1)]
+    return [crc32(w[i : i + n]) for n in (2, 3, 4) for i in range(len(w) - n + 1)]
+
+
+def _unseen(hashes: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Whether each hash is missing among the sorted ``seen``."""
+    if not len(seen):
+        return np.ones(len(hashes), bool)
+    return seen[np.minimum(np.searchsorted(seen, hashes), len(seen) - 1)] != hashes
 
 
 @dataclass
@@ -57,6 +69,8 @@ class LanguageModel:
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
+    seen: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64), repr=False)  # subwords of the training documents
+    limit: float = 1.0  # largest accepted share of other subwords
     memo: dict = field(default_factory=dict, repr=False)
     rows: list = field(default_factory=list, repr=False)
 
@@ -64,47 +78,54 @@ class LanguageModel:
         return self.__dict__ | {"memo": {}, "rows": []}
 
     def _sums(self, words: list[bytes]) -> np.ndarray:
-        """Per word: the sum of its subwords' logits, and their number."""
+        """Per word: the sum of its subwords' logits, their number, and how many of them are unseen."""
         memo, rows, buckets = self.memo, self.rows, len(self.logits)
         if len(memo) > MEMO:
             memo.clear()
             rows.clear()
         new = [w for w in dict.fromkeys(words) if w not in memo]
         if new:
-            subs = [subwords(w, buckets) for w in new]
+            subs = [subwords(w) for w in new]
             sizes = np.array([len(x) for x in subs])
             flat = np.fromiter((b for x in subs for b in x), np.int64, sizes.sum())
             memo.update(zip(new, range(len(memo), len(memo) + len(new))))
-            rows.append(np.c_[segment_sums(self.logits[flat], sizes), sizes])
+            unseen = segment_sums(_unseen(flat, self.seen).astype(float), sizes)
+            rows.append(np.c_[segment_sums(self.logits[flat % buckets], sizes), sizes, unseen])
             if len(rows) > 1:
                 rows[:] = [np.concatenate(rows)]
         at = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
         return rows[0][at]
 
-    def scores(self, block: list[list[bytes]]) -> np.ndarray:
-        """Calibrated probabilities, a row for each word list."""
+    def scores(self, block: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """Calibrated probabilities, a row for each word list; and the share of unseen subwords."""
         sizes = np.array([len(x) for x in block])
         words = [w for x in block for w in x]
         if not words:
-            sums = np.zeros((len(block), len(self.languages) + 1))
+            sums = np.zeros((len(block), len(self.languages) + 2))
         else:
             sums = segment_sums(self._sums(words), sizes)
-        z = (sums[:, :-1] / np.maximum(sums[:, -1:], 1) + self.bias) / self.temperature
-        return _softmax(z)
+        sums, number, unseen = sums[:, :-2], np.maximum(sums[:, -2:-1], 1), sums[:, -1:]
+        return _softmax((sums / number + self.bias) / self.temperature), (unseen / number)[:, 0]
 
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
         """Language and score of each text; no letter: ``und`` with score 0."""
-        best, score = [UNKNOWN] * len(column), np.zeros(len(column))
+        return self.judge(column)[:2]
+
+    def judge(self, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language and score of each text, and whether it is accepted."""
+        best, score, foreign = [UNKNOWN] * len(column), np.zeros(len(column)), np.zeros(len(column), bool)
         letters = np.array([t is not None and any(map(str.isalpha, t)) for t in column.to_pylist()], bool)
         if not self.languages:
-            return best, score
+            return best, score, foreign
         for first, block in word_blocks(column):
-            p = self.scores(block)
+            p, unseen = self.scores(block)
+            foreign[first : first + len(block)] = unseen > self.limit
             top = p.argmax(axis=1)
             for i, k in enumerate(top):
                 if letters[first + i]:
                     best[first + i], score[first + i] = self.languages[k], p[i, k]
-        return best, score
+        known = np.array([g != UNKNOWN for g in best], bool)
+        return best, score, known & (score >= self.threshold) & ~foreign
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -128,9 +149,8 @@ def _examples(docs: DataFrame, params: Params, text: str, lang: str) -> DataFram
                 for words in block:
                     made = []
                     for passage in passages(words):
-                        found = np.array([b for w in passage for b in subwords(w, params.buckets)], np.int64)
-                        bucket, n = np.unique(found, return_counts=True)
-                        made.append(np.c_[bucket, n].astype("<i4").tobytes())
+                        found = np.array([h for w in passage for h in subwords(w)], np.int64)
+                        made.append(np.stack(np.unique(found, return_counts=True), axis=1).astype("<i8").tobytes())
                     out.append(made)
             return {"examples": pa.array(out, pa.list_(pa.binary()))}
 
@@ -162,9 +182,13 @@ def train(rows: list[tuple[str, str, list[bytes]]], params: Params = Params()) -
     part = rng.permutation(len(rows))
     held = set(part[: len(rows) // 6].tolist())
 
+    def counted(x: bytes) -> np.ndarray:
+        return np.frombuffer(x, "<i8").reshape(-1, 2)
+
     def example(x: bytes) -> tuple[np.ndarray, np.ndarray]:
-        m = np.frombuffer(x, "<i4").reshape(-1, 2)
-        return m[:, 0].astype(np.int64), m[:, 1] / max(1, m[:, 1].sum())
+        m = counted(x)
+        bucket, at = np.unique(m[:, 0] % params.buckets, return_inverse=True)
+        return bucket, np.bincount(at, m[:, 1], len(bucket)) / max(1, m[:, 1].sum())
 
     data = [(example(x), languages.index(lang)) for i, (_, lang, xs) in enumerate(rows) if i not in held for x in xs if x]
     embed = rng.normal(0, 0.1, (params.buckets, params.size))
@@ -187,9 +211,36 @@ def train(rows: list[tuple[str, str, list[bytes]]], params: Params = Params()) -
             np.add.at(embed, at, -10 * rate * back / len(chosen) * params.size)
             done += 1
     model = LanguageModel(languages, embed @ weights, bias)
+    learnt = {
+        lang: np.unique(np.concatenate([np.zeros(0, np.int64), *(counted(xs[0])[:, 0] for i, (_, g, xs) in enumerate(rows) if i not in held and g == lang)]))
+        for lang in languages
+    }
+    _set_limit(model, learnt, [(lang, [counted(x) for x in xs if x]) for i, (_, lang, xs) in enumerate(rows) if i in held])
     return _calibrate(model, [(*example(xs[0]), languages.index(lang)) for i, (_, lang, xs) in enumerate(rows) if i in held and xs[0]], params)
 
 
+def _set_limit(model: LanguageModel, learnt: dict[str, np.ndarray], held: list[tuple[str, list[np.ndarray]]]) -> None:
+    """The subwords of the training documents, and the limit of the share of others.
+
+    The limit is never below the share of a held document or passage.  It
+    goes half way up to the low shares of foreign text, for which each
+    language stands in with the other languages' subwords alone.
+    """
+    def union(parts: list[np.ndarray]) -> np.ndarray:
+        return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+
+    def share(m: np.ndarray, seen: np.ndarray) -> float:
+        return float(m[_unseen(m[:, 0], seen), 1].sum() / m[:, 1].sum())
+
+    model.seen = union(list(learnt.values()))
+    if len(held) < 10:
+        return
+    own = max((share(m, model.seen) for _, xs in held for m in xs), default=1.0)
+    others = {g: union([x for h, x in learnt.items() if h != g]) for g in learnt}
+    foreign = [share(xs[0], others[g]) for g, xs in held if xs] if len(learnt) > 1 else [1.0]
+    model.limit = max(own, (own + float(np.quantile(foreign, 0.05))) / 2) if foreign else 1.0
+
+
 def _calibrate(model: LanguageModel, held: list[tuple[np.ndarray, np.ndarray, int]], params: Params) -> LanguageModel:
     """The temperature of least log loss on held documents, and the rejection threshold."""
     if len(held) < 10 or len(model.languages) < 2:
@@ -208,13 +259,13 @@ def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: st
     """One row per row: key, lang_pred, score, accepted.
 
     NULL texts and texts without a letter: ``und``, score 0, not accepted.
+    Foreign texts get the best of the known languages, but aren't accepted.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size: buckets x languages
 
     def make():
         def work(column: pa.Array) -> dict:
-            langs, score = shared.value.predict(column)
-            accepted = [s >= shared.value.threshold and g != UNKNOWN for g, s in zip(langs, score)]
+            langs, score, accepted = shared.value.judge(column)
             return {"lang_pred": pa.array(langs, pa.string()), "score": score, "accepted": pa.array(accepted)}
 
         return work
@@ -228,8 +279,7 @@ def keep(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame
 
     def make():
         def work(column: pa.Array) -> pa.Array:
-            langs, score = shared.value.predict(column)
-            return pa.array([s >= shared.value.threshold and g != UNKNOWN for g, s in zip(langs, score)])
+            return pa.array(shared.value.judge(column)[2])
 
         return work
 

@@ -52,6 +52,16 @@ def test_rejected_documents_go(docs, model):
     assert not ids & {1000, 1001, 1002} and len(ids & set(range(600))) > 590
 
 
+def test_foreign_text_and_noise_are_rejected(spark, docs, model):
+    rnd = random.Random(8)
+    noise = " ".join("".join(rnd.choice("bcdfghjklmnpqrstvwxz") for _ in range(rnd.randint(3, 9))) for _ in range(40))
+    rows = [(1, "это совсем другой язык и другое письмо " * 5), (2, "これは別の言語です"), (3, noise), (4, "Привет"),
+            (5, text(rnd, "aa", 40)), (6, text(rnd, "bb", 3)), (7, text(rnd, "aa", 60) + " это")]
+    planted = spark.createDataFrame([(*r, None, None) for r in rows], docs.schema)
+    assert {r["doc_id"]: r["accepted"] for r in predict(planted, model).collect()} == {1: False, 2: False, 3: False, 4: False, 5: True, 6: True, 7: True}
+    assert {r["doc_id"] for r in keep(planted, model).collect()} == {5, 6, 7}
+
+
 def test_prediction_does_not_depend_on_neighbours(docs, model):
     a = {(r["doc_id"], r["score"]) for r in predict(docs, model).collect()}
     b = {(r["doc_id"], r["score"]) for r in predict(docs.repartition(5), model).collect()}
