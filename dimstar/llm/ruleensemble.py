@@ -126,7 +126,9 @@ def train(values: np.ndarray, labels: np.ndarray, names: list[str], params: Para
     """Boosted trees, their paths as rules, and lasso logistic weights.
 
     Without rows the score is 0.5; with one class it is that class's share,
-    smoothed by one row of either.
+    smoothed by one row of either.  Where no tree can split (equal
+    statistics, or fewer than ``2 * least`` rows) there are no rules, and
+    every score is the smoothed share of the rows with label 1.
     """
     prior = (labels.sum() + 1) / (len(labels) + 2)
     start = float(np.log(prior / (1 - prior)))
@@ -141,6 +143,8 @@ def train(values: np.ndarray, labels: np.ndarray, names: list[str], params: Para
         z += params.rate * step
         rules.update((_tidy(r), None) for r in found)
     names_of = list(rules)
+    if not names_of:  # no statistic splits the rows, or they are too few for a split
+        return Ensemble(start, ())
     held = np.stack([_holds(r, values, names) for r in names_of], axis=1).astype(float)
     weights, bias = _lasso(held, labels, start, params)
     return Ensemble(float(bias), tuple((r, float(w)) for r, w in zip(names_of, weights) if w != 0))
@@ -189,7 +193,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
 
 def score(docs: DataFrame, model: Ensemble, key: str = "doc_id", text: str = "text", threshold: float = 0.3) -> DataFrame:
-    """One row per row: key, score, predicted.  NULL and empty texts score like texts without words."""
+    """One row per row: key, score, predicted.
+
+    NULL and empty texts score like texts without words; repeated rows are
+    scored each, very long texts whole; an empty table gives an empty result.
+    """
     stats = statistics(F.col(f"`{text}`"))
     made = docs.select(F.col(f"`{key}`").alias(key), F.struct(*(c.alias(n) for n, c in stats.items())).alias("s"))
     by_name = {n: F.col(f"s.{n}") for n in stats}

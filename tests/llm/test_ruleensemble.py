@@ -68,3 +68,12 @@ def test_degenerate_labels(tables):
     assert fit(docs, labels.where("quality = 1")).rules == ()
     same = train(np.ones((50, 2)), np.r_[np.ones(25), np.zeros(25)], ["a", "b"], Params(steps=50))
     assert same.rules == () and abs(same.bias) < 1e-9
+
+
+@pytest.mark.parametrize("n", [2, 10, 19])
+def test_too_few_labels_to_split(n):
+    values = np.random.default_rng(n).normal(size=(n, 3))
+    labels = np.arange(n) % 2
+    got = train(values, labels.astype(float), ["a", "b", "c"])
+    assert got.rules == ()
+    assert np.allclose(got.scores(values, ["a", "b", "c"]), (labels.sum() + 1) / (n + 2))
