@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimstar.llm import bpe, htmltext, langid, neardup, neighbours, packing, repetition, ruleensemble, toxicity, urlfilter
+from dimstar.llm import (
+    bpe,
+    htmltext,
+    langid,
+    neardup,
+    neighbours,
+    packing,
+    pii,
+    repetition,
+    ruleensemble,
+    toxicity,
+    urlfilter,
+    whitening,
+)
 from dimstar.llm.common import crc_mod, read
 
 
@@ -69,6 +82,15 @@ def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pii.detect(docs, pii.fit(docs))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_length_buckets": op2_length_buckets,
@@ -80,6 +102,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repetition_rules": op8_repetition_rules,
     "op9_quality_rules": op9_quality_rules,
     "op10_nn_descent": op10_nn_descent,
+    "op12_whitening": op12_whitening,
+    "op13_personal_data": op13_personal_data,
 }
 
 ORACLE: dict[str, str] = {
