@@ -11,6 +11,7 @@ from dimstar.llm import (
     bpe,
     htmltext,
     langid,
+    maxsketch,
     neardup,
     neighbours,
     packing,
@@ -82,6 +83,10 @@ def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_max_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxsketch.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read(spark, sf_dir, "embeddings"))
 
@@ -102,6 +107,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repetition_rules": op8_repetition_rules,
     "op9_quality_rules": op9_quality_rules,
     "op10_nn_descent": op10_nn_descent,
+    "op11_max_sketches": op11_max_sketches,
     "op12_whitening": op12_whitening,
     "op13_personal_data": op13_personal_data,
 }
@@ -110,4 +116,5 @@ ORACLE: dict[str, str] = {
     "op4_near_duplicates": neardup.oracle_sql(),
     "op6_url_rules": urlfilter.oracle_sql(),
     "op8_repetition_rules": repetition.oracle_sql(),
+    "op11_max_sketches": maxsketch.oracle_sql(),
 }

@@ -24,7 +24,7 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimstar.llm.common import materialize, reachable
+from dimstar.llm.common import index_rows, materialize, reachable
 
 # The scale and the shift that make integers of entries.
 SCALE, SHIFT = 64, 1_000_000
@@ -90,26 +90,6 @@ def _deviation(x: np.ndarray, n: int, sums: list[int]) -> tuple[np.ndarray, list
     return np.array([[int(c) / n for c in row] for row in big]), made
 
 
-def index_rows(rows: DataFrame) -> DataFrame:
-    """``rows`` with a column ``i``: 0, 1, 2, ... without gaps.
-
-    The place inside its task is written with each row, so every later read
-    and every repeated task finds the same; only the number of rows of each
-    task comes to the driver.
-    """
-    low = F.lit((1 << 33) - 1)
-    placed = rows.withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id().bitwiseAND(low))
-    placed = materialize(placed, "indexed")
-    counts = sorted(placed.groupBy("part").count().collect())
-    starts, total = {}, 0
-    for part, count in counts:
-        starts[part], total = total, total + count
-    if not starts:
-        return placed.select("*", F.lit(0).cast("long").alias("i")).drop("part", "place")
-    first = F.lit([starts.get(p, 0) for p in range(max(starts) + 1)]).cast("array<long>")
-    return placed.withColumn("i", F.element_at(first, F.col("part") + 1) + F.col("place")).drop("part", "place")
-
-
 def _times(a: BlockMatrix, b: BlockMatrix, splits: int) -> BlockMatrix:
     """The product; the inner dimension is cut into ``splits``, which are multiplied apart and then added."""
     product = a._java_matrix_wrapper._java_model.multiply(b._java_matrix_wrapper._java_model, splits)
