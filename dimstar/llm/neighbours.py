@@ -2,12 +2,16 @@
 
 Equal vectors are one node of the graph.  The graph starts from exact
 neighbours inside blocks of vectors that lie on the same sides of random
-hyperplanes.  Each round of NN-descent then joins every node's neighbours
+hyperplanes.  Each round of NN-descent then joins a node's neighbours
 and reverse neighbours with one another (neighbours of neighbours are
 likely neighbours) and keeps each node's nearest, until a round changes
-hardly an edge.  A query walks the graph: its best candidates are expanded
-by their neighbours, scored, and the best kept, until nothing new turns up.  Rounds and steps are Spark joins whose
-results are written to the shared folder; numpy scores inside tasks.
+hardly an edge.  Edges are new until a round has joined them: only pairs with
+a new edge are compared, and nodes without a new edge around them take no
+part, so later rounds cost what has changed.  A query walks the graph: its
+best candidates are expanded by their neighbours, scored, and the best kept,
+until nothing new turns up.  Rounds and steps are Spark joins whose results
+are written to the shared folder; numpy scores inside tasks, on unit vectors
+of floats; the answers' scores are doubles of the original vectors.
 """
 
 from __future__ import annotations
@@ -62,8 +66,28 @@ def _unit(batch: pa.Array) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _best(ids: np.ndarray, x: np.ndarray, k: int, rows: int = 512) -> pa.RecordBatch:
-    """Edges from each of some nodes to its ``k`` nearest among them; ``rows`` nodes are compared at a time."""
+def unit_rows(vectors: DataFrame, key: str) -> DataFrame:
+    """``key`` and vec as a unit vector of floats."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                x = _unit(b.column(1)).astype(np.float32)
+                listed = pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), pa.array(x.ravel()))
+                yield pa.RecordBatch.from_arrays([b.column(0), listed], [key, "vec"])
+
+    return vectors.select(key, "vec").mapInArrow(run, f"{key} long, vec array<float>")
+
+
+def _floats(batch: pa.Array) -> np.ndarray:
+    return batch.flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+
+
+def _best(ids: np.ndarray, x: np.ndarray, k: int, rows: int = 512, new: np.ndarray | None = None) -> pa.RecordBatch:
+    """Edges from each of some nodes to its ``k`` nearest among them; ``rows`` nodes are compared at a time.
+
+    With ``new``: only pairs of which at least one is new.
+    """
     n = len(ids)
     k = min(k, n - 1)
     ats, values = [], []
@@ -71,13 +95,15 @@ def _best(ids: np.ndarray, x: np.ndarray, k: int, rows: int = 512) -> pa.RecordB
         s = x[i : i + rows] @ x.T
         own = np.arange(len(s))
         s[own, own + i] = -2
+        if new is not None:
+            s[np.ix_(~new[i : i + rows], ~new)] = -2
         at = np.argpartition(s, n - k, axis=1)[:, n - k :]
         ats.append(at)
         values.append(np.take_along_axis(s, at, 1))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.repeat(ids, k)), pa.array(ids[np.concatenate(ats)].ravel()), pa.array(np.concatenate(values).astype(np.float32).ravel())],
-        ["u", "v", "s"],
-    )
+    u, v, s = np.repeat(ids, k), ids[np.concatenate(ats)].ravel(), np.concatenate(values).astype(np.float32).ravel()
+    if new is not None:
+        u, v, s = u[s > -2], v[s > -2], s[s > -2]
+    return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(s)], ["u", "v", "s"])
 
 
 def _start(nodes: DataFrame, params: Params) -> DataFrame:
@@ -90,7 +116,7 @@ def _start(nodes: DataFrame, params: Params) -> DataFrame:
         def sides(batches: Iterator[pa.RecordBatch], order=order) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if batch.num_rows:
-                    x = _unit(batch.column(1))
+                    x = _floats(batch.column(1))
                     planes = np.random.default_rng([seed, order]).normal(size=(x.shape[1], params.bits))
                     code = ((x @ planes) > 0) @ (1 << np.arange(params.bits))
                     yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(code.astype(np.int64))], ["u", "vec", "code"])
@@ -100,7 +126,7 @@ def _start(nodes: DataFrame, params: Params) -> DataFrame:
             for batch in batches:
                 for i in range(0, batch.num_rows, block):
                     part = batch.slice(i, block)
-                    x = _unit(part.column(1)).astype(np.float32)
+                    x = _floats(part.column(1))
                     ids, xs = np.concatenate([ids, part.column(0).to_numpy()]), np.concatenate([xs, x]) if len(xs) else x
                     if len(ids) >= 2 * block:
                         yield _best(ids[:block], xs[:block], k)
@@ -110,7 +136,7 @@ def _start(nodes: DataFrame, params: Params) -> DataFrame:
                 if len(own) > 1:
                     yield _best(ids[own], xs[own], k)
 
-        coded = nodes.mapInArrow(sides, "u long, vec array<double>, code long")
+        coded = nodes.mapInArrow(sides, "u long, vec array<float>, code long")
         ordered = coded.repartitionByRange(parts, "code", "u").sortWithinPartitions("code", "u").select("u", "vec")
         found = ordered.mapInArrow(compare, EDGE)
         out = found if out is None else out.unionByName(found)
@@ -129,9 +155,10 @@ def _nearest(edges: DataFrame, k: int) -> DataFrame:
 
 
 def _both_ways(edges: DataFrame, k: int) -> DataFrame:
-    """(node, other): each node's neighbours, and its ``k`` nearest reverse neighbours."""
-    back = _top(edges, "v", k).select(F.col("v").alias("node"), F.col("u").alias("other"))
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("other")).union(back).distinct()
+    """(node, other, new): each node's neighbours, and its ``k`` nearest reverse neighbours."""
+    back = _top(edges, "v", k).select(F.col("v").alias("node"), F.col("u").alias("other"), "new")
+    both = edges.select(F.col("u").alias("node"), F.col("v").alias("other"), "new").union(back)
+    return both.groupBy("node", "other").agg(F.max("new").alias("new"))
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -152,16 +179,18 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.nd
 
 
 def _join_round(edges: DataFrame, nodes: DataFrame, params: Params) -> DataFrame:
-    """Edges that the neighbours of each node propose to one another."""
-    around = _both_ways(edges, params.neighbours)
-    rows = around.join(nodes.withColumnRenamed("u", "other"), "other").select("node", "other", "vec")
+    """Edges that the neighbours of each node propose to one another, of pairs with a new edge."""
+    around = _both_ways(edges, params.neighbours).groupBy("node").agg(F.collect_list(F.struct("other", "new")).alias("near"))
+    changed = around.where(F.exists("near", lambda e: e["new"])).select("node", F.explode("near").alias("e")).select("node", "e.*")
+    rows = changed.join(nodes.withColumnRenamed("u", "other"), "other").select("node", "other", "new", "vec")
     offers = params.offers
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, first in _groups(batches):
             table = table.combine_chunks()
-            ids, x = table.column(1).to_numpy(), _unit(table.column(2).chunk(0))
-            made = [_best(ids[a:b], x[a:b], offers) for a, b in zip(first, [*first[1:], len(ids)]) if b - a > 1]
+            ids, new = table.column(1).to_numpy(), table.column(2).to_numpy()
+            x = _floats(table.column(3).chunk(0))
+            made = [_best(ids[a:b], x[a:b], offers, new=new[a:b]) for a, b in zip(first, [*first[1:], len(ids)]) if b - a > 1]
             if made:
                 yield pa.Table.from_batches(made).combine_chunks().to_batches()[0]
 
@@ -170,19 +199,18 @@ def _join_round(edges: DataFrame, nodes: DataFrame, params: Params) -> DataFrame
 
 
 def build(nodes: DataFrame, params: Params = Params()) -> DataFrame:
-    """The neighbour graph of ``nodes`` (u, vec): edges u, v, s."""
+    """The neighbour graph of ``nodes`` (u, vec: unit vectors of floats): edges u, v, s, and new of the last round."""
     reachable(nodes.sparkSession)
-    edges = materialize(_nearest(_start(nodes, params), params.neighbours), "graph")
+    edges = materialize(_nearest(_start(nodes, params), params.neighbours).withColumn("new", F.lit(True)), "graph")
     for done in count():
         if done == params.rounds:
             break
-        made = _join_round(edges, nodes, params).withColumn("fresh", F.lit(True))
-        both = edges.withColumn("fresh", F.lit(False)).unionByName(made)
-        # An edge that was there is not fresh, even where the join proposes it again.
-        once = both.groupBy("u", "v").agg(F.max("s").alias("s"), F.min("fresh").alias("fresh"))
-        grown = materialize(_top(once, "u", params.neighbours), "graph")
-        edges = grown.drop("fresh")
-        fresh, total = grown.agg(F.count_if("fresh"), F.count("*")).first()
+        made = _join_round(edges, nodes, params).withColumn("new", F.lit(True))
+        both = edges.withColumn("new", F.lit(False)).unionByName(made)
+        # An edge that was there is not new, even where the join proposes it again.
+        once = both.groupBy("u", "v").agg(F.max("s").alias("s"), F.min("new").alias("new"))
+        edges = materialize(_top(once, "u", params.neighbours), "graph")
+        fresh, total = edges.agg(F.count_if("new"), F.count("*")).first()
         if fresh <= params.changed * total:
             break
     return edges
@@ -203,7 +231,7 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, params: Param
         _both_ways(edges, params.neighbours).groupBy("node").agg(F.collect_list("other").alias("others")), "adjacent"
     )
 
-    size = queries.agg(F.count("*") * F.coalesce(F.max(F.size("qvec")), F.lit(0)) * 8).first()[0]
+    size = queries.agg(F.count("*") * F.coalesce(F.max(F.size("qvec")), F.lit(0)) * 4).first()[0]
     asked = F.broadcast(queries) if size <= BROADCAST_BYTES else queries
 
     def score(pairs: DataFrame) -> DataFrame:
@@ -213,8 +241,8 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, params: Param
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 if b.num_rows:
-                    s = (_unit(b.column(2)) * _unit(b.column(3))).sum(axis=1)
-                    yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s)], ["q", "node", "s"])
+                    s = (_floats(b.column(2)) * _floats(b.column(3))).sum(axis=1)
+                    yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s.astype(float))], ["q", "node", "s"])
 
         return rows.mapInArrow(run, "q long, node long, s double")
 
@@ -251,18 +279,22 @@ def nearest(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "em
     place = F.row_number().over(Window.partitionBy("vec").orderBy("vec_id"))
     members = rows.withColumn("place", place).where(F.col("place") <= k + 1)
     members = materialize(members.withColumn("u", F.min("vec_id").over(Window.partitionBy("vec"))).select("u", "vec_id", "place", "vec"), "members")
-    nodes = materialize(members.where(F.col("place") == 1).select("u", "vec"), "nodes")
+    whole = members.where(F.col("place") == 1).select("u", "vec")
+    nodes = materialize(unit_rows(whole, "u"), "nodes")
     edges = build(nodes, params)
 
-    asked = rows.where(is_query).join(nodes, "vec").select(F.col("vec_id").alias("query_id"), F.col("u").alias("q"))
+    asked = rows.where(is_query).join(whole, "vec").select(F.col("vec_id").alias("query_id"), F.col("u").alias("q"), "vec")
     asked = materialize(asked, "asked")
-    queries = materialize(asked.select("q").distinct().join(nodes.withColumnRenamed("u", "q"), "q").withColumnRenamed("vec", "qvec"), "queries")
+    exact = asked.groupBy("q").agg(F.any_value("vec").alias("qvec"))
+    asked = asked.select("query_id", "q")
+    queries = materialize(unit_rows(exact.select("q", F.col("qvec").alias("vec")), "q").withColumnRenamed("vec", "qvec"), "queries")
     found = search(queries, nodes, edges, params)
 
-    # Answers are members of the k + 1 best nodes, plus those of nodes as near as the last.
-    place = F.rank().over(Window.partitionBy("q").orderBy(F.desc(F.round("s", 12))))
-    best = found.withColumn("place", place).where(F.col("place") <= k + 1).select("q", "u")
-    options = best.join(members.select("u", "vec_id", "vec"), "u").join(queries, "q").select("q", "vec_id", _cosine("vec", "qvec").alias("score"))
+    # Answers are members of the k + 1 best nodes, plus those of nodes that floats can't tell from the last.
+    place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("s"), "u"))
+    last = F.min(F.when(F.col("place") <= k + 1, F.col("s"))).over(Window.partitionBy("q"))
+    best = found.withColumn("place", place).withColumn("last", last).where(F.col("s") >= F.col("last") - 1e-5).select("q", "u")
+    options = best.join(members.select("u", "vec_id", "vec"), "u").join(exact, "q").select("q", "vec_id", _cosine("vec", "qvec").alias("score"))
     place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
     options = options.withColumn("place", place).where(F.col("place") <= k + 1).select("q", "vec_id", "score")
     answers = asked.join(options, "q").where(F.col("vec_id") != F.col("query_id"))
