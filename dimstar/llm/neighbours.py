@@ -107,40 +107,50 @@ def _best(ids: np.ndarray, x: np.ndarray, k: int, rows: int = 512, new: np.ndarr
 
 
 def _start(nodes: DataFrame, params: Params) -> DataFrame:
-    """Edges inside blocks of each random order."""
-    seed, block, k = params.seed, params.block, params.neighbours
-    parts = max(1, nodes.count() // (2 * block))
-    out = None
-    for order in range(params.orders):
-
-        def sides(batches: Iterator[pa.RecordBatch], order=order) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    x = _floats(batch.column(1))
-                    planes = np.random.default_rng([seed, order]).normal(size=(x.shape[1], params.bits))
-                    code = ((x @ planes) > 0) @ (1 << np.arange(params.bits))
-                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(code.astype(np.int64))], ["u", "vec", "code"])
-
-        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, xs = np.zeros(0, np.int64), np.zeros((0, 0), np.float32)
-            for batch in batches:
-                for i in range(0, batch.num_rows, block):
-                    part = batch.slice(i, block)
-                    x = _floats(part.column(1))
-                    ids, xs = np.concatenate([ids, part.column(0).to_numpy()]), np.concatenate([xs, x]) if len(xs) else x
-                    if len(ids) >= 2 * block:
-                        yield _best(ids[:block], xs[:block], k)
-                        ids, xs = ids[block:], xs[block:]
-            # The rest, less than two blocks, in equal parts.
-            for own in np.array_split(np.arange(len(ids)), max(1, -(-len(ids) // block))):
-                if len(own) > 1:
-                    yield _best(ids[own], xs[own], k)
-
-        coded = nodes.mapInArrow(sides, "u long, vec array<float>, code long")
-        ordered = coded.repartitionByRange(parts, "code", "u").sortWithinPartitions("code", "u").select("u", "vec")
-        found = ordered.mapInArrow(compare, EDGE)
-        out = found if out is None else out.unionByName(found)
-    return out
+    """Edges inside blocks of each random order; all orders are dealt out by one shuffle."""
+    seed, block, k, orders = params.seed, params.block, params.neighbours, params.orders
+    parts = max(1, nodes.count() * orders // (2 * block))
+
+    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for order in range(orders if batch.num_rows else 0):
+                x = _floats(batch.column(1))
+                planes = np.random.default_rng([seed, order]).normal(size=(x.shape[1], params.bits))
+                code = ((x @ planes) > 0) @ (1 << np.arange(params.bits))
+                yield pa.RecordBatch.from_arrays([pa.array([order] * len(x), pa.int32()), pa.array(code.astype(np.int64)), *batch.columns], ["place", "code", "u", "vec"])
+
+    def ends(ids: np.ndarray, xs: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Less than two blocks, in equal parts."""
+        for own in np.array_split(np.arange(len(ids)), max(1, -(-len(ids) // block))):
+            if len(own) > 1:
+                yield _best(ids[own], xs[own], k)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, ids, xs = -1, np.zeros(0, np.int64), np.zeros((0, 0), np.float32)
+        for batch in batches:
+            order = batch.column(0).to_numpy()
+            cuts = [*range(0, batch.num_rows, block), *(np.flatnonzero(order[1:] != order[:-1]) + 1).tolist(), batch.num_rows]
+            cuts = sorted(set(cuts))
+            for i, j in zip(cuts, cuts[1:]):
+                part = batch.slice(i, j - i)
+                if order[i] != at:
+                    yield from ends(ids, xs)
+                    at, ids, xs = order[i], np.zeros(0, np.int64), np.zeros((0, 0), np.float32)
+                x = _floats(part.column(2))
+                ids, xs = np.concatenate([ids, part.column(1).to_numpy()]), np.concatenate([xs, x]) if len(xs) else x
+                while len(ids) >= 2 * block:
+                    yield _best(ids[:block], xs[:block], k)
+                    ids, xs = ids[block:], xs[block:]
+        yield from ends(ids, xs)
+
+    coded = nodes.mapInArrow(sides, "place int, code long, u long, vec array<float>")
+    ordered = coded.repartitionByRange(parts, "place", "code", "u").sortWithinPartitions("place", "code", "u")
+    return ordered.select("place", "u", "vec").mapInArrow(compare, EDGE)
+
+
+def _sized(rows: DataFrame, n: int, of: int = 200_000) -> DataFrame:
+    """``rows``, about ``n`` of them, in as many tasks as that needs; more tasks are put together."""
+    return rows.coalesce(max(1, -(-n // of)))
 
 
 def _top(edges: DataFrame, by: str, k: int) -> DataFrame:
@@ -155,10 +165,13 @@ def _nearest(edges: DataFrame, k: int) -> DataFrame:
 
 
 def _both_ways(edges: DataFrame, k: int) -> DataFrame:
-    """(node, other, new): each node's neighbours, and its ``k`` nearest reverse neighbours."""
+    """(node, others, fresh): each node's neighbours and its ``k`` nearest reverse neighbours; those of new edges."""
     back = _top(edges, "v", k).select(F.col("v").alias("node"), F.col("u").alias("other"), "new")
     both = edges.select(F.col("u").alias("node"), F.col("v").alias("other"), "new").union(back)
-    return both.groupBy("node", "other").agg(F.max("new").alias("new"))
+    near = both.groupBy("node").agg(F.collect_list(F.struct("other", "new")).alias("near"))
+    others = F.array_distinct(F.transform("near", lambda e: e["other"]))
+    fresh = F.array_distinct(F.transform(F.filter("near", lambda e: e["new"]), lambda e: e["other"]))
+    return near.select("node", others.alias("others"), fresh.alias("fresh"))
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -180,8 +193,9 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.nd
 
 def _join_round(edges: DataFrame, nodes: DataFrame, params: Params) -> DataFrame:
     """Edges that the neighbours of each node propose to one another, of pairs with a new edge."""
-    around = _both_ways(edges, params.neighbours).groupBy("node").agg(F.collect_list(F.struct("other", "new")).alias("near"))
-    changed = around.where(F.exists("near", lambda e: e["new"])).select("node", F.explode("near").alias("e")).select("node", "e.*")
+    around = _both_ways(edges, params.neighbours).where(F.size("fresh") > 0)
+    changed = around.select("node", "fresh", F.explode("others").alias("other"))
+    changed = changed.select("node", "other", F.array_contains("fresh", F.col("other")).alias("new"))
     rows = changed.join(nodes.withColumnRenamed("u", "other"), "other").select("node", "other", "new", "vec")
     offers = params.offers
 
@@ -201,7 +215,8 @@ def _join_round(edges: DataFrame, nodes: DataFrame, params: Params) -> DataFrame
 def build(nodes: DataFrame, params: Params = Params()) -> DataFrame:
     """The neighbour graph of ``nodes`` (u, vec: unit vectors of floats): edges u, v, s, and new of the last round."""
     reachable(nodes.sparkSession)
-    edges = materialize(_nearest(_start(nodes, params), params.neighbours).withColumn("new", F.lit(True)), "graph")
+    n = nodes.count() * params.neighbours
+    edges = materialize(_sized(_nearest(_start(nodes, params), params.neighbours).withColumn("new", F.lit(True)), n), "graph")
     for done in count():
         if done == params.rounds:
             break
@@ -209,7 +224,7 @@ def build(nodes: DataFrame, params: Params = Params()) -> DataFrame:
         both = edges.withColumn("new", F.lit(False)).unionByName(made)
         # An edge that was there is not new, even where the join proposes it again.
         once = both.groupBy("u", "v").agg(F.max("s").alias("s"), F.min("new").alias("new"))
-        edges = materialize(_top(once, "u", params.neighbours), "graph")
+        edges = materialize(_sized(_top(once, "u", params.neighbours), n), "graph")
         fresh, total = edges.agg(F.count_if("new"), F.count("*")).first()
         if fresh <= params.changed * total:
             break
@@ -227,11 +242,9 @@ def _cosine(a: str, b: str):
 
 def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, params: Params = Params()) -> DataFrame:
     """q, u, score: the ``beam`` best nodes that each query (q, a node; qvec) finds on its walk, itself among them."""
-    adjacent = materialize(
-        _both_ways(edges, params.neighbours).groupBy("node").agg(F.collect_list("other").alias("others")), "adjacent"
-    )
+    adjacent = materialize(_sized(_both_ways(edges, params.neighbours).select("node", "others"), nodes.count(), 20_000), "adjacent")
 
-    size = queries.agg(F.count("*") * F.coalesce(F.max(F.size("qvec")), F.lit(0)) * 4).first()[0]
+    many, size = queries.agg(F.count("*"), F.count("*") * F.coalesce(F.max(F.size("qvec")), F.lit(0)) * 4).first()
     asked = F.broadcast(queries) if size <= BROADCAST_BYTES else queries
 
     def score(pairs: DataFrame) -> DataFrame:
@@ -260,7 +273,7 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, params: Param
         fresh = score(found).withColumn("step", F.lit(step))
         place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("s"), "node"))
         grown = pool.unionByName(fresh).withColumn("place", place).where(F.col("place") <= params.beam).drop("place")
-        pool = materialize(grown, "beam")
+        pool = materialize(_sized(grown, many * params.beam), "beam")
         if pool.where(F.col("step") == step).isEmpty():
             break
     return pool.select("q", F.col("node").alias("u"), "s")
