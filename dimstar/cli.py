@@ -5,8 +5,9 @@
     python -m dimstar.cli sql --marts FOLDER "SELECT ... FROM fct_blended_opportunities ..."
     python -m dimstar.cli list
 
-``build`` reads the 18 sources (one parquet folder each under ROOT, or the
-test tables with ``--fixture``), writes the seven marts under FOLDER, runs
+``build`` lands the 18 sources as typed tables (one parquet folder each under
+ROOT, or the test tables with ``--fixture``), writes the seven marts as a run
+under FOLDER and publishes that run as a whole (the one before is kept), runs
 every data test, appends the failing rows to ``FOLDER/dq_failure_log`` and
 exits with status 1 when a test of severity ``error`` fails (``warn`` tests
 only report).  ``query`` evaluates metrics over published marts and ``sql``
@@ -51,18 +52,16 @@ def _params(args):
 
 def build(args) -> int:
     from dimstar.plans import quality as Q
-    from dimstar.plans.publish import write_tables
+    from dimstar.plans.publish import expire_runs, publish_run, stage_extracts
     from dimstar.queries import marts
-    from dimstar.sources import load_sources
-    from dimstar.sources.catalog import load_rejects
     from dimstar.sources.fixture import fixture_sources
 
     spark = _session(args.master)
-    src = fixture_sources(spark, args.sources) if args.fixture else load_sources(spark, args.sources)
-    published = write_tables(spark, marts(src, _params(args), materialize=args.materialize), folder=args.out)
-    if not args.fixture:
-        for r in load_rejects(spark, args.sources).collect():
-            print(f"UNREADABLE {r['source']}.{r['column']} values={r['rejected']}")
+    src, unreadable = (fixture_sources(spark, args.sources), []) if args.fixture else stage_extracts(spark, args.sources)
+    published = publish_run(spark, marts(src, _params(args), materialize=args.materialize), args.out)
+    expire_runs(spark, args.out)
+    for source, column, values in sorted(unreadable):
+        print(f"UNREADABLE {source}.{column} values={values}")
     log = Q.failure_log(spark, Q.ALL_TESTS, published, os.path.join(args.out, "dq_failure_log"))
     summary = Q.summary_of_log(Q.ALL_TESTS, log).orderBy("test_name").collect()
     failed = 0
@@ -75,13 +74,11 @@ def build(args) -> int:
 
 def query(args) -> int:
     from dimstar.plans.metrics import dimensions_of, metric_query
-    from dimstar.plans.publish import table_path
+    from dimstar.plans.publish import published
     from dimstar.queries import star_dims
 
     spark = _session(args.master)
-    names = ("dim_date", "dim_unified_account", "dim_unified_contact", "dim_unified_employee",
-             "dim_unified_opportunity", "fct_blended_opportunities", "fct_blended_opportunity_activities")
-    m = {n: spark.read.parquet(table_path(args.marts, n)) for n in names}
+    m = published(spark, args.marts)
     metrics = [x for x in args.metrics.split(",") if x]
     facts = {"blended_opportunities": m["fct_blended_opportunities"],
              "blended_opportunity_activities": m["fct_blended_opportunity_activities"]}
@@ -100,10 +97,10 @@ def query(args) -> int:
 
 def sql(args) -> int:
     """Ad-hoc SQL over the published marts, registered as views under their own names."""
-    from dimstar.plans.publish import PUBLISH_AREA, register_views, table_path
+    from dimstar.plans.publish import published, register_views
 
     spark = _session(args.master)
-    register_views({n: spark.read.parquet(table_path(args.marts, n)) for n in PUBLISH_AREA})
+    register_views(published(spark, args.marts))
     out = spark.sql(args.query)
     if args.output:
         out.write.mode("overwrite").parquet(args.output)
@@ -135,7 +132,7 @@ def main(argv=None) -> int:
     b.add_argument("--as-of")
     b.add_argument("--tenant", help="word of the tenant's own mail domain; marks internal activities (not with --fixture: required)")
     b.add_argument("--materialize", action="store_true",
-                   help="write F1's opportunity side once as a table instead of reading it in both join branches")
+                   help="write F1's opportunity side as a table before the lines are joined (a lineage cut)")
     q = sub.add_parser("query")
     q.add_argument("--marts", required=True)
     q.add_argument("--metrics", required=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,3 +46,51 @@ def one_to_many_left_join(parents: DataFrame, children: DataFrame, parent_key: s
     added = [f for f in matched.schema.fields if f.name not in parents.columns]
     orphans = orphans.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
     return matched.unionByName(orphans)
+
+
+HOT_ROWS = 2_000_000  # a key with more children than about this is dealt over several tasks
+SALTS = 32
+SAMPLE = 0.001
+
+
+def hot_keys(rows: DataFrame, key: str, least: int = HOT_ROWS, share: float = SAMPLE, seed: int = 5) -> list:
+    """Keys that hold about ``least`` rows or more, judged by a sample of the key column.
+
+    Every key returned has a row.  There are fewer of them than rows / least.
+    Runs a job over the key column alone; only plans depend on what it finds.
+    """
+    k = F.col(key).alias("k")
+    found = rows.select(k).where(F.col("k").isNotNull())
+    found = found.sample(share, seed) if share < 1 else found
+    counted = found.groupBy("k").count().where(F.col("count") >= max(1, least * share))
+    return sorted(r["k"] for r in counted.collect())
+
+
+def salted_left_join(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str, hot: Sequence,
+                     lookup: Callable[[DataFrame], DataFrame] | None = None, salts: int = SALTS) -> DataFrame:
+    """``parents LEFT JOIN children ON parent_key = child_key`` in one pass over either side.
+
+    A left join keeps the parents without a child by itself, but Spark can't
+    split a hot key of the child side in it.  So the children of the ``hot``
+    keys (each must have a child) are dealt over ``salts``, and their parents
+    are repeated once per salt.  A copy of a hot parent whose salt drew no
+    child is dropped: the parent's children are with other copies.  Without
+    hot keys this is the plain left join.
+
+    ``lookup`` adds columns from left joins on child columns.
+    """
+    shared = set(parents.columns) & set(children.columns)
+    if shared:
+        raise ValueError(f"rename shared columns before joining: {sorted(shared)}")
+    if not hot:
+        joined = parents.join(children, F.col(parent_key) == F.col(child_key), "left")
+        return joined if lookup is None else lookup(joined)
+    is_hot = F.col(parent_key).isin(list(hot))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    left = parents.withColumn("__salt", F.explode(copies))
+    # The hash of the whole row: a repeated task deals every row as before.
+    salt = F.when(F.col(child_key).isin(list(hot)), F.pmod(F.xxhash64(*children.columns), F.lit(salts)).cast("int")).otherwise(0)
+    right = children.withColumn("__child_salt", salt)
+    joined = left.join(right, (F.col(parent_key) == F.col(child_key)) & (F.col("__salt") == F.col("__child_salt")), "left")
+    joined = joined.where(F.col(child_key).isNotNull() | ~F.coalesce(is_hot, F.lit(False))).drop("__salt", "__child_salt")
+    return joined if lookup is None else lookup(joined)

@@ -13,6 +13,7 @@ import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,11 +126,19 @@ METRICS: dict[str, Metric] = {m.name: m for m in (
     Metric("acv_per_opportunity", _P, "derived", inputs=("total_pipeline_acv_usd", "opportunity_count"),
            formula=lambda acv, n: F.try_divide(acv.cast("double"), n.cast("double")),
            label="ACV per opportunity", description="Pipeline ACV over the number of opportunities."),
-    # Cumulative metrics: totals of an additive metric over the query's time key, running or trailing.
+    # Cumulative metrics: totals of a sum or a distinct count over the query's time key, running or trailing.
     Metric("cumulative_pipeline_acv_usd", _P, "cumulative", inputs=("total_pipeline_acv_usd",),
            label="Running pipeline ACV (USD)", description="Pipeline ACV of all periods up to this one."),
     Metric("trailing_3_pipeline_acv_usd", _P, "cumulative", inputs=("total_pipeline_acv_usd",), window=3,
            label="Pipeline ACV of three periods (USD)", description="Pipeline ACV of this period and the two before."),
+    Metric("cumulative_opportunity_count", _P, "cumulative", inputs=("opportunity_count",),
+           label="Running opportunities", description="Different opportunities of all periods up to this one."),
+    Metric("trailing_3_opportunity_count", _P, "cumulative", inputs=("opportunity_count",), window=3,
+           label="Opportunities of three periods", description="Different opportunities of this period and the two before."),
+    Metric("cumulative_activities", _A, "cumulative", inputs=("total_activities",),
+           label="Running activities", description="Different activities of all periods up to this one."),
+    Metric("trailing_4_activities", _A, "cumulative", inputs=("total_activities",), window=4,
+           label="Activities of four periods", description="Different activities of this period and the three before."),
     Metric("cumulative_outbound_call_attempts", _A, "cumulative", inputs=("outbound_call_attempts",),
            label="Running outbound call attempts", description="Outbound call attempts of all periods up to this one."),
 )}
@@ -201,6 +210,51 @@ def _period(grain: str, c: Column) -> Column:
     return {"month": F.year(c) * 12 + F.month(c), "quarter": F.year(c) * 4 + F.quarter(c), "year": F.year(c)}[grain]
 
 
+NO_PERIOD = -(1 << 40)  # the number of the period of rows without a date: before all others
+
+
+def _number(grain: str, c: Column) -> Column:
+    return F.coalesce(_period(grain, c).cast("bigint"), F.lit(NO_PERIOD))
+
+
+def distinct_changes(ids: DataFrame, keys: Sequence[str], period: str, value: str, window: int | None) -> DataFrame:
+    """keys, ``period``, change: by how much the number of different values grows or falls at each period.
+
+    ``ids`` has the keys, a period number and a value.  A running count
+    grows where a value is first seen.  In a trailing window a value counts
+    from a period it is seen in for ``window`` periods; overlapping stretches
+    of a value are merged, so it counts once: +1 where a stretch begins, -1
+    behind its end.  Values are compared with themselves only (one row per
+    value and period), never with other periods of the series.
+    """
+    if window is None:
+        first = ids.groupBy(*keys, value).agg(F.min(period).alias(period))
+        return first.groupBy(*keys, period).agg(F.count(F.lit(1)).alias("change"))
+    seen = ids.select(*keys, value, period).distinct()
+    w = Window.partitionBy(*keys, value).orderBy(period)
+    p = F.col(period)
+    begins = F.coalesce(p - F.lag(p).over(w) >= window, F.lit(True))
+    ends = F.coalesce(F.lead(p).over(w) - p >= window, F.lit(True))
+    events = seen.select(*keys, F.array_compact(F.array(
+        F.when(begins, F.struct(p.alias("at"), F.lit(1).alias("step"))),
+        F.when(ends, F.struct((p + window).alias("at"), F.lit(-1).alias("step"))))).alias("e"))
+    steps = events.select(*keys, F.inline("e"))
+    return steps.groupBy(*keys, F.col("at").alias(period)).agg(F.sum("step").alias("change"))
+
+
+def _running_distinct(out: DataFrame, changes: DataFrame, keys: Sequence[str], period: str, name: str) -> DataFrame:
+    """``out`` with ``name``: the sum of all changes of its keys up to its period.
+
+    Both sides are aggregated, a row for each key and period at most, and
+    meet in one window over their union.
+    """
+    rows = out.withColumn("__own", F.lit(True)).withColumn("__change", F.lit(0).cast("bigint"))
+    steps = changes.select(*keys, period, F.col("change").alias("__change"), F.lit(False).alias("__own"))
+    w = Window.partitionBy(*keys).orderBy(period).rangeBetween(Window.unboundedPreceding, 0)
+    both = rows.unionByName(steps, allowMissingColumns=True).withColumn(name, F.sum("__change").over(w).cast("bigint"))
+    return both.where("__own").drop("__own", "__change")
+
+
 def metric_query(fact: DataFrame | Mapping[str, DataFrame], metrics: Sequence[str], group_by: Sequence[str] = (),
                  dims: Mapping[str, DataFrame] | None = None, where: Column | str | None = None,
                  order_by: Sequence[str] = (), spine: DataFrame | None = None) -> DataFrame:
@@ -209,12 +263,15 @@ def metric_query(fact: DataFrame | Mapping[str, DataFrame], metrics: Sequence[st
     ``where`` filters the fact's rows; a filter in SQL may also name
     dimension attributes (``role__attribute``).  ``order_by`` takes metric
     or key names, ``-name`` for descending.  With ``spine`` (a ``date_day``
-    column) and a ``metric_time__<grain>`` key, periods without data are
-    kept, count-like metrics read 0 there and running totals go on.
+    column) and a ``metric_time__<grain>`` key, the result has every period of
+    the spine, and of no other, for every combination of the other keys that
+    has data in any of them; metrics read 0 in empty periods, and running
+    totals go on.
 
     Metrics of several models need ``fact`` as a mapping of model to fact;
     each model is aggregated by itself and the results meet on the group-by
     keys, NULL keys included; a metric without rows for a key is NULL.
+    A filter in SQL may name columns of one fact only: see ``route_filter``.
     """
     models = list(dict.fromkeys(METRICS[m].model for m in metrics))
     if len(models) == 1:
@@ -222,8 +279,9 @@ def metric_query(fact: DataFrame | Mapping[str, DataFrame], metrics: Sequence[st
         return _order(_one_model(MODELS[models[0]], one, metrics, group_by, dims, where, spine), order_by)
     if not isinstance(fact, Mapping):
         raise ValueError("metrics of several semantic models need a mapping of model to fact")
+    filters = route_filter(where, {model: fact[model] for model in models}, dims)
     parts = [_one_model(MODELS[model], fact[model], [m for m in metrics if METRICS[m].model == model],
-                        group_by, dims, where, spine) for model in models]
+                        group_by, dims, filters[model], spine) for model in models]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part, allowMissingColumns=True)
@@ -231,6 +289,65 @@ def metric_query(fact: DataFrame | Mapping[str, DataFrame], metrics: Sequence[st
     return _order(out.groupBy(*group_by).agg(*[F.max(m).alias(m) for m in metrics]), order_by)
 
 
+def split_conjuncts(condition: str) -> list[str]:
+    """The parts of a SQL condition between its top-level ANDs (not those of BETWEEN, brackets, CASE or literals)."""
+    parts, start, depth, between = [], 0, 0, 0
+    for t in re.finditer(r"'(?:[^']|'')*'|`[^`]*`|\"[^\"]*\"|[()]|\b\w+\b", condition):
+        word = t.group().upper()
+        if word in ("(", "CASE"):
+            depth += 1
+        elif word in (")", "END"):
+            depth -= 1
+        elif depth == 0 and word == "OR":
+            return [condition]  # its ANDs bind tighter
+        elif depth == 0 and word == "BETWEEN":
+            between += 1
+        elif depth == 0 and word == "AND":
+            if between:
+                between -= 1
+            else:
+                parts.append(condition[start:t.start()])
+                start = t.end()
+    return [p.strip() for p in [*parts, condition[start:]] if p.strip()]
+
+
+def _resolves(conjunct: str, model: SemanticModel, fact: DataFrame, dims: Mapping[str, DataFrame] | None) -> bool:
+    """Whether all columns that the condition names are the fact's or its dimensions' (decided by the analyzer)."""
+    df = fact
+    try:
+        for role, attrs in _where_roles(conjunct, model, fact).items():
+            edge = edge_by_role(model.edges, role)
+            df = join_edge(df, (dims or {})[edge.dim], edge, attrs)
+        df.where(conjunct).schema  # noqa: B018
+    except KeyError:
+        return False
+    except AnalysisException as e:
+        if (e.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            return False
+        raise
+    return True
+
+
+def route_filter(where: Column | str | None, facts: Mapping[str, DataFrame],
+                 dims: Mapping[str, DataFrame] | None) -> dict[str, Column | str | None]:
+    """The part of a filter that belongs to each model.
+
+    A condition in SQL is taken apart at its top-level ANDs; each part goes
+    to every model whose columns and dimensions it names.  A part that no
+    model can resolve is an error.  A Column goes to all models as it is.
+    """
+    if not isinstance(where, str):
+        return {model: where for model in facts}
+    found: dict[str, list[str]] = {model: [] for model in facts}
+    for part in split_conjuncts(where):
+        takers = [m for m in facts if _resolves(part, MODELS[m], facts[m], dims)]
+        if not takers:
+            raise ValueError(f"no model has all columns of the filter {part!r}")
+        for m in takers:
+            found[m].append(part)
+    return {m: " AND ".join(f"({p})" for p in parts) or None for m, parts in found.items()}
+
+
 def _order(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     if not order_by:
         return df
@@ -275,13 +392,22 @@ def _one_model(model: SemanticModel, fact: DataFrame, metrics: Sequence[str], gr
 
     time_key = next((g for g in group_by if g.startswith("metric_time__")), None)
     grain = time_key.split("__", 1)[1] if time_key else None
+    others = [g for g in group_by if g != time_key]
+    periods = None
     if spine is not None and time_key:
-        # Gap fill: the spine at the query's grain, left-joined on the time key
-        # only; an empty period appears once (other keys NULL).
         day = F.col("date_day")
         periods = spine.select((day if grain == "day" else F.date_trunc(grain, day).cast("date")).alias(time_key)) \
             .distinct()
-        out = periods.join(out, time_key, "left")
+        if others:
+            # The series of each key: all periods, exploded from the key's one row.
+            series = periods.agg(F.sort_array(F.collect_list(time_key))).scalar()
+            out = out.join(periods, time_key, "left_semi")
+            dense = out.select(*others).distinct().withColumn(time_key, F.explode(series))
+            # NULL keys are keys: rows of the series and of the data meet by grouping.
+            out = dense.unionByName(out, allowMissingColumns=True).groupBy(*group_by) \
+                .agg(*[F.max(f"__v_{s}").alias(f"__v_{s}") for s in simple])
+        else:
+            out = periods.join(out, time_key, "left")
         out = out.select(*group_by, *[F.coalesce(F.col(f"__v_{s}"), F.lit(0).cast(out.schema[f"__v_{s}"].dataType))
                                       .alias(f"__v_{s}") for s in simple])
 
@@ -290,11 +416,17 @@ def _one_model(model: SemanticModel, fact: DataFrame, metrics: Sequence[str], gr
     for c in (METRICS[n] for n in metrics if METRICS[n].kind == "cumulative"):
         if time_key is None:
             raise ValueError("a cumulative metric needs a metric_time__<grain> key")
-        if measures[c.inputs[0]].agg != "sum":
-            raise ValueError(f"{c.name}: cumulative totals need an additive (sum) measure")
-        w = Window.partitionBy(*[k for k in group_by if k != time_key]).orderBy(_period(grain, F.col(time_key)))
+        of = c.inputs[0]
+        if measures[of].agg == "count_distinct":
+            ids = rows if periods is None else rows.join(periods, time_key, "left_semi")
+            ids = ids.where(F.col(f"__v_{of}").isNotNull()).withColumn("__period", _number(grain, F.col(time_key)))
+            changes = distinct_changes(ids, others, "__period", f"__v_{of}", c.window)
+            out = _running_distinct(out.withColumn("__period", _number(grain, F.col(time_key))), changes, others, "__period",
+                                    f"__v_{c.name}").drop("__period")
+            continue
+        w = Window.partitionBy(*others).orderBy(_period(grain, F.col(time_key)))
         first = Window.unboundedPreceding if c.window is None else -(c.window - 1)
-        out = out.withColumn(f"__v_{c.name}", F.sum(f"__v_{c.inputs[0]}").over(w.rangeBetween(first, 0)))
+        out = out.withColumn(f"__v_{c.name}", F.sum(f"__v_{of}").over(w.rangeBetween(first, 0)))
 
     def exact(name: str) -> Column:
         return F.col(f"__v_{name}")

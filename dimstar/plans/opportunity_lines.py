@@ -2,9 +2,9 @@
 
 Join order is chosen for the large line stream: the opportunity-grain rules
 (window, account eligibility, anti join to EDH, country rule) and the latest
-quote come before the fan-out, the lines are joined once (an inner join plus
-the opportunities without lines, so a hot opportunity can be split), and the
-line lookups (offering, FX rate) see only the lines that survived it.
+quote come before the fan-out, the lines are joined in one pass (a left join
+in which the lines of hot opportunities are salted), and the line lookups
+(offering, FX rate) see only the lines that survived it.
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimstar.functions import rules as R
-from dimstar.operators import latest_per_key, not_in_authority, one_to_many_left_join
+from dimstar.operators import hot_keys, latest_per_key, not_in_authority, salted_left_join
 from dimstar.params import Params
+from dimstar.session import shared_folder
 from dimstar.sources import Sources
 
 ACV = "decimal(28,8)"
@@ -66,6 +67,15 @@ def latest_fx_rate(src: Sources) -> DataFrame:
     )
 
 
+def _with_lines(opportunities: DataFrame, lines: DataFrame, key: str, line_key: str, lookup, materialize: bool) -> DataFrame:
+    """Opportunities left-joined to their lines; ``materialize`` writes the opportunity side as a table first."""
+    if materialize:
+        path = shared_folder(opportunities.sparkSession, "lineage_cut")
+        opportunities.write.parquet(path)
+        opportunities = opportunities.sparkSession.read.parquet(path).select(*opportunities.columns)
+    return salted_left_join(opportunities, lines, key, line_key, hot_keys(lines, line_key), lookup)
+
+
 def edh_opportunity_lines(src: Sources, params: Params, materialize: bool = False) -> DataFrame:
     """EDH branch: eligible in-window opportunities, fanned out to their lines."""
     acct = eligible_accounts(src).select(
@@ -89,10 +99,8 @@ def edh_opportunity_lines(src: Sources, params: Params, materialize: bool = Fals
         "quantity", F.col("line_item_acv_usd").alias("line_acv"),
         F.col("sales_revenue_group_detail").alias("offer_type"), "opportunity_line_status",
         "sales_motion_category", "action", F.col("access_model").alias("license_type"), "term")
-    rows = one_to_many_left_join(
-        opp_side, lines, "opportunity_number", "line_opportunity_number",
-        lookup=lambda df: df.join(offering, F.col("offering_id") == F.col("o_offering_id"), "left"),
-        materialize_parents=materialize)
+    rows = _with_lines(opp_side, lines, "opportunity_number", "line_opportunity_number",
+                       lambda df: df.join(offering, F.col("offering_id") == F.col("o_offering_id"), "left"), materialize)
     acv = F.col("line_acv").cast(ACV)
     return rows.select(
         F.lit(R.PIPELINE_EDH).alias("source_system"),
@@ -148,10 +156,8 @@ def acs_opportunity_lines(src: Sources, params: Params, materialize: bool = Fals
         .select(F.col("id").alias("line_id"), F.col("opportunity_id").alias("line_opportunity_id"),
                 F.col("quantity"), "est_annualized_amount_c", "currency_iso_code", "subscription_name")
     )
-    rows = one_to_many_left_join(
-        opp_side, lines, "id", "line_opportunity_id",
-        lookup=lambda df: df.join(fx, F.col("currency_iso_code") == F.col("fx_currency"), "left"),
-        materialize_parents=materialize)
+    rows = _with_lines(opp_side, lines, "id", "line_opportunity_id",
+                       lambda df: df.join(fx, F.col("currency_iso_code") == F.col("fx_currency"), "left"), materialize)
     acv = (F.col("est_annualized_amount_c") * F.col("exchange_rate")).cast(ACV)
     s = F.lit(params.sentinel)
     return rows.select(
@@ -182,8 +188,9 @@ def fct_blended_opportunities(src: Sources, params: Params, materialize: bool =
     """F1 = EDH lines UNION ALL ACS lines (27 columns).
 
     ``materialize`` writes the opportunity-grain side of each branch once as
-    a table in the shared folder (a job runs when this is called); use it
-    when the mart is built and written, not for a lazily composed query.
+    a table in the shared folder (a job runs when this is called), as a
+    lineage cut.  A small job over a sample of each line table's key column
+    looks for hot opportunities.
     """
     return edh_opportunity_lines(src, params, materialize).unionByName(
         acs_opportunity_lines(src, params, materialize)).select(*COLUMNS)

@@ -79,7 +79,7 @@ ALL_TESTS = UNIQUE_TESTS + NOT_NULL_TESTS + ACCEPTED_TESTS + PIPELINE_REL_TESTS
 
 
 def failing_rows(test: DataTest, marts: Mapping[str, DataFrame]) -> DataFrame:
-    """Failing rows as (failing_key string, n_records bigint)."""
+    """Failing rows as (failing_key string, n_records bigint); orphans by key, with the number of their records."""
     df = marts[test.model]
     c = F.col(test.column)
     if test.kind == "unique":
@@ -93,13 +93,66 @@ def failing_rows(test: DataTest, marts: Mapping[str, DataFrame]) -> DataFrame:
         return (df.where(~c.isin(*test.values)).groupBy(c.alias("k")).agg(F.count(F.lit(1)).alias("n_records"))
                 .select(F.col("k").cast("string").alias("failing_key"), "n_records"))
     if test.kind == "relationships":
-        parent = marts[test.to_model].select(F.col(test.to_column).alias("__pk")).where(F.col("__pk").isNotNull()) \
-            .distinct()
-        return (df.where(c.isNotNull()).join(parent, c == F.col("__pk"), "left_anti")
-                .select(c.cast("string").alias("failing_key"), F.lit(1).cast("bigint").alias("n_records")))
+        return _orphans([test], marts).select("failing_key", "n_records")
     raise ValueError(test.kind)
 
 
+def _row_failures(tests: Sequence[DataTest], df: DataFrame) -> DataFrame:
+    """(test_name, severity, failing_key, n_records) of a mart's row tests, from one pass over it.
+
+    Each row gives the tests that it fails: as many output rows, mostly none.
+    A missing value is a failing record of its own; other values are grouped.
+    """
+    hits = []
+    for t in tests:
+        c, null = F.col(t.column), t.kind == "not_null"
+        hits.append(F.when(c.isNull() if null else ~c.isin(*t.values), F.struct(
+            F.lit(t.name).alias("test_name"), F.lit(t.severity).alias("severity"),
+            (F.lit(None) if null else c).cast("string").alias("failing_key"), F.lit(null).alias("__single"))))
+    rows = df.select(F.inline(F.array_compact(F.array(*hits))))
+    own = F.when(F.col("__single"), F.monotonically_increasing_id()).alias("__own")
+    return rows.select("test_name", "severity", "failing_key", own).groupBy("test_name", "severity", "failing_key", "__own") \
+        .agg(F.count(F.lit(1)).alias("n_records")).drop("__own")
+
+
+def _orphans(tests: Sequence[DataTest], marts: Mapping[str, DataFrame]) -> DataFrame:
+    """(test_name, severity, failing_key, n_records) of one mart's foreign keys, from one pass over it.
+
+    All its keys are counted within the tasks first, so a hot key is one row
+    by the time anything is shuffled, and the anti join sees keys, not facts.
+    """
+    df = marts[tests[0].model]
+    keys = [F.when(F.col(t.column).isNotNull(), F.struct(
+        F.lit(t.name).alias("test_name"), F.lit(t.severity).alias("severity"),
+        F.col(t.column).cast("string").alias("failing_key"))) for t in tests]
+    counted = df.select(F.inline(F.array_compact(F.array(*keys)))).groupBy("test_name", "severity", "failing_key") \
+        .agg(F.count(F.lit(1)).alias("n_records"))
+    parents = None
+    for t in tests:
+        own = marts[t.to_model].select(F.lit(t.name).alias("__test"), F.col(t.to_column).cast("string").alias("__key"))
+        own = own.where(F.col("__key").isNotNull()).distinct()
+        parents = own if parents is None else parents.unionByName(own)
+    same = (F.col("test_name") == F.col("__test")) & (F.col("failing_key") == F.col("__key"))
+    return counted.join(parents, same, "left_anti")
+
+
+def _by_model(tests: Sequence[DataTest], *kinds: str) -> dict[str, list[DataTest]]:
+    found: dict[str, list[DataTest]] = {}
+    for t in tests:
+        if t.kind in kinds:
+            found.setdefault(t.model, []).append(t)
+    return found
+
+
+def _orphan_counts(tests: Sequence[DataTest], marts: Mapping[str, DataFrame]) -> DataFrame:
+    """The summary rows of one mart's foreign keys: every orphan record is a failure."""
+    sums = [F.coalesce(F.sum(F.when(F.col("test_name") == t.name, F.col("n_records"))), F.lit(0)).cast("bigint").alias(f"n{i}")
+            for i, t in enumerate(tests)]
+    rows = [F.struct(F.lit(t.name).alias("test_name"), F.lit(t.kind).alias("test_kind"), F.lit(t.severity).alias("severity"),
+                     F.col(f"n{i}").alias("failures"), F.col(f"n{i}").alias("failing_records")) for i, t in enumerate(tests)]
+    return _orphans(tests, marts).agg(*sums).select(F.inline(F.array(*rows)))
+
+
 def _scan_counts(tests: Sequence[DataTest], df: DataFrame) -> DataFrame:
     """The summary rows of a mart's not_null and accepted_values tests, from one aggregate over it."""
     aggs = []
@@ -119,19 +172,19 @@ def _scan_counts(tests: Sequence[DataTest], df: DataFrame) -> DataFrame:
 def summary(tests: Sequence[DataTest], marts: Mapping[str, DataFrame]) -> DataFrame:
     """One row per test: (test_name, test_kind, severity, failures, failing_records).
 
-    Tests that look at one row at a time share one scan of their mart.
+    Tests that look at one row at a time share one scan of their mart, and so
+    do its foreign keys.
     """
-    parts, scanned = [], {}
+    parts = []
     for t in tests:
-        if t.kind in ("not_null", "accepted_values"):
-            scanned.setdefault(t.model, []).append(t)
-            continue
-        rows = failing_rows(t, marts)
-        parts.append(rows.agg(F.count(F.lit(1)).alias("failures"),
-                              F.coalesce(F.sum("n_records"), F.lit(0)).cast("bigint").alias("failing_records"))
-                     .select(F.lit(t.name).alias("test_name"), F.lit(t.kind).alias("test_kind"),
-                             F.lit(t.severity).alias("severity"), "failures", "failing_records"))
-    parts += [_scan_counts(ts, marts[model]) for model, ts in scanned.items()]
+        if t.kind == "unique":
+            rows = failing_rows(t, marts)
+            parts.append(rows.agg(F.count(F.lit(1)).alias("failures"),
+                                  F.coalesce(F.sum("n_records"), F.lit(0)).cast("bigint").alias("failing_records"))
+                         .select(F.lit(t.name).alias("test_name"), F.lit(t.kind).alias("test_kind"),
+                                 F.lit(t.severity).alias("severity"), "failures", "failing_records"))
+    parts += [_scan_counts(ts, marts[model]) for model, ts in _by_model(tests, "not_null", "accepted_values").items()]
+    parts += [_orphan_counts(ts, marts) for ts in _by_model(tests, "relationships").values()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -143,14 +196,20 @@ def summary_of_log(tests: Sequence[DataTest], log: DataFrame) -> DataFrame:
     names = log.sparkSession.createDataFrame([(t.name, t.kind, t.severity) for t in tests],
                                              "test_name string, test_kind string, severity string")
     found = log.groupBy("test_name").agg(F.count(F.lit(1)).alias("failures"), F.sum("n_records").alias("failing_records"))
+    # Orphans are logged by key, and counted by record.
+    found = found.withColumn("failures", F.when(F.col("test_name").isin([t.name for t in tests if t.kind == "relationships"]),
+                                                F.col("failing_records")).otherwise(F.col("failures")))
     return names.join(found, "test_name", "left").select(
         "test_name", "test_kind", "severity", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"),
         F.coalesce("failing_records", F.lit(0)).cast("bigint").alias("failing_records"))
 
 
 def all_failing_rows(tests: Sequence[DataTest], marts: Mapping[str, DataFrame]) -> DataFrame:
+    """(test_name, severity, failing_key, n_records) of all tests: a pass per mart for its row tests, one for its foreign keys."""
     parts = [failing_rows(t, marts).select(F.lit(t.name).alias("test_name"), F.lit(t.severity).alias("severity"),
-                                           "failing_key", "n_records") for t in tests]
+                                           "failing_key", "n_records") for t in tests if t.kind == "unique"]
+    parts += [_row_failures(ts, marts[model]) for model, ts in _by_model(tests, "not_null", "accepted_values").items()]
+    parts += [_orphans(ts, marts) for ts in _by_model(tests, "relationships").values()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -539,6 +539,34 @@ def pipeline_running_by_month(spark, sf_dir):
                         ["metric_time__month"], spine=days)
 
 
+@query
+def opportunities_running_by_month(spark, sf_dir):
+    """Running and trailing totals and distinct counts within each source system; empty periods carry on."""
+    src, p = _ctx(spark, sf_dir)
+    days = D.time_spine(spark, p.with_(spine_from=p.close_from.replace(day=1), spine_to=p.close_to + dt.timedelta(days=181)))
+    return metric_query(P.fct_blended_opportunities(src, p),
+                        ["opportunity_count", "cumulative_opportunity_count", "trailing_3_opportunity_count",
+                         "cumulative_pipeline_acv_usd", "trailing_3_pipeline_acv_usd"],
+                        ["metric_time__month", "source_system"], spine=days)
+
+
+@mart_query
+def activities_trailing_by_week(m):
+    """Running and trailing distinct counts by week and activity type, weeks with activities only."""
+    return metric_query(m[F2], ["total_activities", "cumulative_activities", "trailing_4_activities"],
+                        ["metric_time__week", "new_activity_type"])
+
+
+@mart_query
+def pipeline_vs_calls_filtered(m):
+    """One filter over both facts; each condition goes to the facts that have its columns."""
+    return metric_query({"blended_opportunities": m[F1], "blended_opportunity_activities": m[F2]},
+                        ["total_pipeline_acv_usd", "opportunity_count", "total_activities", "outbound_call_attempts"],
+                        ["account__account_segment"], dims=star_dims(m),
+                        where="quantity > 1 AND new_activity_type IN ('Call', 'Meeting') "
+                              "AND account__account_segment IS NOT NULL AND source_system <> 'none'")
+
+
 # --------------------------------------------------------------------------- data quality and publishing
 
 def _dq(tests):

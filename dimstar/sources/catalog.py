@@ -126,15 +126,19 @@ def typed(name: str, df: DataFrame) -> DataFrame:
     return df.select(*[_typed_column(df, name, c).alias(c) for c in SOURCE_COLUMNS[name]])
 
 
+def reject_counts(name: str, df: DataFrame) -> dict[str, Column]:
+    """Of each typed column: an aggregate that counts the values which can't be read as its type."""
+    cols = [c for c in SOURCE_COLUMNS[name] if c in SOURCE_TYPES.get(name, {})]
+    return {c: F.count_if(F.col(c).isNotNull() & _typed_column(df, name, c).isNull()) for c in cols}
+
+
 def rejects(name: str, df: DataFrame) -> DataFrame:
     """(source, column, rejected): how many values of each typed column can't be read as its type."""
-    cols = [c for c in SOURCE_COLUMNS[name] if c in SOURCE_TYPES.get(name, {})]
-    counts = df.agg(*[F.count_if(F.col(c).isNotNull() & _typed_column(df, name, c).isNull()).alias(c) for c in cols]) \
-        if cols else None
-    if counts is None:
+    counts = reject_counts(name, df)
+    if not counts:
         return df.sparkSession.createDataFrame([], "source string, column string, rejected bigint")
-    return counts.select(F.inline(F.array(*[
-        F.struct(F.lit(name).alias("source"), F.lit(c).alias("column"), F.col(c).alias("rejected")) for c in cols])))
+    return df.agg(*[a.alias(c) for c, a in counts.items()]).select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("source"), F.lit(c).alias("column"), F.col(c).alias("rejected")) for c in counts])))
 
 
 class Sources(Mapping[str, DataFrame]):

@@ -82,14 +82,16 @@ def failing_sql(t: Q.DataTest) -> str:
         return (f"SELECT CAST({col} AS VARCHAR) AS failing_key, count(*) AS n_records FROM {tbl} "
                 f"WHERE {col} NOT IN {in_list(t.values)} GROUP BY {col}")
     parent = MART_TABLE[t.to_model]
-    return (f"SELECT CAST(c.{col} AS VARCHAR) AS failing_key, CAST(1 AS BIGINT) AS n_records FROM {tbl} c "
-            f"WHERE c.{col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{t.to_column} = c.{col})")
+    return (f"SELECT CAST(c.{col} AS VARCHAR) AS failing_key, count(*) AS n_records FROM {tbl} c "
+            f"WHERE c.{col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{t.to_column} = c.{col}) "
+            f"GROUP BY c.{col}")
 
 
 def summary_sql(tests) -> str:
+    # Orphans are listed by key; each of their records is a failure.
     return " UNION ALL ".join(
         f"SELECT '{t.name}' AS test_name, '{t.kind}' AS test_kind, '{t.severity}' AS severity, "
-        f"count(*) AS failures, CAST(COALESCE(sum(n_records), 0) AS BIGINT) AS failing_records "
+        f"{'CAST(COALESCE(sum(n_records), 0) AS BIGINT)' if t.kind == 'relationships' else 'count(*)'} AS failures, CAST(COALESCE(sum(n_records), 0) AS BIGINT) AS failing_records "
         f"FROM ({failing_sql(t)})" for t in tests)
 
 
@@ -301,6 +303,46 @@ def final_queries() -> dict[str, str]:
                                                  INTERVAL 1 MONTH)) AS DATE) AS d) s
         LEFT JOIN (SELECT CAST(date_trunc('month', opportunity_projected_close_date) AS DATE) AS d,
                           sum(line_item_acv_usd) AS acv FROM {F1} GROUP BY 1) x ON x.d = s.d"""
+    by_month = "CAST(date_trunc('month', f.opportunity_projected_close_date) AS DATE)"
+    number = "count(DISTINCT f.source_system || '|' || f.opportunity_number)"
+
+    def within(value: str, since: str) -> str:
+        return f"""COALESCE((SELECT {value} FROM {F1} f WHERE f.source_system = k.source_system
+                   AND {by_month} >= {since} AND {by_month} <= s.d), 0)"""
+
+    start, three = f"date_trunc('month', {CLOSE_FROM})", f"greatest(date_trunc('month', {CLOSE_FROM}), s.d - INTERVAL 2 MONTH)"
+    q["opportunities_running_by_month"] = f"""
+        SELECT s.d AS metric_time__month, k.source_system,
+               {within(number, 's.d')} AS opportunity_count,
+               {within(number, start)} AS cumulative_opportunity_count,
+               {within(number, three)} AS trailing_3_opportunity_count,
+               {money(within('sum(f.line_item_acv_usd)', start))} AS cumulative_pipeline_acv_usd,
+               {money(within('sum(f.line_item_acv_usd)', three))} AS trailing_3_pipeline_acv_usd
+        FROM (SELECT CAST(unnest(generate_series(date_trunc('month', {CLOSE_FROM}), {CLOSE_TO} + INTERVAL 6 MONTH,
+                                                 INTERVAL 1 MONTH)) AS DATE) AS d) s,
+             (SELECT DISTINCT source_system FROM {F1}) k"""
+    weeks = f"""SELECT DISTINCT activity_id, new_activity_type, CAST(date_trunc('week', activity_created_date) AS DATE) AS w
+                FROM {F2}"""
+    q["activities_trailing_by_week"] = f"""
+        SELECT * FROM (WITH ids AS ({weeks}), series AS (SELECT DISTINCT w, new_activity_type FROM ids)
+        SELECT s.w AS metric_time__week, s.new_activity_type,
+               count(DISTINCT CASE WHEN i.w = s.w THEN i.activity_id END) AS total_activities,
+               count(DISTINCT i.activity_id) AS cumulative_activities,
+               count(DISTINCT CASE WHEN i.w > s.w - INTERVAL 4 WEEK THEN i.activity_id END) AS trailing_4_activities
+        FROM series s JOIN ids i ON i.new_activity_type IS NOT DISTINCT FROM s.new_activity_type AND i.w <= s.w
+        GROUP BY 1, 2)"""
+    q["pipeline_vs_calls_filtered"] = f"""
+        SELECT * FROM (WITH p AS (SELECT a.account_segment AS seg, {money('sum(f.line_item_acv_usd)')} AS acv, {number} AS n
+                   FROM {F1} f LEFT JOIN m_dim_unified_account a ON f.account_csn = a.account_csn
+                   WHERE f.quantity > 1 AND a.account_segment IS NOT NULL AND f.source_system <> 'none' GROUP BY 1),
+             x AS (SELECT a.account_segment AS seg, count(DISTINCT f.activity_id) AS n,
+                          CAST(sum(f.call_attempt_outbound) AS BIGINT) AS calls
+                   FROM {F2} f LEFT JOIN m_dim_unified_account a ON f.account_csn = a.account_csn
+                   WHERE f.new_activity_type IN ('Call', 'Meeting') AND a.account_segment IS NOT NULL
+                     AND f.source_system <> 'none' GROUP BY 1)
+        SELECT COALESCE(p.seg, x.seg) AS account__account_segment, p.acv AS total_pipeline_acv_usd,
+               p.n AS opportunity_count, x.n AS total_activities, x.calls AS outbound_call_attempts
+        FROM p FULL OUTER JOIN x ON p.seg IS NOT DISTINCT FROM x.seg)"""
     q["dq_unique"] = summary_sql(Q.UNIQUE_TESTS)
     q["dq_not_null"] = summary_sql(Q.NOT_NULL_TESTS)
     q["dq_accepted_values"] = summary_sql(Q.ACCEPTED_TESTS)

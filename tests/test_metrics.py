@@ -106,3 +106,95 @@ def test_empty_mart_is_published(spark):
     df = spark.createDataFrame([], "source_system string, n int")
     back = write_tables(spark, {"some_mart": df})["some_mart"]
     assert back.columns == df.columns and back.count() == 0
+
+
+# --- distinct counts over periods, two keys, one filter for two facts -----------------
+
+def _deals(spark):
+    """Opportunities of two systems, seen in several months, some without a date."""
+    import random
+
+    rnd = random.Random(4)
+    rows = []
+    for _ in range(400):
+        month = rnd.choice([None, 1, 1, 2, 5, 6, 9, 12])
+        rows.append((rnd.choice("ST"), f"O{rnd.randint(1, 60)}", None if month is None else D(2024, month, rnd.randint(1, 28)), rnd.choice([1.0, 2.0, 5.0])))
+    rows += [("S", None, D(2024, 2, 2), 1.0), ("T", "O1", D(2023, 6, 1), 1.0)]
+    df = spark.createDataFrame(rows, "source_system string, opportunity_number string, opportunity_projected_close_date date, quantity double")
+    return rows, df.select("*", F.col("quantity").cast("decimal(28,8)").alias("line_item_acv_usd"), F.lit(None).cast("decimal(32,10)").alias("line_item_weighted_acv_usd"))
+
+
+def _month(d):
+    return None if d is None else d.year * 12 + d.month
+
+
+def test_running_and_trailing_distinct_counts(spark):
+    rows_, df = _deals(spark)
+    got = metric_query(df, ["opportunity_count", "cumulative_opportunity_count", "trailing_3_opportunity_count"],
+                       ["metric_time__month", "source_system"]).collect()
+    assert len(got) == len({(_month(r[2]), r[0]) for r in rows_})
+    for r in got:
+        at = _month(r["metric_time__month"])
+        own = [(o, _month(d)) for s, o, d, _ in rows_ if s == r["source_system"] and o is not None]
+        now = {o for o, m in own if m == at}
+        # Rows without a date come before all periods.
+        before = {o for o, m in own if m is None or (at is not None and m <= at)}
+        last = {o for o, m in own if m is not None and at is not None and at - 3 < m <= at} if at is not None else now
+        assert (r["opportunity_count"], r["cumulative_opportunity_count"], r["trailing_3_opportunity_count"]) == (len(now), len(before), len(last))
+
+
+def test_series_of_every_key_go_on_over_empty_periods(spark):
+    rows_, df = _deals(spark)
+    spine = spark.createDataFrame([(D(2024, m, 1),) for m in range(1, 13)] + [(D(2025, 1, 1),), (D(2025, 2, 1),)], "date_day date")
+    names = ["opportunity_count", "cumulative_opportunity_count", "trailing_3_opportunity_count", "cumulative_pipeline_acv_usd", "trailing_3_pipeline_acv_usd"]
+    got = metric_query(df, names, ["source_system", "metric_time__month"], spine=spine).collect()
+    assert len(got) == 28
+    for r in got:
+        at = _month(r["metric_time__month"])
+        own = [(o, _month(d), q) for s, o, d, q in rows_ if s == r["source_system"] and d is not None and d.year == 2024]
+        count = lambda a: len({o for o, m, _ in own if o is not None and a <= m <= at})
+        acv = lambda a: sum(q for _, m, q in own if a <= m <= at)
+        assert [r[n] for n in names] == [count(at), count(0), count(at - 2), acv(0), acv(at - 2)]
+
+
+def test_null_keys_have_a_series(spark):
+    df = spark.createDataFrame([(None, "O1", D(2024, 1, 5)), ("S", "O2", D(2024, 3, 5))], "source_system string, opportunity_number string, opportunity_projected_close_date date")
+    df = df.select("*", F.lit(1).cast("decimal(28,8)").alias("line_item_acv_usd"))
+    spine = spark.createDataFrame([(D(2024, m, 1),) for m in (1, 2, 3)], "date_day date")
+    got = metric_query(df, ["cumulative_pipeline_acv_usd"], ["metric_time__month", "source_system"], spine=spine)
+    assert rows(got) == sorted([(D(2024, m, 1), s, v) for s, vs in ((None, (1.0, 1.0, 1.0)), ("S", (0.0, 0.0, 1.0))) for m, v in zip((1, 2, 3), vs)], key=repr)
+
+
+def test_distinct_changes_merge_overlapping_stretches(spark):
+    from dimstar.plans.metrics import distinct_changes
+
+    ids = spark.createDataFrame([("a", 1), ("a", 1), ("a", 3), ("a", 9), ("b", 2)], "v string, p bigint")
+    got = {r["p"]: r["change"] for r in distinct_changes(ids, [], "p", "v", 3).collect()}
+    assert got == {1: 1, 2: 1, 5: -1, 6: -1, 9: 1, 12: -1}
+    plan = distinct_changes(ids, [], "p", "v", 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_split_conjuncts():
+    from dimstar.plans.metrics import split_conjuncts
+
+    assert split_conjuncts("a = 1 AND b BETWEEN 1 AND 2 and c IN ('x AND y', 'it''s')") == ["a = 1", "b BETWEEN 1 AND 2", "c IN ('x AND y', 'it''s')"]
+    assert split_conjuncts("(a = 1 AND b = 2) AND CASE WHEN a AND b THEN 1 END = 1") == ["(a = 1 AND b = 2)", "CASE WHEN a AND b THEN 1 END = 1"]
+    assert split_conjuncts("a = 1 OR b = 2 AND c = 3") == ["a = 1 OR b = 2 AND c = 3"]
+    assert split_conjuncts("`x AND y` = 1 AND brand = 'AND'") == ["`x AND y` = 1", "brand = 'AND'"]
+
+
+def test_one_filter_for_two_facts(pipeline, activities, dims):
+    facts = {"blended_opportunities": pipeline, "blended_opportunity_activities": activities}
+    names = ["total_activities", "opportunity_count"]
+
+    def ask(where):
+        return rows(metric_query(facts, names, ["account_csn"], dims=dims, where=where))
+
+    assert ask("quantity > 0 AND call_attempt_outbound = 1") == [("A1", 1, 1), ("A2", None, 1), (None, 1, 1)]
+    assert ask("opportunity_number = 'O2' AND account__account_segment = 'Small'") == [("A2", None, 1), ("A9", 1, None)]
+    assert ask("quantity > 100 AND account_csn IS NOT NULL") == [("A1", 1, None), ("A9", 1, None)]
+    with pytest.raises(ValueError, match="no_such_column"):
+        ask("quantity > 0 AND no_such_column = 1")
+    with pytest.raises(ValueError):
+        ask("quantity > 0 OR call_attempt_outbound = 1")

@@ -174,3 +174,20 @@ def test_cumulative_metric_matches_running_total_query(spark):
     assert a == b
     with pytest.raises(ValueError):
         metric_query(m["fct_blended_opportunities"], ["cumulative_pipeline_acv_usd"], ["source_system"])
+
+
+def test_salted_left_join_equals_left_join(spark):
+    from dimstar.operators import hot_keys, salted_left_join
+
+    parents = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4), ("a", 5), ("d", 6)], "pk string, pv int")
+    children = spark.createDataFrame([("a", 10), ("a", 10), ("b", 20), (None, 30), ("z", 40), ("d", 7)]
+                                     + [("a", 100 + i) for i in range(50)], "ck string, cv int")
+    extra = spark.createDataFrame([(10, "x"), (11, "y"), (120, "z")], "ek int, ev string")
+    look = lambda d: d.join(extra, F.col("cv") == F.col("ek"), "left")
+    want = parents.join(children, F.col("pk") == F.col("ck"), "left")
+    assert hot_keys(children, "ck", least=10, share=1.0) == ["a"] and hot_keys(children, "ck") == []
+    for hot in ([], ["a"], ["a", "d"]):
+        got = salted_left_join(parents, children, "pk", "ck", hot, salts=8)
+        assert rows_of(got, "pk", "pv", "ck", "cv") == rows_of(want, "pk", "pv", "ck", "cv")
+        got = salted_left_join(parents, children, "pk", "ck", hot, look, salts=8)
+        assert rows_of(got, "pk", "pv", "cv", "ev") == rows_of(look(want), "pk", "pv", "cv", "ev")

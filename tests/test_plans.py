@@ -120,3 +120,46 @@ def test_row_tests_share_a_scan(spark):
     tests = Q.NOT_NULL_TESTS + Q.ACCEPTED_TESTS
     plan = Q.summary(tests, m)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") <= 2 * len({t.model for t in tests}) * 2
+
+
+def _scans(df, column):
+    """Relations in the plan that read the column."""
+    return sum(1 for line in plan_of(df).splitlines() if ("Scan" in line or "FileScan" in line) and f"{column}#" in line)
+
+
+@pytest.fixture(scope="module")
+def staged(spark):
+    from dimstar.plans.publish import stage_sources
+    from dimstar.queries import _ctx
+
+    return stage_sources(spark, _ctx(spark, SF_SMALL)[0])
+
+
+def test_lines_and_quotes_are_scanned_once(spark, staged):
+    from dimstar.params import TEST_PARAMS
+    from dimstar.plans import opportunity_lines as P
+
+    edh, acs = P.edh_opportunity_lines(staged, TEST_PARAMS), P.acs_opportunity_lines(staged, TEST_PARAMS)
+    assert _scans(edh, "line_item_number") == 1 and _scans(edh, "quote_number") == 1 and _scans(edh, "offering_id") == 2
+    assert _scans(acs, "est_annualized_amount_c") == 1 and plan_of(edh).count("Window [") == 1
+
+
+def test_foreign_keys_are_counted_before_they_are_shuffled(spark, staged):
+    from dimstar.params import TEST_PARAMS
+    from dimstar.plans import quality as Q
+    from dimstar.plans.publish import write_tables
+    from dimstar.queries import marts
+
+    m = write_tables(spark, marts(staged, TEST_PARAMS))
+    plan = plan_of(Q._orphans(list(Q.ACTIVITY_REL_TESTS), m))
+    fact = [line for line in plan.splitlines() if "FileScan" in line and "ownerid#" in line]
+    assert len(fact) == 1  # five foreign keys, one pass
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "ownerid#" in line and "FileScan" in line)
+    above = [line for line in lines[:at] if "Exchange" in line or "partial_count" in line]
+    assert "partial_count" in above[-1]  # the first step over the fact is the partial count
+    # All tests: a mart is read for its row tests, its foreign keys and its unique key, and as a parent.
+    every = plan_of(Q.all_failing_rows(Q.ALL_TESTS, m))
+    assert sum("FileScan" in x and "activity_id#" in x for x in every.splitlines()) == 1
+    row_tests = plan_of(Q.all_failing_rows(Q.NOT_NULL_TESTS + Q.ACCEPTED_TESTS, m))
+    assert sum("FileScan" in x for x in row_tests.splitlines()) == len({t.model for t in Q.NOT_NULL_TESTS + Q.ACCEPTED_TESTS})

@@ -85,3 +85,44 @@ def test_activity_fact_with_a_hot_opportunity(spark):
     assert "SortMergeJoin(skew=true)" in plan
     assert got == want
     assert sum(1 for r in got if r[1] == "A-1") > len(got) // 4
+
+
+def test_salted_join_deals_a_hot_child_key_over_tasks(spark):
+    from dimstar.operators import hot_keys, salted_left_join
+
+    with conf(spark, **{**SMALL_SKEW, "spark.sql.adaptive.skewJoin.enabled": "false"}):
+        parents, children = _hot(spark)
+        hot = hot_keys(children, "ck", least=20_000, share=0.05)
+        assert hot == ["HOT"]
+
+        def largest(df):
+            return max(r["count"] for r in df.groupBy(F.spark_partition_id().alias("t")).count().collect())
+
+        want = parents.join(children, F.col("pk") == F.col("ck"), "left")
+        got = salted_left_join(parents, children, "pk", "ck", hot)
+        assert got.count() == want.count()
+        assert largest(want) > 40_000 and largest(got) < 30_000
+
+
+def test_fact_with_a_hot_opportunity_of_lines(spark):
+    from conftest import rows_of
+    from dimstar.operators import joins
+    from dimstar.params import TEST_PARAMS
+    from dimstar.plans import opportunity_lines as P
+    from dimstar.queries import _ctx
+
+    src, _ = _ctx(spark, "/root/testdata/sf0.001")
+    lines = src.edh_opportunity_line_item
+    top = P.edh_opportunity_lines(src, TEST_PARAMS).first()["opportunity_number"]
+    hot = lines.withColumn("opportunity_number", F.when(F.xxhash64("line_item_number") % 3 == 0, F.lit(top)).otherwise(F.col("opportunity_number")))
+    skewed = src.replace(edh_opportunity_line_item=hot)
+    cols = ("opportunity_number", "line_item_number", "line_item_acv_usd", "offering_name")
+    want = rows_of(P.edh_opportunity_lines(skewed, TEST_PARAMS), *cols)
+    old = joins.hot_keys.__defaults__
+    joins.hot_keys.__defaults__ = (100, 1.0, 5)
+    try:
+        df = P.edh_opportunity_lines(skewed, TEST_PARAMS)
+        assert "__salt" in df._jdf.queryExecution().optimizedPlan().toString()
+        assert rows_of(df, *cols) == want
+    finally:
+        joins.hot_keys.__defaults__ = old
