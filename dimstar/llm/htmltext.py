@@ -1,8 +1,9 @@
 """Main text of HTML pages: structure, and differences to the page of the nearest URL.
 
 Pages are dealt out in the order of host and path, so each task holds runs of
-neighbours.  A page is paired with the neighbour on the same host whose path
-begins alike the longest; the lines of both are aligned by their longest
+neighbours.  Pages of equal lines (copies) count as one.  A page is paired
+with the neighbour on the same host whose path begins alike the longest, of
+those whose lines differ; the lines of both are aligned by their longest
 common subsequence, and lines they share are the site's, not the page's.
 
 Lines are blocks of the page, each with what its markup says about it:
@@ -17,9 +18,11 @@ A word of a longer class name (``nav-open``) may speak of the layout instead:
 a whole name, and one inside a marked element is the body of a page that has
 no other.
 
-If a page has body lines, these are its text.  Otherwise its text is the
-unmarked lines that it doesn't share.  (A paragraph quoted on many pages of
-a host is shared as well: marked body lines are therefore not deleted.)
+The difference deletes the shared lines of every page, but for body lines: a
+paragraph quoted on many pages of a host is shared and yet the page's own.  Of
+what is left, a page with body lines has these as its text, any other its
+unmarked lines; marked furniture that the nearest page lacks (an advert, say)
+goes by its mark.
 """
 
 from __future__ import annotations
@@ -85,38 +88,44 @@ def lines(html: str | None) -> list[Line]:
     """The blocks of a page with text, in page order, white space tidied."""
     html = html or ""
     out: list[Line] = []
-    parts: list[str] = []
+    parts: list[tuple[str, str]] = []  # pieces of the open block, each with its kind
+    endless: set[str] = set()  # raw elements of which no end follows
     stack: list[tuple[str, str]] = []  # open elements, and the kind of what is inside
     at, kind = 0, "unmarked"
     strict = 0  # depth of the outermost open element that a whole name marks, 0 without one
 
     def flush() -> None:
-        text = " ".join(unescape("".join(parts)).split())
-        if text:
-            out.append((text, kind))
+        """The block's own text, and what stood in furniture inside it as a line apart."""
+        for inside in (False, True):
+            own = [p for p in parts if (p[1] == "furniture") is inside]
+            text = " ".join(unescape("".join(t for t, _ in own)).split())
+            if text:
+                out.append((text, next(k for t, k in own if t.strip())))
         parts.clear()
 
     lower = None
     found = MARKUP.search(html)
     while found:
-        parts.append(html[at : found.start()])
+        parts.append((html[at : found.start()], kind))
         at = found.end()
         closing, name, attributes = (found[1], found[2], found[3]) if found[2] else (found[4], found[5], found[6])
         if name:
             name = name.lower()
             if name in RAW and not closing and not attributes.endswith("/"):
                 lower = lower or html.lower()
-                if name == "head":
-                    end = next((i for i in (lower.find("</head", at), lower.find("<body", at)) if i >= 0), -1)
-                else:
-                    end = lower.find("</" + name, at)
+                end = -1
+                if name not in endless:
+                    ends = ("</head", "<body") if name == "head" else ("</" + name,)
+                    end = next((i for i in (lower.find(e, at) for e in ends) if i >= 0), -1)
+                    if end < 0:
+                        endless.add(name)
                 # Without an end, an element that only holds text ends with the page; others are ignored.
                 if end >= 0:
                     at = end
                 elif name in {"script", "style", "textarea"}:
                     at = len(html)
             elif name == "br":
-                parts.append(" ")
+                parts.append((" ", kind))
             elif name not in EMPTY:
                 if name in BLOCKS:
                     flush()
@@ -146,7 +155,7 @@ def lines(html: str | None) -> list[Line]:
                         strict = strict if strict <= depth else 0
                         kind = stack[-1][1] if stack else "unmarked"
         found = MARKUP.search(html, at)
-    parts.append(html[at:])
+    parts.append((html[at:], kind))
     flush()
     kinds = {k for _, k in out}
     # An article inside a marked element: the body of a page without another; where a whole name marks it, of one without any other text.
@@ -233,22 +242,19 @@ def _last(a: list[str], b: list[str]) -> Iterator[int]:
 
 def main_text(page: list[Line], other: list[Line] | None) -> tuple[str, int]:
     """The main text of a page, given its nearest page; and how many shared lines the difference deleted."""
-    body = [t for t, kind in page if kind == "body"]
-    if body:
-        return "\n\n".join(body), 0
     shared = common_lines([t for t, _ in page], [t for t, _ in other]) if other else set()
-    own = [t for i, (t, kind) in enumerate(page) if kind == "unmarked" and i not in shared]
-    return "\n\n".join(own), sum(kind == "unmarked" for _, kind in page) - len(own)
+    left = [(t, kind) for i, (t, kind) in enumerate(page) if kind == "body" or i not in shared]
+    wanted = "body" if any(kind == "body" for _, kind in left) else "unmarked"
+    return "\n\n".join(t for t, kind in left if kind == wanted), len(page) - len(left)
 
 
 @dataclass
-class _Page:
-    row: tuple
+class _Group:
+    """Neighbouring pages of equal lines on one host: their rows and paths, and the lines once."""
+
     host: str
-    path: str
     lines: list[Line]
-    alike: int = 0  # letters in common with the path before
-    before: list[Line] | None = None
+    rows: list[tuple[tuple, str]]
 
 
 def _alike(a: str, b: str) -> int:
@@ -256,20 +262,43 @@ def _alike(a: str, b: str) -> int:
     return next((i for i in range(n) if a[i] != b[i]), n)
 
 
-def _extract(pages: Iterator[_Page]) -> Iterator[tuple]:
-    """Texts of pages in order of host and path; two neighbours are held at a time."""
-    held: _Page | None = None
-    for page in pages:
-        near = held is not None and held.host == page.host != ""
-        if near:
-            page.before, page.alike = held.lines, _alike(held.path, page.path) + 1
+def _groups(pages: Iterator[tuple[tuple, str, str, list[Line]]]) -> Iterator[_Group]:
+    held: _Group | None = None
+    for row, host, path, page in pages:
+        if held is not None and held.host == host and held.lines == page:
+            held.rows.append((row, path))
+            continue
         if held is not None:
-            after = page.lines if near and page.alike > held.alike else held.before
-            yield (*held.row, *main_text(held.lines, after))
-            held.before = None
-        held = page
+            yield held
+        held = _Group(host, page, [(row, path)])
     if held is not None:
-        yield (*held.row, *main_text(held.lines, held.before))
+        yield held
+
+
+def _extract(pages: Iterator[tuple[tuple, str, str, list[Line]]]) -> Iterator[tuple]:
+    """Texts of pages in order of host and path; three groups of copies are held at a time."""
+
+    def texts(before: _Group | None, group: _Group, after: _Group | None) -> Iterator[tuple]:
+        if before is not None and not before.host == group.host != "":
+            before = None
+        if after is not None and not after.host == group.host != "":
+            after = None
+        made: dict[bool, tuple[str, int]] = {}
+        for row, path in group.rows:
+            # Of two equally near the one before counts.
+            later = after is not None and (before is None or _alike(after.rows[0][1], path) > _alike(before.rows[-1][1], path))
+            if later not in made:
+                near = after if later else before
+                made[later] = main_text(group.lines, near and near.lines)
+            yield (*row, *made[later])
+
+    before = group = None
+    for after in _groups(pages):
+        if group is not None:
+            yield from texts(before, group, after)
+        before, group = group, after
+    if group is not None:
+        yield from texts(before, group, None)
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -277,10 +306,12 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
 
     text: the main text, blocks joined by an empty line; empty if there is
     none (NULL or empty html).  n_chars: its code points.  n_shared: the
-    unmarked lines deleted because the nearest page has them too.  A page
-    with an empty host (NULL or malformed URL), or without a neighbour of
-    its host in its task's run, has no nearest page; of two equally near
-    the one before counts.
+    lines deleted because the nearest page has them too.  A page with an
+    empty host (NULL or malformed URL), or without a neighbour of its host
+    and of other lines in its task's run, has no nearest page; of two
+    equally near the one before counts.  Copies of a page have the same
+    text.  Very long pages are read whole; an empty table gives an empty
+    result; other columns are not read.
     """
     reachable(pages.sparkSession)
     host, path = host_and_path(F.col(f"`{url}`"))
@@ -291,11 +322,11 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def read() -> Iterator[_Page]:
+        def read() -> Iterator[tuple[tuple, str, str, list[Line]]]:
             for batch in batches:
                 for i in range(batch.num_rows):
                     k, u, h, on, at = (batch.column(c)[i].as_py() for c in range(5))
-                    yield _Page((k, u), on, at, lines(h))
+                    yield (k, u), on, at, lines(h)
 
         def send(part: list[tuple]) -> pa.RecordBatch:
             k, u, text, n = zip(*part)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimstar.llm.common import crc_mod, keep_rows, map_texts, sample_per_class, segment_sums, word_blocks
+from dimstar.llm.common import crc_mod, hash_share, keep_rows, map_texts, materialize, segment_sums, word_blocks
 
 UNKNOWN = "und"
 MEMO = 200_000
@@ -133,14 +133,36 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def _examples(docs: DataFrame, params: Params, text: str, lang: str) -> DataFrame:
-    """Subword counts of each document and of some short passages of it."""
+def _passages(words: list[bytes], params: Params) -> Iterator[list[bytes]]:
+    """A document's words, and some short passages of it."""
+    yield words
+    step = max(1, len(words) // (params.pieces + 1))
+    for k in range(params.pieces if len(words) > 2 * params.piece_words else 0):
+        yield words[k * step : k * step + params.piece_words]
 
-    def passages(words: list[bytes]) -> Iterator[list[bytes]]:
-        yield words
-        step = max(1, len(words) // (params.pieces + 1))
-        for k in range(params.pieces if len(words) > 2 * params.piece_words else 0):
-            yield words[k * step : k * step + params.piece_words]
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.array([h for w in words for h in subwords(w)], np.int64)
+
+
+def _sample(known: DataFrame, params: Params) -> DataFrame:
+    """key, lang, text, held of about ``per_language`` documents of each language, as a table.
+
+    Rows of one key count once.  Languages are classes: their counts come to
+    the driver.  A sixth of the sample is held back for calibration.
+    """
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    share = F.lit(0.0)
+    for value, n in sorted(counts.items()):
+        share = F.when(F.col("lang") == F.lit(value), F.lit(min(1.0, params.per_language / n))).otherwise(share)
+    picked = known.where(hash_share(F.col("key")) < share).groupBy("key").agg(F.min(F.struct("lang", "text")).alias("row"))
+    held = F.pmod(F.xxhash64("key", F.lit(params.seed)), F.lit(6)) == 0
+    return materialize(picked.select("key", "row.*", held.alias("held")), "language-sample")
+
+
+def _examples(sample: DataFrame, params: Params) -> DataFrame:
+    """Bucket counts of each document and of some short passages of it: two or four bytes a bucket, four a count."""
+    kind = _bucket_type(params)
 
     def make():
         def work(column: pa.Array) -> dict:
@@ -148,15 +170,26 @@ def _examples(docs: DataFrame, params: Params, text: str, lang: str) -> DataFram
             for _, block in word_blocks(column):
                 for words in block:
                     made = []
-                    for passage in passages(words):
-                        found = np.array([h for w in passage for h in subwords(w)], np.int64)
-                        made.append(np.stack(np.unique(found, return_counts=True), axis=1).astype("<i8").tobytes())
+                    for passage in _passages(words, params):
+                        bucket, n = np.unique(_hashes(passage) % params.buckets, return_counts=True)
+                        made.append(bucket.astype(kind).tobytes() + n.astype("<u4").tobytes())
                     out.append(made)
             return {"examples": pa.array(out, pa.list_(pa.binary()))}
 
         return work
 
-    return map_texts(docs, ["key", lang], text, "examples array<binary>", make)
+    return map_texts(sample, ["key", "lang", "held"], "text", "examples array<binary>", make)
+
+
+def _bucket_type(params: Params) -> str:
+    return "<u2" if params.buckets <= 1 << 16 else "<u4"
+
+
+def _example(x: bytes, params: Params) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and counts, as views of the bytes."""
+    kind = np.dtype(_bucket_type(params))
+    n = len(x) // (kind.itemsize + 4)
+    return np.frombuffer(x, kind, n), np.frombuffer(x, "<u4", n, n * kind.itemsize)
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
@@ -166,31 +199,23 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     Rows without text or language are left out; without any labelled row
     the model knows no language and answers ``und``.
     """
-    known = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias(text), F.col(f"`{lang}`").alias(lang))
-    known = known.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    sample = _examples(sample_per_class(known, "key", lang, params.per_language), params, text, lang)
-    rows = sorted((str(r["key"]), r[lang], [bytes(x) for x in r["examples"]]) for r in sample.collect())
-    return train(rows, params)
+    known = docs.select(F.col(f"`{key}`").cast("string").alias("key"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
+    sample = _sample(known.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")), params)
+    model = train(sorted((str(r["key"]), r["lang"], r["held"], [bytes(x) for x in r["examples"]]) for r in _examples(sample, params).collect()), params)
+    if model.languages:
+        hashes, only = _seen(sample, model.languages)
+        model.seen = hashes
+        _set_limit(model, _held_shares(sample, model.languages, hashes, only, params))
+    return model
 
 
-def train(rows: list[tuple[str, str, list[bytes]]], params: Params = Params()) -> LanguageModel:
-    """The model of examples in the form that ``_examples`` makes: (key, language, counts)."""
-    languages = sorted({lang for _, lang, _ in rows})
+def train(rows: list[tuple[str, str, bool, list[bytes]]], params: Params = Params()) -> LanguageModel:
+    """The model of examples in the form that ``_examples`` makes: (key, language, held, counts)."""
+    languages = sorted({lang for _, lang, _, _ in rows})
     if not languages:
         return LanguageModel([], np.zeros((params.buckets, 0)), np.zeros(0))
     rng = np.random.default_rng(params.seed)
-    part = rng.permutation(len(rows))
-    held = set(part[: len(rows) // 6].tolist())
-
-    def counted(x: bytes) -> np.ndarray:
-        return np.frombuffer(x, "<i8").reshape(-1, 2)
-
-    def example(x: bytes) -> tuple[np.ndarray, np.ndarray]:
-        m = counted(x)
-        bucket, at = np.unique(m[:, 0] % params.buckets, return_inverse=True)
-        return bucket, np.bincount(at, m[:, 1], len(bucket)) / max(1, m[:, 1].sum())
-
-    data = [(example(x), languages.index(lang)) for i, (_, lang, xs) in enumerate(rows) if i not in held for x in xs if x]
+    data = [(x, languages.index(lang)) for _, lang, held, xs in rows if not held for x in xs if x]
     embed = rng.normal(0, 0.1, (params.buckets, params.size))
     weights, bias = rng.normal(0, 0.1, (params.size, len(languages))), np.zeros(len(languages))
     steps, done = params.epochs * -(-len(data) // params.batch), 0
@@ -198,8 +223,9 @@ def train(rows: list[tuple[str, str, list[bytes]]], params: Params = Params()) -
         order = rng.permutation(len(data))
         for start in range(0, len(order), params.batch):
             chosen = [data[i] for i in order[start : start + params.batch]]
-            sizes = np.array([len(x[0]) for x, _ in chosen])
-            at, share = np.concatenate([x[0] for x, _ in chosen]), np.concatenate([x[1] for x, _ in chosen])[:, None]
+            parts = [_example(x, params) for x, _ in chosen]
+            sizes = np.array([len(at) for at, _ in parts])
+            at, share = np.concatenate([at for at, _ in parts]), np.concatenate([n / n.sum() for _, n in parts])[:, None]
             hidden = segment_sums(embed[at] * share, sizes)
             error = _softmax(hidden @ weights + bias)
             error[np.arange(len(chosen)), [y for _, y in chosen]] -= 1
@@ -211,34 +237,72 @@ def train(rows: list[tuple[str, str, list[bytes]]], params: Params = Params()) -
             np.add.at(embed, at, -10 * rate * back / len(chosen) * params.size)
             done += 1
     model = LanguageModel(languages, embed @ weights, bias)
-    learnt = {
-        lang: np.unique(np.concatenate([np.zeros(0, np.int64), *(counted(xs[0])[:, 0] for i, (_, g, xs) in enumerate(rows) if i not in held and g == lang)]))
-        for lang in languages
-    }
-    _set_limit(model, learnt, [(lang, [counted(x) for x in xs if x]) for i, (_, lang, xs) in enumerate(rows) if i in held])
-    return _calibrate(model, [(*example(xs[0]), languages.index(lang)) for i, (_, lang, xs) in enumerate(rows) if i in held and xs[0]], params)
+    first = [(_example(xs[0], params), languages.index(lang)) for _, lang, held, xs in rows if held and xs[0]]
+    return _calibrate(model, [(at, n / n.sum(), k) for (at, n), k in first], params)
 
 
-def _set_limit(model: LanguageModel, learnt: dict[str, np.ndarray], held: list[tuple[str, list[np.ndarray]]]) -> None:
-    """The subwords of the training documents, and the limit of the share of others.
+def _seen(sample: DataFrame, languages: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The subwords of the training documents, sorted; and of each the one language that has it, -1 for several.
+
+    United in Spark: a task gives each of its subwords once.
+    """
+    index = {g: i for i, g in enumerate(languages)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, int] = {}
+        for b in batches:
+            for _, block in word_blocks(b.column(0)):
+                for i, words in enumerate(block, _):
+                    own = index[b.column(1)[i].as_py()]
+                    for w in set(words):
+                        for h in subwords(w):
+                            if found.setdefault(h, own) != own:
+                                found[h] = -1
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int32())], ["h", "g"])
+
+    parts = sample.where(~F.col("held")).select("text", "lang").mapInArrow(run, "h long, g int")
+    one = F.when(F.min("g") == F.max("g"), F.max("g")).otherwise(-1)
+    table = parts.groupBy("h").agg(one.cast("int").alias("g")).toArrow()
+    hashes, only = table.column("h").to_numpy(), table.column("g").to_numpy()
+    order = np.argsort(hashes)
+    return hashes[order], only[order]
+
+
+def _held_shares(sample: DataFrame, languages: list[str], hashes: np.ndarray, only: np.ndarray, params: Params) -> list[tuple[list[float], float]]:
+    """Of each held document: the shares of unseen subwords in it and its passages; and in it, had only the other languages been learnt."""
+    shared = sample.sparkSession.sparkContext.broadcast((hashes, only))  # of the bounded sample
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, owner = shared.value
+        own, foreign = [], []
+        for b in batches:
+            for at, block in word_blocks(b.column(0)):
+                for i, words in enumerate(block, at):
+                    lang = languages.index(b.column(1)[i].as_py())
+                    found = [x for x in (_hashes(p) for p in _passages(words, params)) if len(x)]
+                    if found:
+                        own.append([float(_unseen(x, seen).mean()) for x in found])
+                        place = np.minimum(np.searchsorted(seen, found[0]), max(0, len(seen) - 1))
+                        foreign.append(float((_unseen(found[0], seen) | (owner[place] == lang)).mean()) if len(seen) else 1.0)
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.float64())), pa.array(foreign, pa.float64())], ["own", "other"])
+
+    rows = sample.where("held").select("text", "lang").mapInArrow(run, "own array<double>, other double").collect()
+    shared.unpersist()
+    return [(list(r["own"]), r["other"]) for r in rows]
+
+
+def _set_limit(model: LanguageModel, held: list[tuple[list[float], float]]) -> None:
+    """The limit of the share of unseen subwords.
 
     The limit is never below the share of a held document or passage.  It
     goes half way up to the low shares of foreign text, for which each
     language stands in with the other languages' subwords alone.
     """
-    def union(parts: list[np.ndarray]) -> np.ndarray:
-        return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
-
-    def share(m: np.ndarray, seen: np.ndarray) -> float:
-        return float(m[_unseen(m[:, 0], seen), 1].sum() / m[:, 1].sum())
-
-    model.seen = union(list(learnt.values()))
     if len(held) < 10:
         return
-    own = max((share(m, model.seen) for _, xs in held for m in xs), default=1.0)
-    others = {g: union([x for h, x in learnt.items() if h != g]) for g in learnt}
-    foreign = [share(xs[0], others[g]) for g, xs in held if xs] if len(learnt) > 1 else [1.0]
-    model.limit = max(own, (own + float(np.quantile(foreign, 0.05))) / 2) if foreign else 1.0
+    own = max(x for shares, _ in held for x in shares)
+    foreign = [x for _, x in held] if len(model.languages) > 1 else [1.0]
+    model.limit = max(own, (own + float(np.quantile(foreign, 0.05))) / 2)
 
 
 def _calibrate(model: LanguageModel, held: list[tuple[np.ndarray, np.ndarray, int]], params: Params) -> LanguageModel:
@@ -260,6 +324,8 @@ def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: st
 
     NULL texts and texts without a letter: ``und``, score 0, not accepted.
     Foreign texts get the best of the known languages, but aren't accepted.
+    Repeated rows are judged each; very long texts whole; an empty table
+    gives an empty result.  Other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size: buckets x languages
 

@@ -75,6 +75,73 @@ def test_marks_do_not_swallow_the_article(html, text):
     assert main_text(lines(html), None)[0] == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<article><p>One <span class='ad-label'>Ad</span> two</p></article>", "One two"),
+    ("<article><p>Real text <button>b</p><p>next</p></article>", "Real text\n\nnext"),
+    ("<article><p>A <label>l</label><b>b</b></p><button>go</button></article>", "A b"),
+    ("<p>x <span class=share>s</span>y</p>", "x y"),
+])
+def test_furniture_inside_a_line(html, text):
+    assert main_text(lines(html), None)[0] == text
+
+
+def test_many_unclosed_elements_take_linear_time():
+    for name in ("svg", "iframe", "head", "title"):
+        assert main_text(lines(f"<p>a</p>{f'<{name}>' * 40_000}<p>b"), None)[0].startswith("a")
+    long = "<article>" + "".join(f"<p>line {i % 97} of a very long page</p>" for i in range(60_000)) + "</article>"
+    assert main_text(lines(long), lines(long.replace("line 5 ", "row 5 ")))[0].count("\n\n") == 59_999
+
+
+def article(*own):
+    return f"<nav>Menu</nav><article>{''.join(f'<p>{x}</p>' for x in own)}</article><div class=ad>Advert</div><footer>Foot</footer>"
+
+
+def test_the_difference_deletes_all_shared_lines_but_body_lines():
+    quoted = "a paragraph that many pages of the host quote word for word and in full"
+    a, b = (lines(article(quoted, f"text {x}", "Quoted too")) for x in "ab")
+    # Menu, advert and footer go by the difference, quoted paragraphs of the article stay.
+    assert main_text(a, b) == (f"{quoted}\n\ntext a\n\nQuoted too", 3)
+    assert main_text(a, None) == (f"{quoted}\n\ntext a\n\nQuoted too", 0)
+
+
+def nearest(rows, at):
+    """The nearest page of other lines before or after a page, by trying all."""
+    host, path, own = rows[at]
+    before = next((r for r in rows[:at][::-1] if r[2] != own or r[0] != host), None)
+    after = next((r for r in rows[at + 1 :] if r[2] != own or r[0] != host), None)
+    near = [(len(_common(path, r[1])), -k, r[2]) for k, r in enumerate((before, after)) if r is not None and r[0] == host != ""]
+    return max(near)[2] if near else None
+
+
+def _common(a, b):
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    return a[:n]
+
+
+def test_pairing_against_all_neighbours():
+    import random
+
+    rnd = random.Random(6)
+    rows = sorted((rnd.choice(["h", "i", ""]), f"/{rnd.choice('ab')}/{rnd.randint(0, 30)}", lines(page(rnd.choice(["x", "y"]), f"t{rnd.randint(0, 5)}"))) for _ in range(400))
+    # Between two groups of copies the last and the first member are the neighbours.
+    got = list(htmltext._extract(((i, ""), *r) for i, r in enumerate(rows)))
+    assert [g[0] for g in got] == list(range(400))
+    for i, (host, _, own) in enumerate(rows):
+        want = nearest(rows, i)
+        assert got[i][2] == main_text(own, want)[0]
+
+
+def test_copies_over_partitions_have_one_text(spark):
+    rows = [(i, f"http://h/p/{i % 4}?q={i}", page("alpha", "beta")) for i in range(300)] + [(1000 + i, f"http://h/q/{i}", page(f"own {i}")) for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r["page_id"]: r["text"] for r in extract(pages).collect()}
+    assert all(got[1000 + i] in (f"own {i}", f"Site name\n\nown {i}\n\nContact") for i in range(300))
+    assert sum(got[1000 + i] == f"own {i}" for i in range(300)) >= 284
+    assert all("alpha\n\nbeta" in got[i] for i in range(300))
+
+
 def page(*own):
     return "".join(f"<div>{x}</div>" for x in ("Site name", *own, "Contact"))
 
@@ -91,7 +158,7 @@ def test_pages_without_marks_lose_what_the_nearest_page_has(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert {k: r["text"] for k, r in got.items()} == {
-        1: "", 6: "", 2: "gamma", 3: "Site name\n\ndelta\n\nContact", 4: "Site name\n\nalone\n\nContact",
+        1: "alpha\n\nbeta", 6: "alpha\n\nbeta", 2: "gamma", 3: "Site name\n\ndelta\n\nContact", 4: "Site name\n\nalone\n\nContact",
         5: "Site name\n\nno url\n\nContact", 7: "", None: ""}
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
     assert got[2]["n_shared"] == 2 and got[2]["url"] == "http://h/a/2"
