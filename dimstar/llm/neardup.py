@@ -17,7 +17,9 @@ only pairs which are linked already:
    node comes first: pairs that differ in many more bits than a link would
    (``slack`` standard deviations) are no link and are not compared further.
 
-Whoever shares a bucket ends up in one component, or has been compared.
+So two documents that share a bucket end up in one component, or have been
+compared on their whole sets, or differ in so many bits that they are no link:
+a pair at the threshold fails that filter with a probability of 3e-6.
 """
 
 from __future__ import annotations

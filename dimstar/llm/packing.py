@@ -9,7 +9,9 @@ bucket holds as many sequences as the token budget allows at that boundary.
 
 Batches are filled inside groups of about ``group_rows`` sequences of a
 bucket, dealt by hash, so no task holds a whole bucket; the price is at most
-one batch per group that is not full.
+one batch per group that is not full.  The hash is that of key and text, so
+any run deals a document alike; rows that are repeated more often than a
+group has room are dealt by their place in the written table as well.
 """
 
 from __future__ import annotations
@@ -23,6 +25,9 @@ from pyspark.sql import functions as F
 from dimstar.llm.common import WORD, materialize
 
 
+BROADCAST_HASHES = 1_000_000  # at most so many hashes (8 MB) are broadcast
+
+
 @dataclass(frozen=True)
 class Params:
     max_tokens: int = 4096
@@ -36,15 +41,16 @@ def word_count(text: Column) -> Column:
 
 
 def sequences(docs: DataFrame, params: Params = Params(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, start, n_tokens, deal: one row for each piece of each document; no words: one piece of length 0.
+    """doc_id, start, row, n_tokens, deal: one row for each piece of each document; no words: one piece of length 0.
 
-    ``deal`` is a hash that spreads the pieces over groups.
+    ``deal`` is a hash that spreads the pieces over groups, alike for equal
+    rows; ``row`` a number of the piece.
     """
     t = F.col(f"`{text}`")
     n = docs.select(F.col(f"`{key}`").alias(key), word_count(t).alias("words"), F.xxhash64(F.col(f"`{key}`"), t).alias("deal"))
     step = F.lit(params.max_tokens).cast("long")
     cut = n.select(key, "words", "deal", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("words") - 1, F.lit(0).cast("long")), step)).alias("start"))
-    return cut.select(key, "start", F.least(F.col("words") - F.col("start"), step).alias("n_tokens"), F.xxhash64("deal", "start").alias("deal"))
+    return cut.select(key, "start", F.monotonically_increasing_id().alias("row"), F.least(F.col("words") - F.col("start"), step).alias("n_tokens"), F.xxhash64("deal", "start").alias("deal"))
 
 
 def boundaries(lengths: list[int], counts: list[int], buckets: int) -> tuple[list[int], int]:
@@ -84,11 +90,20 @@ def pack(docs: DataFrame, params: Params = Params(), key: str = "doc_id", text:
     bucket is the boundary the piece is padded to; slot its place (from 0)
     in the batch; a batch's slots times its bucket stay within the budget
     (a boundary above the budget: one piece per batch).  NULL and empty
-    texts are pieces of length 0.  Repeated rows are packed each.
+    texts are pieces of length 0.  Repeated rows are packed each, very long
+    texts whole, in pieces; a NULL key is a key.  An empty table gives an
+    empty result; other columns are not read.
     """
     seqs = materialize(sequences(docs, params, key, text), "lengths")
     histogram = sorted((r[0], r[1]) for r in seqs.groupBy("n_tokens").count().collect())  # max_tokens + 1 rows at most
     bounds, _ = boundaries([n for n, _ in histogram], [c for _, c in histogram], params.buckets)
+    often = seqs.groupBy("deal").agg(F.count("*").alias("n")).where(F.col("n") > params.group_rows).select("deal")
+    if not often.isEmpty():
+        # At most one hash for each group_rows rows.
+        often = materialize(often, "often")
+        often = F.broadcast(often) if often.count() <= BROADCAST_HASHES else often
+        hot = often.withColumn("hot", F.lit(True))
+        seqs = seqs.join(hot, "deal", "left").withColumn("deal", F.when(F.col("hot"), F.xxhash64("deal", "row")).otherwise(F.col("deal"))).drop("hot")
     bucket, capacity, groups = F.lit(None).cast("long"), F.lit(1), F.lit(1)
     low = -1
     for bound in bounds:

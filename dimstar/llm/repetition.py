@@ -181,7 +181,8 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: Rules
     ``max_covered_percent`` of them inside repeats of ``window`` words or
     more.  kept: not base_failed, and the longest repeat is within
     ``max_longest``.  NULL and empty texts have no words: base_failed, not
-    kept.  Repeated rows give repeated rows.
+    kept.  Repeated rows give repeated rows; an empty table gives an empty
+    result.
     """
 
     def make():

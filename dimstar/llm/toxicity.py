@@ -253,7 +253,11 @@ def features(docs: DataFrame, model: ToxicModel, keep: list[str], text: str = "t
 
 
 def score(docs: DataFrame, model: ToxicModel, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row: key, score, predicted.  NULL and empty texts score as texts of neutral words."""
+    """One row per row: key, score, predicted.
+
+    NULL and empty texts score as texts of neutral words; repeated rows are
+    scored each, very long texts whole; an empty table gives an empty result.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():

@@ -11,8 +11,12 @@ Two kinds of rules:
 * ``HostRule(verdict, host, path)`` fits the host and its subdomains where
   the path starts with ``path``; the longest fitting one decides.
 * ``Pattern(verdict, words)``: the words appear one after another as whole
-  tokens, separated by characters that are neither letters nor digits.
-  Where no host rule fits, a URL is blocked if a blocking pattern matches.
+  tokens, separated by characters that are neither letters nor digits, A-Z
+  and a-z alike.  Where no host rule fits, a URL is blocked if a blocking
+  pattern matches.
+
+Rules are literal rows of the plan, whatever list they come from: the ones
+below, or a table (``from_table``).
 """
 
 from __future__ import annotations
@@ -43,10 +47,10 @@ class HostRule:
 
     @property
     def tokens(self) -> list[str]:
-        """Tokens that any fitting URL has whole: an open end of the path may run on."""
+        """Tokens, in lower case, that any fitting URL has whole: an open end of the path may run on."""
         whole = self.host + self.path
         closed = whole if not whole[-1:].isascii() or not whole[-1:].isalnum() else re.sub(r"[A-Za-z0-9]+$", "", whole)
-        return [t for t in re.split(SEPARATORS, closed) if t]
+        return [t for t in re.split(SEPARATORS, lowered(closed)) if t]
 
 
 @dataclass(frozen=True)
@@ -60,12 +64,18 @@ class Pattern:
 
     @property
     def regex(self) -> str:
+        """Over the URL in lower case."""
         gap = "[^A-Za-z0-9]+"
-        return rf"(?s)(^|[^A-Za-z0-9]){gap.join(map(re.escape, self.words))}([^A-Za-z0-9]|$)"
+        return rf"(?s)(^|[^A-Za-z0-9]){gap.join(re.escape(lowered(w)) for w in self.words)}([^A-Za-z0-9]|$)"
 
     @property
     def tokens(self) -> list[str]:
-        return list(self.words)
+        return [lowered(w) for w in self.words]
+
+
+def lowered(s: str) -> str:
+    """A-Z as a-z, and nothing else changed."""
+    return s.translate(str.maketrans(UPPER, LOWER))
 
 
 HOST_RULES = (
@@ -87,6 +97,31 @@ PATTERNS = tuple(
 )
 
 
+def from_table(rules: DataFrame) -> tuple[tuple[HostRule, ...], tuple[Pattern, ...]]:
+    """Host rules and patterns of a table (verdict, host, path, words).
+
+    Rows with a host are host rules (a NULL path: any); others are patterns
+    of their words, split at characters that are neither letters nor digits.
+    Rows with neither, or with another verdict than allow or block, are an
+    error.  Rules come to the driver: they make up the plan.
+    """
+    hosts, patterns = [], []
+    for r in rules.select("verdict", "host", "path", "words").distinct().orderBy("verdict", "host", "path", "words").collect():
+        words = tuple(w for w in re.split(SEPARATORS, r["words"] or "") if w)
+        if r["verdict"] not in ("allow", "block") or not (r["host"] or words):
+            raise ValueError(f"not a rule: {r.asDict()}")
+        if r["host"]:
+            hosts.append(HostRule(r["verdict"], lowered(r["host"]), r["path"] or ""))
+        else:
+            patterns.append(Pattern(r["verdict"], words))
+    return tuple(hosts), tuple(patterns)
+
+
+def _literal(spark, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A table of literal rows, made by the plan itself."""
+    return spark.range(1).select(F.inline(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows])))
+
+
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) and path; both empty without ``://`` or URL."""
     at = F.locate("://", url)
@@ -106,6 +141,7 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", rules=HOST_R
 
     NULL or malformed URLs: empty host and path, no rule, the default.
     Repeated rows give repeated rows; other columns of the input are ignored.
+    Very long URLs are judged whole; an empty table gives an empty result.
     """
     spark = pages.sparkSession
     host, path = host_and_path(F.col(f"`{url}`"))
@@ -118,23 +154,24 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", rules=HOST_R
     # A place (host and path) is judged once, however many pages have it.
     places = rows.select("host", "path").where("host != '' or path != ''").distinct()
     whole = F.concat("host", "path")
-    tokens = places.select("host", "path", F.explode(F.array_distinct(F.split(whole, SEPARATORS))).alias("token"))
+    tokens = places.select("host", "path", F.explode(F.array_distinct(F.split(F.translate(whole, UPPER, LOWER), SEPARATORS))).alias("token"))
 
     # The counts of the rules' own tokens: as many rows as rules have tokens.
     literal = sorted({t for r in everything for t in r.tokens})
-    mine = spark.createDataFrame([(t,) for t in literal], "token string")
+    mine = _literal(spark, [(t,) for t in literal], ["token"])
     seen = tokens.groupBy("token").agg(F.count("*").alias("n")).join(mine, "token")
     counts = {r["token"]: r["n"] for r in seen.collect()}
-    index = spark.createDataFrame(
+    index = _literal(
+        spark,
         [
             (min(r.tokens, key=lambda t: (counts.get(t, 0), t)), r.name, r.regex, r.verdict, isinstance(r, HostRule))
             for r in everything
         ],
-        "token string, name string, regex string, ruling string, by_host boolean",
+        ["token", "name", "regex", "ruling", "by_host"],
     )
     best = (
         tokens.join(index, "token")
-        .where(F.expr("concat(host, path) rlike regex"))
+        .where(F.expr(f"CASE WHEN by_host THEN concat(host, path) ELSE translate(concat(host, path), '{UPPER}', '{LOWER}') END rlike regex"))
         .groupBy("host", "path")
         .agg(
             F.max(F.when(F.col("by_host"), F.struct(F.length("name").alias("size"), "name", "ruling"))).alias("fit"),
@@ -155,7 +192,7 @@ def _quoted(s: str) -> str:
 def oracle_sql(rules=HOST_RULES, patterns=PATTERNS) -> str:
     """DuckDB SQL for ``judge(pages)``: every rule tried on every URL."""
     rule_rows = ", ".join(f"({_quoted(r.host)}, {_quoted(r.path)}, {_quoted(r.verdict)})" for r in rules)
-    pattern_rows = ", ".join(f"({_quoted(p.name)}, {_quoted(' '.join(p.words))})" for p in patterns)
+    pattern_rows = ", ".join(f"({_quoted(p.name)}, {_quoted(' '.join(p.tokens))})" for p in patterns)
     return f"""
 WITH rest AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages
@@ -168,7 +205,7 @@ WITH rest AS (
   FROM parts, (VALUES {rule_rows}) AS t(h, p, v)
   WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
 ), spelt AS (
-  SELECT i, ' ' || regexp_replace(host || path, '{SEPARATORS}', ' ', 'g') || ' ' AS s FROM parts
+  SELECT i, ' ' || regexp_replace(translate(host || path, '{UPPER}', '{LOWER}'), '{SEPARATORS}', ' ', 'g') || ' ' AS s FROM parts
 ), hits AS (
   SELECT i, min(name) AS pattern FROM spelt, (VALUES {pattern_rows}) AS t(name, words)
   WHERE contains(s, ' ' || words || ' ') GROUP BY i

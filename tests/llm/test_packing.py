@@ -5,6 +5,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from dimstar.llm.packing import Params, boundaries, pack
 
 
@@ -66,3 +68,15 @@ def test_empty_table(docs):
 def test_only_empty_texts(spark):
     rows = pack(spark.createDataFrame([(1, None), (2, " ")], "doc_id long, text string")).collect()
     assert {(r["n_tokens"], r["bucket"], r["padding"]) for r in rows} == {(0, 0, 0)}
+
+
+def test_many_repeated_rows_are_dealt_over_groups(spark):
+    copies = spark.range(100_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "CAST(NULL AS STRING) AS text", "1 AS start")
+    own = spark.range(2000).selectExpr("id AS doc_id", "repeat('w ', CAST(id % 50 AS INT)) AS text", "1 AS start")
+    packed = pack(copies.unionByName(own).repartition(8), Params(max_tokens=100, buckets=3, budget=64, group_rows=100))
+    groups = packed.groupBy(F.substring_index("batch_id", "-", 2).alias("g")).count().collect()
+    # Each group fills whole batches of 64 at least; no group holds the copies.
+    assert sum(r["count"] for r in groups) == 102_000
+    assert max(r["count"] for r in groups) < 400
+    batches = packed.groupBy("batch_id").agg(F.count("*").alias("n"), F.max("bucket").alias("b"), F.countDistinct("slot").alias("s")).collect()
+    assert all(r["n"] == r["s"] and r["n"] * r["b"] <= 64 or r["n"] == 1 for r in batches)
