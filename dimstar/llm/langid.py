@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimstar.llm.common import crc_mod, hash_share, keep_rows, map_texts, materialize, segment_sums, word_blocks
+from dimstar.llm.common import crc_mod, hash_share, keep_rows, map_texts, materialize, reachable, segment_sums, word_blocks
 
 UNKNOWN = "und"
 MEMO = 200_000
@@ -247,6 +247,7 @@ def _seen(sample: DataFrame, languages: list[str]) -> tuple[np.ndarray, np.ndarr
     United in Spark: a task gives each of its subwords once.
     """
     index = {g: i for i, g in enumerate(languages)}
+    reachable(sample.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, int] = {}

@@ -68,6 +68,7 @@ def _unit(batch: pa.Array) -> np.ndarray:
 
 def unit_rows(vectors: DataFrame, key: str) -> DataFrame:
     """``key`` and vec as a unit vector of floats."""
+    reachable(vectors.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
