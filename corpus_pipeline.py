@@ -5,6 +5,12 @@ applies them to the documents table, writing each stage's result as Parquet
 to the shared folder and reading it again as the next one's documents.  The
 first three return the columns of documents, for the rows that stay; the
 last returns the packed sequences.
+
+In all stages texts are read whole, an empty table gives an empty result, and
+columns beyond those of documents are passed on as they are, but by packing.
+NULL and empty texts end with the language stage.  Rows with a NULL doc_id
+are judged like others, linked with none, and kept by dedup; repeated rows
+are judged alike by the first two stages, and dedup keeps one of a doc_id.
 """
 
 from __future__ import annotations
