@@ -16,6 +16,9 @@ only pairs which are linked already:
    compared, whatever their number.  A row of one-bit minhashes of either
    node comes first: pairs that differ in many more bits than a link would
    (``slack`` standard deviations) are no link and are not compared further.
+   A bucket of more than ``side`` nodes (texts with the same boilerplate that
+   are no links, say) is cut into parts of about that size, and each two parts
+   meet in a cell of their own: no task holds more than a cell at a time.
 
 So two documents that share a bucket end up in one component, or have been
 compared on their whole sets, or differ in so many bits that they are no link:
@@ -47,6 +50,7 @@ class Params:
     width: int = 2  # minhashes of a sketch
     bits: int = 2048  # one-bit minhashes of a node with open pairs
     slack: float = 4.5
+    side: int = 1024  # nodes on a side of a cell in which the pairs of a bucket are compared
     seed: int = 3
 
 
@@ -232,6 +236,21 @@ def _similar_size(n: Column, other: Column, percent: int) -> Column:
     return (100 * F.least(n, other) >= percent * F.greatest(n, other))
 
 
+def cells(members: DataFrame, side: int) -> tuple[DataFrame, DataFrame]:
+    """Two copies of the rows (node, value, n), dealt over the cells (value, row, col) of their buckets.
+
+    A bucket of n nodes has about n / ``side`` parts.  A node of part p stands
+    in the first frame in the cells (p, p), (p, p + 1), ... and in the second
+    in (0, p), ..., (p, p), so two nodes of different parts meet in one cell
+    and those of the same part in its own, either way round.
+    """
+    parts = F.ceil(F.col("n") / F.lit(side)).cast("int")
+    placed = members.withColumn("part", F.pmod(F.xxhash64("node", F.lit(side)), parts).cast("int")).withColumn("parts", parts)
+    rows = placed.withColumn("col", F.explode(F.sequence("part", F.col("parts") - 1))).withColumn("row", F.col("part"))
+    cols = placed.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("part")))).withColumn("col", F.col("part"))
+    return rows.drop("part", "parts", "n"), cols.drop("part", "parts", "n")
+
+
 def nodes_and_roots(docs: DataFrame, key: str, text: str, params: Params) -> tuple[DataFrame, DataFrame]:
     """The profiles of the documents with their nodes, and the roots of linked nodes."""
     spark = docs.sparkSession
@@ -274,22 +293,22 @@ def nodes_and_roots(docs: DataFrame, key: str, text: str, params: Params) -> tup
     )
     member = materialize(member, "members")
     spread = member.select("*", F.explode("left").alias("value"))
-    open_ = spread.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("value")
-    spread = materialize(spread.join(open_, "value", "left_semi"), "open")
+    open_ = spread.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low != high")
+    spread = materialize(spread.join(open_.select("value", "n"), "value"), "open")
     bits, names = _bits(sets, spread.select("node").distinct(), params)
-    spread = spread.join(materialize(bits, "bits"), "node")
-    x, y = spread.alias("x"), spread.alias("y")
+    x, y = (c.alias(n) for c, n in zip(cells(spread.join(materialize(bits, "bits"), "node"), params.side), "xy"))
     differ = (1 - params.percent / 100) / 2  # the chance that a bit differs, at the threshold
     most = int(params.bits * differ + params.slack * (params.bits * differ * (1 - differ)) ** 0.5)
     apart = sum((F.bit_count(F.col(f"x.{n}").bitwiseXOR(F.col(f"y.{n}"))) for n in names), F.lit(0))
     first = F.array_min(F.array_intersect("x.left", "y.left")) == F.col("x.value")  # each pair in one bucket only
     meet = x.join(
         y,
-        (F.col("x.value") == F.col("y.value")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
+        (F.col("x.value") == F.col("y.value")) & (F.col("x.row") == F.col("y.row")) & (F.col("x.col") == F.col("y.col"))
+        & ((F.col("x.row") < F.col("x.col")) | (F.col("x.node") < F.col("y.node"))) & (F.col("x.root") != F.col("y.root"))
         & _similar_size(F.col("x.n_shingles"), F.col("y.n_shingles"), params.percent) & (apart <= most)
         & F.arrays_overlap("x.right", "y.right") & first,
     )
-    rest = meet.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    rest = meet.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = materialize(rest.join(tried, ["a", "b"], "left_anti"), "rest")
     more = materialize(_confirm(rest, sets, params), "links")

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from dimstar.llm.neardup import Params, components, keep, label
+from dimstar.llm.neardup import Params, cells, components, keep, label
 
 
 def shingles(text, w=5):
@@ -102,3 +102,26 @@ def test_tables_grow_with_the_square_of_the_sketches():
     p = Params()
     miss = 1 - (1 - (1 - 0.75**p.width) ** p.sketches) ** 2
     assert miss < 5e-5  # of a pair exactly at the threshold
+
+
+def test_large_bucket_of_unlinked_texts(spark):
+    """300 texts share boilerplate without being links, a few of them are; buckets are cut into cells of 16 nodes a side."""
+    rnd = random.Random(6)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    passage = [word() for _ in range(80)]
+    rows = [(i, " ".join(passage + [word() for _ in range(24)])) for i in range(300)]
+    rows += [(300 + i, t + " " + word()) for i, (_, t) in enumerate(rows[:40:4])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = {k: c for k, (_, c) in brute(rows).items()}
+    assert 250 < len(set(want.values())) <= 300
+    assert {r["doc_id"]: r["component_id"] for r in label(docs, params=Params(side=16)).collect()} == want
+
+
+def test_each_pair_of_a_bucket_meets_once(spark):
+    sizes = {7: 1, 8: 5, 9: 23}
+    rows = [(i, v, n) for v, n in sizes.items() for i in range(n)]
+    x, y = cells(spark.createDataFrame(rows, "node long, value long, n long"), 4)
+    met = x.alias("x").join(y.alias("y"), ["value", "row", "col"]).where("x.row < x.col or x.node < y.node")
+    got = sorted((r["value"], *sorted((r["a"], r["b"]))) for r in met.selectExpr("value", "x.node a", "y.node b").collect())
+    assert got == [(v, a, b) for v, n in sorted(sizes.items()) for a in range(n) for b in range(a + 1, n)]
+    assert max(r["count"] for r in x.groupBy("value", "row", "col").count().collect()) < 23
