@@ -92,3 +92,24 @@ def test_memo_is_bounded(model, monkeypatch):
     monkeypatch.setattr(langid, "MEMO", 1)
     got = model.predict(column)
     assert want[0] == got[0] and np.array_equal(want[1], got[1])
+
+
+def test_scores_spelt_out_from_the_subwords_of_a_text():
+    """Every byte n-gram by itself: the mean of its buckets' logits, bias, temperature, softmax, share of unseen ones."""
+    from binascii import crc32
+    from math import exp
+
+    rng = np.random.default_rng(5)
+    texts = ["Kara tamo, kara!", "é", "x " * 300 + "ein schung", "a\tb\nc  d"]
+    hashes = []
+    for t in texts:
+        edged = [b"<" + w + b">" for w in t.lower().encode().split()]
+        hashes.append([crc32(w[i : i + n]) for w in edged for n in (2, 3, 4) for i in range(len(w)) if i + n <= len(w)])
+    seen = sorted(set(hashes[0]) | set(hashes[3][::2]))
+    model = langid.LanguageModel(["aa", "bb", "cc"], rng.normal(size=(64, 3)), rng.normal(size=3), temperature=1.7, seen=np.array(seen, np.int64))
+    got, unseen = model.scores([t.lower().encode().split() for t in texts])
+    for i, hs in enumerate(hashes):
+        z = [(sum(model.logits[h % 64][k] for h in hs) / len(hs) + model.bias[k]) / 1.7 for k in range(3)]
+        total = sum(exp(x) for x in z)
+        assert np.allclose(got[i], [exp(x) / total for x in z])
+        assert np.isclose(unseen[i], sum(h not in seen for h in hs) / len(hs))

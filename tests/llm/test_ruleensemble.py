@@ -77,3 +77,28 @@ def test_too_few_labels_to_split(n):
     got = train(values, labels.astype(float), ["a", "b", "c"])
     assert got.rules == ()
     assert np.allclose(got.scores(values, ["a", "b", "c"]), (labels.sum() + 1) / (n + 2))
+
+
+def test_lasso_weights_are_optimal():
+    """The conditions of the least penalised loss: gradients of -penalty times the sign, or within the penalty at weight 0."""
+    from dimstar.llm.ruleensemble import _lasso
+
+    rng = np.random.default_rng(3)
+    x = (rng.random((400, 12)) < 0.4).astype(float)
+    y = (rng.random(400) < 1 / (1 + np.exp(-(2 * x[:, 0] - 3 * x[:, 1] + 0.3)))).astype(float)
+    p = Params(penalty=0.02, steps=5000)
+    w, b = _lasso(x, y, 0.0, p)
+    d = 1 / (1 + np.exp(-(x @ w + b))) - y
+    grad = x.T @ d / len(y)
+    assert w[0] > 0 > w[1] and (w == 0).any()
+    assert abs(d.mean()) < 1e-5
+    assert np.allclose(grad[w != 0], -p.penalty * np.sign(w[w != 0]), atol=1e-5)
+    assert (np.abs(grad[w == 0]) <= p.penalty + 1e-5).all()
+
+
+def test_rules_are_tree_paths():
+    """The two leaves of one split are a rule and its complement, with the split's own bound."""
+    values = np.r_[np.zeros(40), np.ones(40)][:, None]
+    got = train(values, values[:, 0].copy(), ["a"], Params(trees=1, depth=1))
+    assert got.rules and all(len(r) == 1 and r[0][0] == "a" and 0 <= r[0][2] < 1 for r, _ in got.rules)
+    assert got.scores(np.array([[1.0]]), ["a"])[0] > 0.9 > 0.1 > got.scores(np.array([[0.0]]), ["a"])[0]
