@@ -240,16 +240,12 @@ def edh_direction(sales_type: Column, task_subtype: Column, sales_subtype: Colum
 
 
 def activity_group(partner_label: Column, account_type: Column, email: Column,
-                   tenant_pattern: str) -> Column:
-    """Partner first, then the tenant's own mail domain, else customer."""
-    return first_match(
-        [
-            (partner_label.isin(*PARTNER_ACTIVITY_LABELS) | account_type.isin(*PARTNER_ACCOUNT_TYPES),
-             GROUP_PARTNER),
-            (email.isNotNull() & mail_domain(email).contains(tenant_pattern.lower()), GROUP_INTERNAL),
-        ],
-        GROUP_CUSTOMER,
-    )
+                   tenant_pattern: str | None) -> Column:
+    """Partner first, then the tenant's own mail domain (None: nothing is internal), else customer."""
+    rules = [(partner_label.isin(*PARTNER_ACTIVITY_LABELS) | account_type.isin(*PARTNER_ACCOUNT_TYPES), GROUP_PARTNER)]
+    if tenant_pattern:
+        rules.append((email.isNotNull() & mail_domain(email).contains(tenant_pattern.lower()), GROUP_INTERNAL))
+    return first_match(rules, GROUP_CUSTOMER)
 
 
 def construction_activity_type(task_type: Column, task_subtype: Column) -> Column:

@@ -22,9 +22,9 @@ class Params:
     spine_from: dt.date = dt.date(2015, 1, 1)
     spine_to: dt.date = dt.date(2040, 1, 1)
     # Not taken from the reference: "today" and the tenant's own mail domain
-    # word that marks internal activities.
+    # word that marks internal activities (None: no activity is internal).
     as_of: dt.date = field(default_factory=dt.date.today)
-    tenant_pattern: str = "acme"
+    tenant_pattern: str | None = None
 
     @property
     def lookback_start(self) -> dt.date:

@@ -233,3 +233,11 @@ def test_direction_rules(spark, acs):
         got = df.select(R.construction_direction(F.col("tt"), F.col("s"), F.col("ct")).alias("d"), "want")
     for r in got.collect():
         assert r["d"] == r["want"]
+
+
+def test_activity_group_without_a_tenant_word(spark):
+    """Without a word no activity is internal; the empty word counts as none."""
+    df = spark.createDataFrame([("Call", "End Customer", "a@acme.com"), ("Call", None, None)], "l string, a string, e string")
+    for word, want in (("acme", ["Internal", "Customer"]), (None, ["Customer"] * 2), ("", ["Customer"] * 2)):
+        got = [r[0] for r in df.select(R.activity_group(F.col("l"), F.col("a"), F.col("e"), word)).collect()]
+        assert [g.split()[0] for g in got] == want, word
