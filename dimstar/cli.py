@@ -2,6 +2,7 @@
 
     python -m dimstar.cli build --sources ROOT [--fixture] --out FOLDER [--as-of YYYY-MM-DD]
     python -m dimstar.cli query --marts FOLDER --metrics a,b --group-by x,y [--order-by=-a] [--where SQL]
+    python -m dimstar.cli saved --marts FOLDER NAME [--definitions FILE.json]
     python -m dimstar.cli sql --marts FOLDER "SELECT ... FROM fct_blended_opportunities ..."
     python -m dimstar.cli list
 
@@ -10,9 +11,10 @@ ROOT, or the test tables with ``--fixture``), writes the seven marts as a run
 under FOLDER and publishes that run as a whole (the one before is kept), runs
 every data test, appends the failing rows to ``FOLDER/dq_failure_log`` and
 exits with status 1 when a test of severity ``error`` fails (``warn`` tests
-only report).  ``query`` evaluates metrics over published marts and ``sql``
-runs an ad-hoc statement over them (marts as views under their own names);
-both print the result or write it with ``--output``.
+only report).  ``query`` evaluates metrics over published marts, ``saved`` a
+metric query kept under a name, and ``sql`` runs an ad-hoc statement over them
+(marts as views under their own names); all print the result or write it with
+``--output``.
 """
 
 from __future__ import annotations
@@ -75,13 +77,12 @@ def build(args) -> int:
 def query(args) -> int:
     from dimstar.plans.metrics import dimensions_of, metric_query
     from dimstar.plans.publish import published
-    from dimstar.queries import star_dims
+    from dimstar.queries import facts_of, star_dims
 
     spark = _session(args.master)
     m = published(spark, args.marts)
     metrics = [x for x in args.metrics.split(",") if x]
-    facts = {"blended_opportunities": m["fct_blended_opportunities"],
-             "blended_opportunity_activities": m["fct_blended_opportunity_activities"]}
+    facts = facts_of(m)
     if args.list_dimensions:
         print("\n".join(dimensions_of(metrics, star_dims(m))))
         return 0
@@ -95,6 +96,26 @@ def query(args) -> int:
     return 0
 
 
+def saved(args) -> int:
+    """A saved query, the library's or one of a JSON file, over the published marts."""
+    from dimstar.plans.publish import published
+    from dimstar.plans.saved import SAVED_QUERIES, load_saved
+    from dimstar.queries import facts_of, star_dims
+
+    spark = _session(args.master)
+    known = load_saved(spark, args.definitions) if args.definitions else SAVED_QUERIES
+    if args.name not in known:
+        print(f"no saved query {args.name}; known: {', '.join(sorted(known))}", file=sys.stderr)
+        return 2
+    m = published(spark, args.marts)
+    out = known[args.name].run(facts_of(m), star_dims(m))
+    if args.output:
+        out.write.mode("overwrite").parquet(args.output)
+    else:
+        out.show(args.show, truncate=False)
+    return 0
+
+
 def sql(args) -> int:
     """Ad-hoc SQL over the published marts, registered as views under their own names."""
     from dimstar.plans.publish import published, register_views
@@ -112,6 +133,7 @@ def sql(args) -> int:
 def list_metrics(args) -> int:
     """Metrics with their model, kind and definition; the group-by roles of each model."""
     from dimstar.plans.metrics import METRICS, MODELS
+    from dimstar.plans.saved import SAVED_QUERIES
 
     for m in METRICS.values():
         what = m.measure or (f"{m.numerator} / {m.denominator}" if m.kind == "ratio" else ", ".join(m.inputs))
@@ -119,6 +141,8 @@ def list_metrics(args) -> int:
     for model in MODELS.values():
         roles = ", ".join(f"{e.role}{'' if e.active else ' (inactive)'}" for e in model.edges)
         print(f"{model.name}: metric_time__<day|week|month|quarter|year> over {model.time_dimension}; roles: {roles}")
+    for q in SAVED_QUERIES.values():
+        print(f"saved query {q.name}: {q.description}")
     return 0
 
 
@@ -143,17 +167,23 @@ def main(argv=None) -> int:
     q.add_argument("--output", help="write the whole result here as parquet")
     q.add_argument("--show", type=int, default=50, help="rows to print without --output (default 50)")
     sub.add_parser("list")
+    v = sub.add_parser("saved")
+    v.add_argument("--marts", required=True)
+    v.add_argument("name")
+    v.add_argument("--definitions", help="JSON file with saved queries of your own")
+    v.add_argument("--output", help="write the whole result here as parquet")
+    v.add_argument("--show", type=int, default=50, help="rows to print without --output (default 50)")
     a = sub.add_parser("sql")
     a.add_argument("--marts", required=True)
     a.add_argument("query")
     a.add_argument("--output", help="write the whole result here as parquet")
     a.add_argument("--show", type=int, default=50, help="rows to print without --output (default 50)")
-    for sp in (b, q, a):
+    for sp in (b, q, v, a):
         sp.add_argument("--master", help="e.g. local[8]; default: the cluster's")
     args = p.parse_args(argv)
     if args.cmd == "build" and not (args.fixture or args.tenant):
         p.error("build needs --tenant: without it, internal mail would count as customer activity")
-    return {"build": build, "query": query, "sql": sql, "list": list_metrics}[args.cmd](args)
+    return {"build": build, "query": query, "saved": saved, "sql": sql, "list": list_metrics}[args.cmd](args)
 
 
 if __name__ == "__main__":

@@ -24,6 +24,7 @@ from dimstar.plans import opportunity_lines as P
 from dimstar.plans import quality as Q
 from dimstar.plans.metrics import metric_query, money
 from dimstar.plans.publish import register_views, write_tables
+from dimstar.plans.saved import SAVED_QUERIES
 from dimstar.plans.star import ACTIVITY_EDGES, PIPELINE_EDGES, star_join
 from dimstar.session import ensure_checkpoint_dir
 from dimstar.sources import Sources
@@ -434,15 +435,20 @@ def pipeline_by_account_owner(m):
                         ["account_owner__sales_role", "source_system"], dims=star_dims(m))
 
 
-SCORECARD = ("total_activities", "outbound_call_attempts", "outbound_calls_connected", "call_connect_rate",
-             "meetings_scheduled", "meetings_completed", "outbound_email_attempts", "inbound_emails_received",
-             "total_call_duration_seconds", "avg_call_duration_seconds")
+def facts_of(m: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {"blended_opportunities": m[F1], "blended_opportunity_activities": m[F2]}
 
 
 @mart_query
 def activity_scorecard(m):
     """X4 saved query: every activity metric by system and group."""
-    return metric_query(m[F2], list(SCORECARD), ["source_system", "activity_group"])
+    return SAVED_QUERIES["activity_scorecard"].run(facts_of(m), star_dims(m))
+
+
+@mart_query
+def saved_quarterly_pipeline(m):
+    """X4 saved query with a filter on a dimension, a ratio, a derived metric and an order."""
+    return SAVED_QUERIES["quarterly_pipeline"].run(facts_of(m), star_dims(m))
 
 
 @mart_query

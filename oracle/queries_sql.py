@@ -244,6 +244,18 @@ def final_queries() -> dict[str, str]:
         "total_activities", "outbound_call_attempts", "outbound_calls_connected", "call_connect_rate",
         "meetings_scheduled", "meetings_completed", "outbound_email_attempts", "inbound_emails_received",
         "total_call_duration_seconds", "avg_call_duration_seconds"])
+    q["saved_quarterly_pipeline"] = f"""
+        SELECT metric_time__quarter, account__account_segment, {money('acv')} AS total_pipeline_acv_usd,
+               {money('weighted')} AS total_weighted_pipeline_acv_usd, n AS opportunity_count,
+               round({ratio('weighted', 'acv')}, 9) AS pipeline_confidence_ratio, round({ratio('acv', 'n')}, 9) AS acv_per_opportunity
+        FROM (
+          SELECT CAST(date_trunc('quarter', f.opportunity_projected_close_date) AS DATE) AS metric_time__quarter,
+                 a.account_segment AS account__account_segment, sum(f.line_item_acv_usd) AS acv,
+                 sum(f.line_item_weighted_acv_usd) AS weighted,
+                 count(DISTINCT f.source_system || '|' || f.opportunity_number) AS n
+          FROM {F1} f JOIN m_dim_unified_account a ON f.account_csn = a.account_csn
+          WHERE a.account_segment IS NOT NULL GROUP BY 1, 2)
+        ORDER BY 1, 3 DESC NULLS LAST"""
     q["adhoc_region_month"] = f"""
         SELECT a.account_region,
                CAST(date_trunc('month', f.opportunity_projected_close_date) AS DATE) AS close_month,
