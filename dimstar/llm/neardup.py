@@ -294,7 +294,9 @@ def nodes_and_roots(docs: DataFrame, key: str, text: str, params: Params) -> tup
     member = materialize(member, "members")
     spread = member.select("*", F.explode("left").alias("value"))
     open_ = spread.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low != high")
-    spread = materialize(spread.join(open_.select("value", "n"), "value"), "open")
+    # A table of its own: a join right after the aggregation would share its shuffle, and a hot value could not be split.
+    open_ = materialize(open_.select("value", "n"), "values")
+    spread = materialize(spread.join(open_, "value"), "open")
     bits, names = _bits(sets, spread.select("node").distinct(), params)
     x, y = (c.alias(n) for c, n in zip(cells(spread.join(materialize(bits, "bits"), "node"), params.side), "xy"))
     differ = (1 - params.percent / 100) / 2  # the chance that a bit differs, at the threshold
