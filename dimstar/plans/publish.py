@@ -26,8 +26,9 @@ from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from dimstar.session import shared_folder
+from dimstar.session import runtime_filters, shared_folder
 from dimstar.sources.catalog import SOURCE_COLUMNS, Sources, load_sources, reject_counts, typed
 
 
@@ -78,7 +79,22 @@ def write_tables(spark: SparkSession, frames: Mapping[str, DataFrame], names: It
                  folder: str | None = None, row_group_bytes: int | None = None) -> dict[str, DataFrame]:
     """Write each frame as parquet (marts into their shared/private area); return them read back."""
     folder = folder or run_folder(spark, "publish")
-    return {name: _write(spark, frames[name], name, table_path(folder, name), row_group_bytes) for name in names or frames}
+    with runtime_filters(spark):
+        return {name: _write(spark, frames[name], name, table_path(folder, name), row_group_bytes) for name in names or frames}
+
+
+def write_counted(spark: SparkSession, frames: Mapping[str, DataFrame], names: Iterable[str] | None = None,
+                  folder: str | None = None) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """``write_tables``, and the rows that each frame gave while it was written.
+
+    The rows are observed as they leave the frame, before the writer has
+    them: a count of the frame itself, without computing it a second time.
+    """
+    names = list(names or frames)
+    seen = {n: Observation(f"rows of {n}") for n in names}
+    counted = {n: frames[n].observe(seen[n], F.count(F.lit(1)).alias("n")) for n in names}
+    tables = write_tables(spark, counted, names, folder)
+    return tables, {n: seen[n].get["n"] for n in names}
 
 
 MANIFESTS = "_manifests"

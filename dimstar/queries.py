@@ -23,7 +23,7 @@ from dimstar.plans import dims as D
 from dimstar.plans import opportunity_lines as P
 from dimstar.plans import quality as Q
 from dimstar.plans.metrics import metric_query, money
-from dimstar.plans.publish import register_views, write_tables
+from dimstar.plans.publish import register_views, write_counted, write_tables
 from dimstar.plans.saved import SAVED_QUERIES
 from dimstar.plans.star import ACTIVITY_EDGES, PIPELINE_EDGES, star_join
 from dimstar.session import ensure_checkpoint_dir
@@ -610,16 +610,14 @@ def publish_roundtrip(spark, sf_dir):
 
 @query
 def dq_coverage(spark, sf_dir):
-    """Rows per model in the transform and in its published table."""
-    m = _marts(spark, sf_dir)
-    pub = publish(spark, m)
-    parts = [side[n].agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("model"), F.lit(tag).alias("side"), "n")
-             for tag, side in (("transform", m), ("publish", pub)) for n in m]
+    """Rows per model in the transform, counted as they are written, and in its published table."""
+    pub, rows = write_counted(spark, _marts(spark, sf_dir))
+    parts = [pub[n].agg(F.count(F.lit(1)).alias("publish_rows")).select(
+        F.lit(n).alias("model"), F.lit(rows[n]).cast("bigint").alias("transform_rows"), "publish_rows") for n in pub]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.groupBy("model").agg(*[F.max(F.when(F.col("side") == tag, F.col("n"))).alias(f"{tag}_rows")
-                                      for tag in ("transform", "publish")])
+    return out
 
 
 @query

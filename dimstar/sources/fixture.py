@@ -196,10 +196,10 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
         pick(k, TAG_PICKS).alias("opportunity_tags__c"),
     )
 
-    acs_orders = orders.filter((k % 4 == 2) | (k % 4 == 3)).join(
+    acs_orders = orders.filter((k % 4 == 2) | (k % 4 == 3)).withColumn("id", key_text("S-", k)).join(
         cust_geo.select("c_custkey", "n_name"), F.col("o_custkey") == F.col("c_custkey"), "inner")
     acs_opportunity = acs_orders.select(
-        key_text("S-", k).alias("id"),
+        "id",
         F.when(k % 23 == 0, F.lit(None).cast("string")).otherwise(key_text("A-", k)).alias("opportunity_number__c"),
         key_text("SA-", F.col("o_custkey")).alias("account_id"),
         key_text("U-", k % 10).alias("owner_id"),
