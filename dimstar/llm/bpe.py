@@ -6,8 +6,9 @@ boundary.  `Stream` takes the bytes of one pre-token in pieces, emits a token
 once it ends further left than that, and keeps the rest: constant memory,
 however long the pre-token.  `encode` cuts a text where the pre-tokenizer
 must cut too and remembers the ids of recent pieces in a memo of bounded
-size.  `Decoder` turns ids back into text, holding at most one unfinished
-code point.
+size.  `encode_many` takes blocks of texts: each distinct piece of a block is
+merged once, all of them together as arrays.  `Decoder` turns ids back into
+text, holding at most one unfinished code point.
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ import re
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -32,6 +35,9 @@ PRETOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+
 SLICE = 1 << 16  # characters of a text that are cut up at once
 MEMO = 150_000  # pieces in each generation of a memo
 LONG = 256  # longer pieces are not remembered
+BLOCK = 1 << 22  # characters of texts that are encoded together
+WIDE = 64  # bytes of the longest pre-tokens that are merged as rows of an array
+ROWS = 1 << 13  # rows of such an array
 
 
 def byte_letters() -> dict[str, int]:
@@ -141,6 +147,7 @@ class Model:
         merges = [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs]
         self.ranks = {(a, b): rank for rank, (a, b, _) in enumerate(merges)}
         self.made = [made for _, _, made in merges]
+        self.pairs = PairRanks(self.ranks, self.made, self.byte_ids)
         self.lookahead = lookahead(merges, {i: len(b) for i, b in self.bytes_of.items()})
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.find = regex.compile(PRETOKENS).findall
@@ -183,6 +190,61 @@ class Model:
                     heapq.heappush(heap, (r, k, ids[k], ids[after[k]]))
         return [x for x in ids if x >= 0]
 
+    def merge_rows(self, octets: np.ndarray) -> np.ndarray:
+        """`merge` of a pre-token in each row of bytes: its tokens, and ``pairs.none`` elsewhere.
+
+        256 is no byte; the last column holds no other.  All rows do one
+        merge at a time.  A token stands at the place of its first byte;
+        ``after`` and ``before`` link the places that have one.
+        """
+        pairs, (n, width) = self.pairs, octets.shape
+        octets = octets.ravel()
+        ids, ranks = pairs.octet_ids[octets], pairs.octet_ranks[octets, np.roll(octets, -1)]
+        after, before = np.arange(1, len(ids) + 1), np.arange(-1, len(ids) - 1)
+        first, table = np.arange(n) * width, ranks.reshape(n, width)
+        while len(first):
+            at = first + table[first // width].argmin(1)
+            best = ranks[at]
+            live = best < pairs.never
+            first, at, best = first[live], at[live], best[live]
+            gone, left = after[at], before[at]
+            right = after[gone]
+            ids[at] = made = pairs.made[best]
+            ids[gone], ranks[gone] = pairs.none, pairs.never
+            after[at], before[right] = right, at
+            ranks[at] = pairs.rank(made, ids[right])
+            ranks[left] = pairs.rank(ids[left], made)
+        return ids.reshape(n, width)
+
+    def merge_many(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of distinct pre-tokens and special tokens, one after the other, and the number of each one's."""
+        data, offsets = spelt(pieces)
+        size = np.diff(offsets)
+        order = size.argsort(kind="stable")
+        alone = (size > WIDE) | pc.is_in(pieces, pa.array([*self.special], pieces.type)).to_numpy(zero_copy_only=False)
+        order = np.concatenate([order[~alone[order]], np.flatnonzero(alone)])
+        short = order[: len(order) - alone.sum()]
+        counts, parts = np.zeros(len(size), np.int64), []
+        for i in range(0, len(short), ROWS):
+            rows = short[i : i + ROWS]
+            column = np.arange(size[rows].max() + 1)
+            there = column < size[rows][:, None]
+            octets = np.full(there.shape, 256)
+            octets[there] = data[(offsets[rows][:, None] + column)[there]]
+            ids = self.merge_rows(octets)
+            there = ids != self.pairs.none
+            counts[rows] = there.sum(1)
+            parts.append(ids[there])
+        for i in order[len(short) :].tolist():
+            text = pieces[i].as_py()
+            ids = [self.special[text]] if text in self.special else self.pretoken[text]
+            counts[i] = len(ids)
+            parts.append(np.array(ids, np.int64))
+        # Back into the order of the pieces.
+        starts = np.zeros(len(size), np.int64)
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        return np.concatenate([np.empty(0, np.int64), *parts])[spread(starts, counts)], counts
+
     def _pretoken(self, text: str) -> tuple[int, ...]:
         if len(text) <= LONG:
             return tuple(self.merge(text.encode()))
@@ -210,6 +272,137 @@ class Model:
                 yield [*self._piece(first), *chain.from_iterable(map(self.spaced.__getitem__, rest))]
 
 
+    def encode_many(self, texts: Iterable[str | None]) -> Iterator[tuple[int, np.ndarray]]:
+        """The ids of each text, some at a time, with the text's number; NULL: as the empty text."""
+        rows, block, size = [], [], 0
+        for row, text in enumerate(texts):
+            for part in self.split_special.split(text or "") if self.split_special else [text or ""]:
+                for piece in [part] if part in self.special else slices(part):
+                    rows.append(row)
+                    block.append(piece)
+                    size += len(piece)
+                    if size >= BLOCK:
+                        yield from self._rows(rows, block)
+                        rows, block, size = [], [], 0
+        if block:
+            yield from self._rows(rows, block)
+
+    def _rows(self, rows: list[int], block: list[str]) -> Iterator[tuple[int, np.ndarray]]:
+        ids, counts = self.encode_block(block)
+        starts = np.flatnonzero(np.diff(rows, prepend=-1))
+        ends = np.cumsum(counts)
+        bounds = [0, *ends[starts[1:] - 1].tolist(), len(ids)]
+        for i, start in enumerate(starts.tolist()):
+            yield rows[start], ids[bounds[i] : bounds[i + 1]]
+
+    def encode_block(self, block: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of slices of texts and special tokens, one after the other, and the number of each one's ids.
+
+        A slice is made of pre-tokens (up to its first sure cut, or to its
+        end) and words, which follow a space each.
+        """
+        pretokens: list[str] = []  # of all slices, and the number of each
+        n_pretokens, safe, n_words = [], [], np.zeros(len(block), np.int64)
+        for i, piece in enumerate(block):
+            before = len(pretokens)
+            if piece in self.special:
+                pretokens.append(piece)
+            elif UNSAFE.search(piece):
+                pretokens += self.find(piece)
+            else:
+                pretokens += self.find(piece[: piece.find(" ")] if " " in piece else piece)
+                safe.append(i)
+            n_pretokens.append(len(pretokens) - before)
+
+        split = pc.split_pattern(pa.array([block[i] for i in safe], pa.large_string()), " ")
+        n_words[safe] = np.diff(split.offsets) - 1
+        later = np.ones(len(split.values), bool)
+        later[split.offsets[:-1]] = False  # not the first, which is among the pre-tokens
+        words = split.values.filter(pa.array(later)).dictionary_encode()
+        found, found_starts, n_found = self._split_words(words.dictionary.to_pylist())
+
+        known = pa.array(found + pretokens, pa.large_string()).dictionary_encode()
+        codes = known.indices.to_numpy()
+        ids, counts = self.merge_many(known.dictionary)
+        # The units: distinct words, then distinct pre-tokens.
+        n, m = len(n_found), len(counts)
+        inner = np.concatenate([codes[spread(found_starts, n_found)], np.arange(m)])
+        ids = ids[spread((np.cumsum(counts) - counts)[inner], counts[inner])]
+        counts = sums(counts[inner], np.concatenate([n_found, np.ones(m, np.int64)]))
+
+        n_first = np.array(n_pretokens, np.int64)
+        n_units = n_first + n_words
+        starts = np.cumsum(n_units) - n_units
+        units = np.empty(n_units.sum(), np.int64)
+        units[spread(starts, n_first)] = n + codes[len(found) :]
+        units[spread(starts + n_first, n_words)] = words.indices
+        ids = ids[spread((np.cumsum(counts) - counts)[units], counts[units])]
+        return ids, sums(counts[units], n_units)
+
+    def _split_words(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The pre-tokens of words that follow a space, the place of each word's first, and the number of each word's."""
+        # White space at the end of a word is cut by what follows: such words apart.
+        alone = np.array([not w or w[-1].isspace() for w in words], bool)
+        together = [w for w, a in zip(words, alone) if not a]
+        found = self.find(" " + " ".join(together)) if together else []
+        firsts = [i for i, p in enumerate(found) if p[0] == " "]
+        for i in np.flatnonzero(alone).tolist():
+            firsts.append(len(found))
+            found += self.find(" " + words[i])
+        order = np.argsort(alone, kind="stable")
+        starts, counts = np.empty((2, len(words)), np.int64)
+        starts[order], counts[order] = firsts, np.diff([*firsts, len(found)])
+        return found, starts, counts
+
+
+class PairRanks:
+    """The merges as arrays: ranks of pairs of tokens, and of pairs of bytes (256: no byte)."""
+
+    def __init__(self, ranks: dict[tuple[int, int], int], made: list[int], byte_ids: list[int]):
+        self.never, self.made = len(made), np.array(made, np.int64)
+        self.none = 1 + max([*made, *byte_ids, *chain.from_iterable(ranks)])  # the id of no token
+        keys = np.array([a * (self.none + 1) + b for a, b in ranks], np.int64)
+        order = keys.argsort()
+        # A last key that no pair has, so that every search ends inside.
+        self.keys = np.append(keys[order], (self.none + 1) ** 2)
+        self.ranks = np.append(np.array([*ranks.values()], np.int64)[order], self.never)
+        self.octet_ids = np.array([*byte_ids, self.none], np.int64)
+        self.octet_ranks = self.rank(self.octet_ids[:, None], self.octet_ids[None, :])
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left * (self.none + 1) + right
+        at = self.keys.searchsorted(key)
+        return np.where(self.keys[at] == key, self.ranks[at], self.never)
+
+
+def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ..., counts[0] of them; then those of the next start, and so on."""
+    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+
+
+def sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The sum of the first counts[0] values, that of the next counts[1], and so on."""
+    return np.diff(np.append(0, np.cumsum(values))[np.append(0, np.cumsum(counts))])
+
+
+def spelt(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of large strings or binaries without nulls, one after the other, and where each begins; last: the end."""
+    _, offsets, data = pieces.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[pieces.offset : pieces.offset + len(pieces) + 1] if len(pieces) else np.zeros(1, np.int64)
+    return np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8), offsets
+
+
+class Spelling:
+    """What each token stands for, written one after the other."""
+
+    def __init__(self, of: dict[int, bytes]):
+        self.of = pa.array([of.get(i) for i in range(max(of) + 1)], pa.large_binary())
+
+    def write(self, ids: np.ndarray) -> bytes:
+        data, offsets = spelt(self.of.take(pa.array(ids)))
+        return data[offsets[0] : offsets[-1]].tobytes()
+
+
 # A space after white space: there the pre-tokenizer need not cut.
 UNSAFE = re.compile(r"\s ")
 SAFE = re.compile(r"(?<!\s) ")
@@ -239,7 +432,11 @@ class Decoder:
         self.state = codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids: Iterable[int]) -> str:
-        return self.state.decode(b"".join(map(self.bytes_of.__getitem__, ids)))
+        return self.feed_bytes(b"".join(map(self.bytes_of.__getitem__, ids)))
+
+    def feed_bytes(self, data: bytes) -> str:
+        """The same for tokens that are spelt out already."""
+        return self.state.decode(data)
 
     def finish(self) -> str:
         return self.state.decode(b"", True)
@@ -271,8 +468,10 @@ def encode_ids(docs: DataFrame, path: str, keep: list[str], text: str = "text")
         model = load(path)
 
         def work(column: pa.Array) -> dict:
-            ids = [[i for piece in model.encode(t or "") for i in piece] for t in column.to_pylist()]
-            return {"ids": pa.array(ids, pa.list_(pa.int32()))}
+            parts: list[list[np.ndarray]] = [[np.empty(0, np.int32)] for _ in range(len(column))]
+            for row, ids in model.encode_many(t.as_py() for t in column):
+                parts[row].append(ids.astype(np.int32))
+            return {"ids": pa.array(map(np.concatenate, parts), pa.list_(pa.int32()))}
 
         return work
 
@@ -297,8 +496,28 @@ def decode_ids(rows: DataFrame, path: str, keep: list[str], ids: str = "ids") ->
     return map_texts(rows, keep, ids, "text string", make)
 
 
+class Digest:
+    """Number and hash of the ids of a text, and hash of the text they decode to."""
+
+    def __init__(self, model: Model):
+        self.n, self.decoder = 0, Decoder(model)
+        self.ids, self.text = hashlib.sha256(), hashlib.sha256()
+
+    def feed(self, n: int, decimal: bytes, spelling: bytes) -> None:
+        """The next ``n`` ids: as decimals with a comma after each, and as bytes of text."""
+        if n:
+            self.ids.update(b"," if self.n else b"")
+            self.ids.update(memoryview(decimal)[:-1])
+            self.text.update(self.decoder.feed_bytes(spelling).encode())
+            self.n += n
+
+    def finish(self) -> tuple[int, str, str]:
+        self.text.update(self.decoder.finish().encode())
+        return self.n, self.ids.hexdigest(), self.text.hexdigest()
+
+
 def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encode and decode each whole text without holding its ids.
+    """Encode and decode each whole text, holding the ids of one block of texts at a time.
 
     One row per row: key, n_tokens, ids_sha256 (of the decimal ids joined by
     commas), decoded_sha256 (of the decoded text in UTF-8).  NULL counts as
@@ -307,20 +526,14 @@ def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
 
     def make():
         model = load(path)
-        decimal = {i: str(i) for i in model.bytes_of}
-
-        def digest(t: str | None) -> tuple[int, str, str]:
-            ids_hash, text_hash, n, decoder = hashlib.sha256(), hashlib.sha256(), 0, Decoder(model)
-            for ids in model.encode(t or ""):
-                if ids:
-                    ids_hash.update((("," if n else "") + ",".join(map(decimal.__getitem__, ids))).encode())
-                    text_hash.update(decoder.feed(ids).encode())
-                    n += len(ids)
-            text_hash.update(decoder.finish().encode())
-            return n, ids_hash.hexdigest(), text_hash.hexdigest()
+        decimal = Spelling({i: b"%d," % i for i in model.bytes_of})
+        token = Spelling(model.bytes_of)
 
         def work(column: pa.Array) -> dict:
-            n, ids, decoded = zip(*map(digest, column.to_pylist()))
+            digests = [Digest(model) for _ in range(len(column))]
+            for row, ids in model.encode_many(t.as_py() for t in column):
+                digests[row].feed(len(ids), decimal.write(ids), token.write(ids))
+            n, ids, decoded = zip(*(d.finish() for d in digests))
             return {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids), "decoded_sha256": pa.array(decoded)}
 
         return work

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
@@ -127,3 +128,78 @@ def test_ids_there_and_back(spark, tokenizer_file):
     docs = spark.createDataFrame([(1, "Hello  wörld\n"), (2, None), (3, "")], "doc_id long, text string")
     back = bpe.decode_ids(bpe.encode_ids(docs, tokenizer_file, ["doc_id"]), tokenizer_file, ["doc_id"])
     assert sorted(tuple(r) for r in back.collect()) == [(1, "Hello  wörld\n"), (2, ""), (3, "")]
+
+
+def many(model, texts):
+    ids = [[] for _ in texts]
+    for row, some in model.encode_many(texts):
+        ids[row] += some.tolist()
+    return ids
+
+
+def odd_texts(n):
+    rnd = random.Random(n)
+    texts = ["".join(rnd.choice(PIECES) for _ in range(rnd.randint(0, 25))) for _ in range(n)]
+    words = ["".join(rnd.choice("etaoinßéя日'1!\n") for _ in range(rnd.randint(1, 40))) for _ in range(300)]
+    texts += [" ".join(rnd.choices(words, k=rnd.randint(0, 60))) + rnd.choice(["", " ", "\n", " \n", "\x1c"]) for _ in range(n)]
+    return [*texts, None, "", " ", "<|endoftext|>", "a" * 5000, "x y " * 400, *["b c\n"] * 3]
+
+
+@pytest.mark.parametrize("block, wide, rows", [(1 << 22, 64, 1 << 13), (1, 64, 7), (500, 3, 50), (500, 0, 1)])
+def test_blocks_of_texts_as_the_library(model, library, monkeypatch, block, wide, rows):
+    monkeypatch.setattr(bpe, "BLOCK", block)
+    monkeypatch.setattr(bpe, "WIDE", wide)
+    monkeypatch.setattr(bpe, "ROWS", rows)
+    texts = odd_texts(300)
+    assert many(model, texts) == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert many(model, []) == [] and many(model, [None, ""]) == [[], []]
+
+
+def test_long_texts_come_in_slices(model, library, monkeypatch):
+    monkeypatch.setattr(bpe, "SLICE", 100)
+    monkeypatch.setattr(bpe, "BLOCK", 250)
+    texts = ["no " * 400, "", "ab\n cd  ef " * 300, "x" * 1000]
+    assert many(model, texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(list(model.encode_many(texts))) > 10
+
+
+def test_special_tokens_of_any_number(tokenizer_file, model):
+    import json
+
+    spec = json.load(open(tokenizer_file, encoding="utf-8"))
+    spec["added_tokens"] = []
+    plain = bpe.Model(json.dumps(spec))
+    assert many(plain, ["a <|endoftext|>"]) == [[i for part in plain.encode("a <|endoftext|>") for i in part]]
+    assert len(many(plain, ["<|endoftext|>"])[0]) > 1 and many(model, ["<|endoftext|>"]) == [[model.special["<|endoftext|>"]]]
+
+
+def test_new_words_are_merged_together(tokenizer_file, library, monkeypatch):
+    """Ordinary words that no memo holds: none is merged by itself, and their CPU time was too much at 30 GB."""
+    model = bpe.Model(open(tokenizer_file, encoding="utf-8").read())
+    rnd = random.Random(4)
+    texts = [" ".join("".join(rnd.choices("etaoinshrdlu", k=rnd.randint(3, 14))) + rnd.choice(["", ".", ".\n"]) for _ in range(200)).strip() for _ in range(60)]
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    calls, rounds = [], []
+    merge, merge_rows = model.merge, model.merge_rows
+    monkeypatch.setattr(model, "merge", lambda data: calls.append(data) or merge(data))
+    monkeypatch.setattr(model, "merge_rows", lambda octets: rounds.append(len(octets)) or merge_rows(octets))
+    assert many(model, texts) == expected
+    distinct = {p for t in texts for p in model.find(t)}
+    assert not calls and sum(rounds) == len(distinct) and len(rounds) <= 1 + len(distinct) // bpe.ROWS
+
+
+def test_round_trip_of_odd_texts(spark, tokenizer_file, library):
+    texts = odd_texts(100)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = {r["doc_id"]: r for r in bpe.round_trip(docs, tokenizer_file).collect()}
+    back = {r["doc_id"]: r["ids"] for r in bpe.encode_ids(docs, tokenizer_file, ["doc_id"]).collect()}
+    for i, text in enumerate(texts):
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        assert back[i] == ids and rows[i]["n_tokens"] == len(ids)
+        assert rows[i]["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert rows[i]["decoded_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_ragged_arrays():
+    assert bpe.spread(np.array([5, 0, 9]), np.array([2, 0, 3])).tolist() == [5, 6, 9, 10, 11]
+    assert bpe.sums(np.array([1, 2, 3]), np.array([0, 2, 0, 1])).tolist() == [0, 3, 0, 3]
